@@ -135,11 +135,12 @@ def _mix_map(dimension: str) -> Column:
     values = F.array_sort(F.array_distinct(F.transform("mix", lambda e: e[dimension])))
 
     def revenue(value: Column) -> Column:
-        amounts = F.filter(
-            F.transform(F.filter("mix", lambda e: e[dimension] == value), lambda e: e["revenue"]),
-            lambda amount: amount.isNotNull(),
+        amounts = F.filter("mix", lambda e: e[dimension] == value)
+        summed = F.aggregate(
+            amounts,
+            F.lit(None).cast("double"),
+            lambda total, e: F.coalesce(total + e["revenue"], total, e["revenue"]),
         )
-        summed = F.aggregate(amounts, F.lit(0.0), lambda total, amount: total + amount)
-        return F.when(F.size(amounts) > 0, F.round(summed, MONEY_SCALE))
+        return F.round(summed, MONEY_SCALE)
 
     return F.map_from_arrays(values, F.transform(values, revenue))

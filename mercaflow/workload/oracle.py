@@ -226,7 +226,9 @@ def fact(sales: str, weather: str | None) -> str:
 WITH f AS (
   SELECT txn_date, region, store_id, category, COUNT(DISTINCT txn_id) AS orders,
          CAST(SUM(quantity) AS BIGINT) AS items_sold, {_money()} AS revenue,
-         COUNT(DISTINCT customer_id) AS unique_customers
+         COUNT(DISTINCT customer_id) AS unique_customers,
+         CAST(COUNT(DISTINCT COALESCE(channel, 'unknown')) AS INTEGER) AS channel_mix,
+         CAST(COUNT(DISTINCT COALESCE(payment_method, 'unknown')) AS INTEGER) AS payment_mix
   FROM ({sales}) GROUP BY txn_date, region, store_id, category)
 SELECT f.*, {metrics},
        CASE WHEN orders > 0 THEN revenue / orders ELSE 0.0 END AS avg_ticket

@@ -144,7 +144,9 @@ def fact_with_weather(spark: SparkSession, sf_dir: str, exact: bool = True) -> D
 
 
 def _fact_scalars(df: DataFrame) -> DataFrame:
-    return _rounded(df.drop("channel_mix", "payment_mix"), ["weather_avg_temp", "weather_precipitation"])
+    """The fact with the sizes of its maps, which have no order to compare."""
+    sizes = {m: F.size(m) for m in ("channel_mix", "payment_mix")}
+    return _rounded(df.withColumns(sizes), ["weather_avg_temp", "weather_precipitation"])
 
 
 def fact_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
