@@ -18,10 +18,9 @@ def register_table(spark: SparkSession, name: str, location: str, database: str)
     table = f"{_quoted(database)}.{_quoted(name)}"
     try:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}")
-        if not spark.catalog.tableExists(table):
-            spark.catalog.createTable(table, path=location, source="parquet")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING PARQUET LOCATION {_literal(location)}")
         _recover_partitions(spark, table)
-        spark.catalog.refreshTable(table)
+        spark.sql(f"REFRESH TABLE {table}")
         return True
     except PySparkException as error:
         logger.warning("table %s not registered: %s", table, error)
@@ -30,10 +29,14 @@ def register_table(spark: SparkSession, name: str, location: str, database: str)
 
 def _recover_partitions(spark: SparkSession, table: str) -> None:
     try:
-        spark.catalog.recoverPartitions(table)
+        spark.sql(f"MSCK REPAIR TABLE {table}")
     except PySparkException as error:
         logger.warning("partitions of %s not recovered: %s", table, error)
 
 
 def _quoted(identifier: str) -> str:
     return "`" + identifier.replace("`", "``") + "`"
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -1,13 +1,16 @@
 """Raw feeds: JSON and parquet, with provenance columns."""
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from mercaflow.schemas import CORRUPT_COLUMN
 
+logger = logging.getLogger(__name__)
 MISSING_CONDITIONS = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
@@ -83,8 +86,9 @@ def read_first_available(readers: Sequence[Callable[[], DataFrame]]) -> DataFram
     for read in readers:
         try:
             return read()
-        except PySparkException as error:
+        except (PySparkException, Py4JJavaError) as error:
             missing = isinstance(error, AnalysisException) and is_missing(error)
-            if not missing and not (error.getCondition() or "").startswith("FAILED_READ_FILE"):
+            if not missing and "FAILED_READ_FILE" not in str(error):
                 raise
+            logger.info("falling back to the next format: %s", str(error).splitlines()[0])
     return None
