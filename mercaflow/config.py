@@ -85,7 +85,7 @@ class JobConfig:
     weather_table: str = "weather_daily"
     default_cost_factor: float = DEFAULT_COST_FACTOR
     history_days: int = 0
-    exact_distinct: bool = False
+    exact_distinct: bool = True
     persist_transactions: bool = False
     register: bool = True
     feeds: tuple[TransactionFeed, ...] = TRANSACTION_FEEDS
@@ -124,7 +124,13 @@ def parse_config(description: str, argv: Sequence[str] | None = None) -> JobConf
     parser.add_argument("--weather_table")
     parser.add_argument("--default_cost_factor", type=float, help="share of the price taken as cost")
     parser.add_argument("--history_days", type=int, help="days before run_date the indicators see")
-    parser.add_argument("--exact_distinct", action="store_true", default=None)
+    parser.add_argument(
+        "--approx_distinct",
+        dest="exact_distinct",
+        action="store_false",
+        default=None,
+        help="count orders and customers with sketches",
+    )
     parser.add_argument("--persist_transactions", action="store_true", default=None)
     parser.add_argument("--no_register", dest="register", action="store_false", default=None)
     parser.add_argument("--json_lines", action="store_true", help="feeds hold one document per line")

@@ -13,7 +13,7 @@ UNKNOWN = "unknown"
 
 
 def fact_sales_daily(
-    df: DataFrame, weather: DataFrame | None = None, exact: bool = False
+    df: DataFrame, weather: DataFrame | None = None, exact: bool = True
 ) -> DataFrame:
     """Daily sales per region, store and category.
 

@@ -140,7 +140,7 @@ FACT_COLUMNS = [
 
 def fact_with_weather(spark: SparkSession, sf_dir: str, exact: bool = True) -> DataFrame:
     sales = views.sales(spark, sf_dir, FACT_COLUMNS)
-    return fact_sales_daily(sales, _daily_weather(spark, sf_dir), exact=exact)
+    return fact_sales_daily(sales, _daily_weather(spark, sf_dir), exact)
 
 
 def _fact_scalars(df: DataFrame) -> DataFrame:
@@ -155,7 +155,7 @@ def fact_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_scalars_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = views.sales(spark, sf_dir, FACT_COLUMNS, dirty=True)
-    return _fact_scalars(fact_sales_daily(sales, exact=True))
+    return _fact_scalars(fact_sales_daily(sales))
 
 
 def _mix_rows(mix: str, value: str, dirty: bool = False) -> Query:
@@ -240,7 +240,7 @@ def _medallion(spark: SparkSession, sf_dir: str) -> JobConfig:
     base = shared_folder(spark, "lake")
     feeds = (TransactionFeed("english", multiline=False), TransactionFeed("spanish", multiline=False))
     config = JobConfig(
-        base, RUN_DATE, feeds=feeds, weather_feed="meteo", exact_distinct=True, register=False
+        base, RUN_DATE, feeds=feeds, weather_feed="meteo", register=False
     )
     raw = {
         "english": views.english_feed(spark, sf_dir, "O"),
@@ -279,8 +279,8 @@ _REGION_DAY = ("txn_date", "region", "category", "revenue", "quantity")
 _MARGIN = ("product_id", "product_name", "category", "revenue", "quantity", "unit_price", "unit_cost")
 
 
-def _exact(kpi: Callable[..., DataFrame]) -> Callable[[DataFrame], DataFrame]:
-    return lambda df: kpi(df, exact=True)
+def _approx(kpi: Callable[..., DataFrame]) -> Callable[[DataFrame], DataFrame]:
+    return lambda df: kpi(df, exact=False)
 
 
 def _anomalies(df: DataFrame) -> DataFrame:
@@ -297,16 +297,16 @@ def queries() -> dict[str, Query]:
             kpis.top_products_by_category, *_PRODUCT_DAY, dirty=True
         ),
         "customer_frequency_ticket": _over_sales(
-            _exact(kpis.customer_frequency_ticket), *_CUSTOMER_MONTH
+            kpis.customer_frequency_ticket, *_CUSTOMER_MONTH
         ),
         "customer_frequency_ticket_approx": _over_sales(
-            kpis.customer_frequency_ticket, *_CUSTOMER_MONTH
+            _approx(kpis.customer_frequency_ticket), *_CUSTOMER_MONTH
         ),
-        "revenue_by_region": _over_sales(_exact(kpis.revenue_by_region), *_REGION_PERIOD),
+        "revenue_by_region": _over_sales(kpis.revenue_by_region, *_REGION_PERIOD),
         "revenue_by_region_nulls": _over_sales(
-            _exact(kpis.revenue_by_region), *_REGION_PERIOD, dirty=True
+            kpis.revenue_by_region, *_REGION_PERIOD, dirty=True
         ),
-        "revenue_by_region_approx": _over_sales(kpis.revenue_by_region, *_REGION_PERIOD),
+        "revenue_by_region_approx": _over_sales(_approx(kpis.revenue_by_region), *_REGION_PERIOD),
         "new_vs_returning": _over_sales(kpis.new_vs_returning, *_CUSTOMER_DATES),
         "new_vs_returning_nulls": _over_sales(
             kpis.new_vs_returning, *_CUSTOMER_DATES, dirty=True
@@ -326,11 +326,11 @@ def queries() -> dict[str, Query]:
             rounded=["price_volume_corr", "avg_unit_price"],
         ),
         "margin_by_product": _over_sales(kpis.margin_by_product, *_MARGIN),
-        "channel_payment_perf": _over_sales(_exact(kpis.channel_payment_perf), *_CHANNEL_DAY),
+        "channel_payment_perf": _over_sales(kpis.channel_payment_perf, *_CHANNEL_DAY),
         "channel_payment_perf_nulls": _over_sales(
-            _exact(kpis.channel_payment_perf), *_CHANNEL_DAY, dirty=True
+            kpis.channel_payment_perf, *_CHANNEL_DAY, dirty=True
         ),
-        "channel_payment_perf_approx": _over_sales(kpis.channel_payment_perf, *_CHANNEL_DAY),
+        "channel_payment_perf_approx": _over_sales(_approx(kpis.channel_payment_perf), *_CHANNEL_DAY),
         "anomalies": _over_sales(_anomalies, *_REGION_DAY, rounded=["z_score"]),
         "anomalies_nulls": _over_sales(_anomalies, *_REGION_DAY, dirty=True, rounded=["z_score"]),
         "weather_hourly": weather_hourly,

@@ -143,11 +143,11 @@ def test_command_line():
     config = parse_config("x", [
         "--input_bucket", "b", "--src_riohacha", "caribe", "--src_openmeteo", "meteo", "--json_lines",
         "--default_cost_factor", "0.5", "--shuffle_partitions", "64", "--silver_prefix", "s", "--raw_prefix", "r",
-        "--transactions_table", "t", "--weather_table", "w", "--exact_distinct", "--no_register", "--env", "prod",
+        "--transactions_table", "t", "--weather_table", "w", "--approx_distinct", "--no_register", "--env", "prod",
         "--spark_conf", "spark.hadoop.fs.s3a.endpoint=s3.amazonaws.com",
     ])
     assert [f.name for f in config.feeds] == ["patagonia", "caribe"] and not config.feeds[0].multiline
-    assert (config.shuffle_partitions, config.default_cost_factor, config.exact_distinct) == (64, 0.5, True)
+    assert (config.shuffle_partitions, config.default_cost_factor, config.exact_distinct) == (64, 0.5, False)
     assert (config.register, config.env, config.weather_feed) == (False, "prod", "meteo")
     assert config.spark_conf == {"spark.hadoop.fs.s3a.endpoint": "s3.amazonaws.com"}
     assert (config.silver_path(config.weather_table), config.bronze_path("x")) == ("b/s/w", "b/r/x")

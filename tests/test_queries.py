@@ -64,7 +64,8 @@ def test_sketched_counts_are_close_and_the_rest_is_equal(spark, name, keys, coun
             assert row[column] == approx[key][column]
         for column in counts:
             if row[column] is not None:
-                assert abs(row[column] - approx[key][column]) <= 0.2 * row[column]
+                # Two values may share a register, even of two or three.
+                    assert abs(row[column] - approx[key][column]) <= max(1, 0.2 * row[column])
 
 
 def test_entry_returns_the_fact(spark):

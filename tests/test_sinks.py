@@ -71,11 +71,11 @@ def test_table_without_partition_directories_is_filtered(spark, tmp_path):
 def test_register_and_extend_a_table(spark, tmp_path):
     path = str(tmp_path / "t")
     write_table(spark.range(2).withColumn("dt", F.lit("2025-10-10")), path, ["dt"])
-    assert register_table(spark, "sales-x", path, "shop") is True
-    assert spark.table("shop.`sales-x`").count() == 2
+    assert register_table(spark, "sales_x", path, "shop") is True
+    assert spark.table("shop.`sales_x`").count() == 2
     write_table(spark.range(3).withColumn("dt", F.lit("2025-10-11")), path, ["dt"])
-    assert register_table(spark, "sales-x", path, "shop") is True
-    assert spark.table("shop.`sales-x`").count() == 5
+    assert register_table(spark, "sales_x", path, "shop") is True
+    assert spark.table("shop.`sales_x`").count() == 5
     spark.sql("drop database shop cascade")
 
 
