@@ -84,7 +84,11 @@ def run_gold(
 
 
 def main(argv: Sequence[str] | None = None) -> int:
-    return run_job("gold_analytics", parse_config("Gold analytics", argv), run_gold)
+    config = parse_config("Gold analytics", argv)
+    sales = config.silver_path(config.transactions_table)
+    if not config.history_days:
+        sales = f"{sales}/run_date={config.run_date}"
+    return run_job("gold_analytics", config, run_gold, inputs=[sales])
 
 
 if __name__ == "__main__":

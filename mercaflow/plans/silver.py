@@ -53,7 +53,9 @@ def run_silver(spark: SparkSession, config: JobConfig) -> dict[str, dict[str, in
 
 
 def main(argv: Sequence[str] | None = None) -> int:
-    return run_job("silver_transform", parse_config("Silver transformation", argv), run_silver)
+    config = parse_config("Silver transformation", argv)
+    weather = f"{config.bronze_path(config.weather_feed)}/ingestion_date={config.run_date}"
+    return run_job("silver_transform", config, run_silver, inputs=[weather])
 
 
 if __name__ == "__main__":

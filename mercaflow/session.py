@@ -1,10 +1,21 @@
 """Session for the jobs, and the shared folder for intermediate tables."""
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
+
+from mercaflow.sources.feeds import try_read
+
+# The smallest number of shuffle partitions, and the input each
+# one is meant for.
+MIN_SHUFFLE_PARTITIONS = 200
+SHUFFLE_INPUT_BYTES = 64 * 1024 * 1024
+# Past this the exchange is held up by its block count, not by its volume.
+MAX_SHUFFLE_PARTITIONS = 50_000
 
 
 def build_session(app_name: str, conf: dict[str, str] | None = None) -> SparkSession:
@@ -24,6 +35,30 @@ def build_session(app_name: str, conf: dict[str, str] | None = None) -> SparkSes
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, paths: Iterable[str], override: int | None = None) -> int:
+    """Set the shuffle partitions from the size of the input files.
+
+    Adaptive execution joins partitions that turn out small but cannot raise
+    their number, so a large input has to ask for enough of them beforehand.
+    File lengths come from a listing on the cluster; no file is opened.
+    """
+    if override:
+        partitions = override
+    else:
+        total = sum(input_bytes(spark, path) for path in paths)
+        wanted = max(MIN_SHUFFLE_PARTITIONS, math.ceil(total / SHUFFLE_INPUT_BYTES))
+        partitions = min(wanted, MAX_SHUFFLE_PARTITIONS)
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    return partitions
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    files = try_read(
+        lambda: spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    )
+    return 0 if files is None else files.agg(F.sum("length")).first()[0] or 0
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``.
 
