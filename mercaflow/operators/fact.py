@@ -10,6 +10,7 @@ from mercaflow.schemas import WEATHER_METRICS
 
 FACT_KEYS = ["txn_date", "region", "store_id", "category"]
 UNKNOWN = "unknown"
+CODE = "weather_code"
 
 
 def fact_sales_daily(
@@ -42,7 +43,7 @@ def fact_sales_daily(
 def _fact_details(df: DataFrame, on_lines: list[str], exact: bool) -> DataFrame:
     """Everything a fact row is made of, one level below it.
 
-    Rows of kind ``mix`` hold the sums per channel and payment method; the
+    The ``is_mix`` rows hold the sums per channel and payment method; the
     other rows each stand for one distinct order or customer (exact), or
     carry the sketched counts of their group. NULL keys group together here,
     which equality joins of separate aggregates would lose.
@@ -59,6 +60,9 @@ def _fact_details(df: DataFrame, on_lines: list[str], exact: bool) -> DataFrame:
     )
     keys = [F.col(k) for k in FACT_KEYS]
     mix = [F.col("channel"), F.col("payment_method")]
+    if CODE in on_lines:
+        # As a key it keeps the aggregation on hashes; a minimum of text would sort all lines.
+        mix.append(F.col(CODE))
     sums = [
         F.sum("revenue").cast("double").alias("revenue"),
         F.sum("quantity").alias("items_sold"),
@@ -87,12 +91,10 @@ def _fact_details(df: DataFrame, on_lines: list[str], exact: bool) -> DataFrame:
 
 
 def _weather_parts(on_lines: list[str]) -> list[Column]:
-    """Mergeable parts of the weather averages: sums with counts, lowest code."""
+    """Mergeable parts of the weather averages."""
     parts = []
     for metric in on_lines:
-        if metric == "weather_code":
-            parts.append(F.min(F.col(metric).cast("string")).alias(metric))
-        else:
+        if metric != CODE:
             parts += [F.sum(metric).alias(f"{metric}_sum"), F.count(metric).alias(f"{metric}_count")]
     return parts
 
@@ -107,8 +109,8 @@ def _with_mixes(details: DataFrame, on_lines: list[str]) -> DataFrame:
 
     weather = []
     for metric in on_lines:
-        if metric == "weather_code":
-            weather.append(F.min(metric).alias(metric))
+        if metric == CODE:
+            weather.append(F.min(F.col(metric).cast("string")).alias(metric))
         else:
             average = F.try_divide(total(f"{metric}_sum"), total(f"{metric}_count"))
             weather.append(average.alias(metric))

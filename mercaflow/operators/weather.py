@@ -13,6 +13,8 @@ from mercaflow.schemas import (
 )
 
 METRIC_NAMES = WEATHER_METRICS.fieldNames()
+DAY_KEYS = ["region", "weather_date"]
+CODE = "weather_code"
 
 # Weather rows (region-days) up to which the attachment is broadcast: about
 # 100 bytes each, so under 50 MB per executor.
@@ -32,15 +34,7 @@ def prepare_weather_features(df: DataFrame) -> DataFrame:
     else:
         readings = _daily_readings(df, time_name)
 
-    columns = ["region", "weather_date", *METRIC_NAMES]
-    present = [m for m in METRIC_NAMES if m in readings.columns]
-    if not present:
-        daily = readings.select("region", "weather_date").distinct()
-    else:
-        daily = readings.groupBy("region", "weather_date").agg(
-            *[_daily_value(metric) for metric in present]
-        )
-    return ensure_columns(daily, WEATHER_METRICS).select(columns)
+    return ensure_columns(_rollup(readings), WEATHER_METRICS).select(*DAY_KEYS, *METRIC_NAMES)
 
 
 def _flatten_hourly_struct(df: DataFrame) -> DataFrame:
@@ -97,13 +91,28 @@ def _metric(column: Column, target: str) -> Column:
     return column.try_cast(WEATHER_METRICS[target].dataType).alias(target)
 
 
-def _daily_value(metric: str) -> Column:
-    """Average of a metric; for the code, the earliest one of the day."""
-    if metric == "weather_code":
-        order = F.struct("weather_ts", "weather_code")
-        known = F.col("weather_code").isNotNull()
-        return F.min_by("weather_code", F.when(known, order)).alias(metric)
-    return F.avg(metric).alias(metric)
+def _rollup(readings: DataFrame) -> DataFrame:
+    """Daily averages, and the earliest known code of the day.
+
+    With a code the readings are first grouped by it: that step keeps only
+    numbers per group, so it aggregates on hashes, where taking the earliest
+    of a text over all readings would sort them.
+    """
+    averaged = [m for m in METRIC_NAMES if m in readings.columns and m != CODE]
+    if CODE not in readings.columns:
+        return readings.groupBy(*DAY_KEYS).agg(
+            F.count(F.lit(1)).alias("readings"), *[F.avg(m).alias(m) for m in averaged]
+        )
+    sums = [F.sum(m).alias(f"{m}_sum") for m in averaged]
+    counts = [F.count(m).alias(f"{m}_count") for m in averaged]
+    by_code = readings.groupBy(*DAY_KEYS, CODE).agg(
+        F.min("weather_ts").alias("weather_ts"), *sums, *counts
+    )
+    earliest = F.min_by(CODE, F.when(F.col(CODE).isNotNull(), F.struct("weather_ts", CODE)))
+    averages = [
+        F.try_divide(F.sum(f"{m}_sum"), F.sum(f"{m}_count")).alias(m) for m in averaged
+    ]
+    return by_code.groupBy(*DAY_KEYS).agg(earliest.alias(CODE), *averages)
 
 
 def attach_weather(
@@ -140,7 +149,7 @@ def _one_row_per_key(weather: DataFrame, keys: list[str]) -> DataFrame:
     """Guard against several weather rows per key multiplying sales lines."""
     return weather.groupBy(*keys).agg(
         *[
-            (F.min if metric == "weather_code" else F.avg)(
+            (F.min if metric == CODE else F.avg)(
                 F.col(metric).cast(WEATHER_METRICS[metric].dataType)
             ).alias(metric)
             for metric in METRIC_NAMES

@@ -79,3 +79,18 @@ def test_fact_column_order(spark):
         "unique_customers", "weather_avg_temp", "weather_precipitation", "weather_code",
         "weather_wind_speed", "weather_humidity", "avg_ticket", "channel_mix", "payment_mix",
     ]
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_weather_on_lines_does_not_sort_the_lines(spark, exact):
+    weather = spark.createDataFrame([("R1", OCT10, 4.5, 0.25, "45")], WEATHER)
+    lines = attach_weather(sales(spark), weather, by_region=True).drop("weather_humidity")
+    plan = fact_sales_daily(lines, exact=exact)._jdf.queryExecution().executedPlan().toString()
+    above_the_join = plan[: plan.index("Join")]
+    assert "SortAggregate" not in above_the_join
+
+
+def test_lines_of_one_mix_with_different_codes_are_summed(spark):
+    lines = sales(spark, [line(), line(txn_id="T2")]).withColumn("weather_code", F.col("txn_id"))
+    row = fact_sales_daily(lines).first()
+    assert (row.channel_mix, row.weather_code, row.orders) == ({"online": 200.0}, "T1", 2)
