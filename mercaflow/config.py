@@ -90,6 +90,7 @@ class JobConfig:
     register: bool = True
     feeds: tuple[TransactionFeed, ...] = TRANSACTION_FEEDS
     weather_feed: str = WEATHER_FEED
+    weather_multiline: bool = True
     spark_conf: dict[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -145,4 +146,4 @@ def parse_config(description: str, argv: Sequence[str] | None = None) -> JobConf
     )
     conf = dict(pair.split("=", 1) for pair in args.pop("spark_conf"))
     given = {f.name: args[f.name] for f in fields(JobConfig) if args.get(f.name) is not None}
-    return JobConfig(**given, feeds=feeds, spark_conf=conf)
+    return JobConfig(**given, feeds=feeds, weather_multiline=multiline, spark_conf=conf)

@@ -57,7 +57,13 @@ def read_weather_feed(spark: SparkSession, config: JobConfig) -> DataFrame | Non
             lambda: read_parquet_source(
                 spark, f"{folder}/*.parquet", config.weather_feed, config.run_date
             ),
-            lambda: read_json_source(spark, f"{folder}/*", config.weather_feed, config.run_date),
+            lambda: read_json_source(
+                spark,
+                f"{folder}/*",
+                config.weather_feed,
+                config.run_date,
+                multiline=config.weather_multiline,
+            ),
         ]
     )
 

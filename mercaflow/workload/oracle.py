@@ -209,13 +209,13 @@ FROM ({_DAILY_WEATHER}) GROUP BY weather_date"""
 _ATTACH_COLUMNS = "txn_id, product_id, txn_date, t.region AS region, quantity"
 
 
-def weather_impact() -> str:
+def weather_impact(sales: str) -> str:
     return f"""
 SELECT region, {_pearson('weather_avg_temp', 'revenue')} AS corr_temp_revenue,
        {_pearson('weather_precipitation', 'revenue')} AS corr_precip_revenue,
        ROUND(AVG(weather_avg_temp), 6) AS avg_temp, ROUND(AVG(weather_precipitation), 6) AS avg_precip
 FROM (SELECT t.*, w.* EXCLUDE (weather_region, weather_date)
-      FROM ({SALES}) t LEFT JOIN ({_WEATHER_BY_REGION}) w ON {_BY_REGION})
+      FROM ({sales}) t LEFT JOIN ({_WEATHER_BY_REGION}) w ON {_BY_REGION})
 GROUP BY region"""
 
 
@@ -316,7 +316,7 @@ def oracle() -> dict[str, str]:
             "t.txn_date = w.weather_date", _WEATHER_BY_DATE, _ATTACH_COLUMNS
         ),
         "attach_weather_missing": f"SELECT {_ATTACH_COLUMNS}, {_NO_WEATHER} FROM ({SALES}) t",
-        "weather_impact": weather_impact(),
+        "weather_impact": weather_impact(SALES),
         "fact_sales_daily": fact(SALES, _WEATHER_BY_REGION),
         "fact_sales_daily_nulls": fact(DIRTY_SALES, None),
         "channel_mix": mix(SALES, "channel"),
@@ -356,4 +356,6 @@ def oracle() -> dict[str, str]:
         "medallion_revenue_by_region": revenue_by_region(_STORED_SALES),
         "medallion_margin_by_product": margin(_STORED_SALES),
         "medallion_price_volume_corr": price_volume(_STORED_SALES),
+        "medallion_weather_daily": f"SELECT region, weather_date, {_ROUNDED_WEATHER} FROM ({_DAILY_WEATHER})",
+        "medallion_weather_impact": weather_impact(_STORED_SALES),
     }

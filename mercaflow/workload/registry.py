@@ -22,7 +22,7 @@ from mercaflow.plans.silver import run_silver
 from mercaflow.session import shared_folder
 from mercaflow.sinks.tables import fill_partitions, with_dt
 from mercaflow.sources.feeds import read_json_source, read_parquet_source
-from mercaflow.sources.tables import load_transactions
+from mercaflow.sources.tables import load_transactions, load_weather
 from mercaflow.workload import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,12 +119,13 @@ def attach_weather_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attach_weather(views.sales(spark, sf_dir, ATTACH_COLUMNS), None)
 
 
+WEATHER_IMPACT_DOUBLES = ["corr_temp_revenue", "corr_precip_revenue", "avg_temp", "avg_precip"]
+
+
 def weather_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = views.sales(spark, sf_dir, ["region", "txn_date", "revenue"])
     impact = kpis.weather_impact(attach_weather(sales, _daily_weather(spark, sf_dir)))
-    return _rounded(
-        impact, ["corr_temp_revenue", "corr_precip_revenue", "avg_temp", "avg_precip"]
-    )
+    return _rounded(impact, WEATHER_IMPACT_DOUBLES)
 
 
 FACT_COLUMNS = [
@@ -236,7 +237,8 @@ def bronze_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _medallion(spark: SparkSession, sf_dir: str) -> JobConfig:
-    """Raw feeds of all lines, taken through the bronze and the silver job."""
+    """Raw feeds of all lines and events, taken through the bronze and the
+    silver job."""
     base = shared_folder(spark, "lake")
     feeds = (TransactionFeed("english", multiline=False), TransactionFeed("spanish", multiline=False))
     config = JobConfig(
@@ -248,6 +250,7 @@ def _medallion(spark: SparkSession, sf_dir: str) -> JobConfig:
     }
     for feed in feeds:
         raw[feed.name].write.json(f"{base}/raw/{feed.name}/ingestion_date={RUN_DATE}")
+    views.daily_weather_feed(spark, sf_dir).write.parquet(f"{base}/raw/api/{config.weather_feed}")
     run_bronze(spark, config)
     run_silver(spark, config)
     return config
@@ -259,6 +262,12 @@ def medallion_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver_columns(stored)
 
 
+def medallion_weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config = _medallion(spark, sf_dir)
+    stored = load_weather(spark, config.silver_path(config.weather_table), RUN_DATE)
+    return _rounded(stored.drop("run_date"), ["weather_avg_temp", "weather_precipitation"])
+
+
 def _medallion_gold(name: str, rounded: Sequence[str] = ()) -> Query:
     """A gold table as stored by the gold job."""
 
@@ -360,4 +369,6 @@ def queries() -> dict[str, Query]:
         "medallion_price_volume_corr": _medallion_gold(
             "price_volume_corr", ["price_volume_corr", "avg_unit_price"]
         ),
+        "medallion_weather_daily": medallion_weather_daily,
+        "medallion_weather_impact": _medallion_gold("weather_impact", WEATHER_IMPACT_DOUBLES),
     }
