@@ -96,10 +96,10 @@ def ingest(
     observation = Observation()
     metrics = quality_metrics(raw, required)
     observed = raw.observe(observation, *[expr.alias(name) for name, expr in metrics.items()])
-    write_partitions(readable_records(observed), path, PARTITION_BY, rebalance=False)
+    write_partitions(readable_records(observed), path, PARTITION_BY)
     counts = observation.get
     if counts.get("corrupt"):
-        write_partitions(corrupt_records(raw), quarantine_path, PARTITION_BY, rebalance=False)
+        write_partitions(corrupt_records(raw), quarantine_path, PARTITION_BY)
     return counts
 
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, functions as F
 
 # What a NULL partition value is stored as.
 PARTITION_FILLS = {"txn_date": "1970-01-01", "region": "unknown", "category": "unknown"}
@@ -20,31 +20,25 @@ def fill_partitions(df: DataFrame) -> DataFrame:
 
 
 def write_table(
-    df: DataFrame,
-    path: str,
-    partition_by: Sequence[str],
-    metrics: dict[str, Column] | None = None,
-    rebalance: bool = True,
+    df: DataFrame, path: str, partition_by: Sequence[str], rebalance: bool = True
 ) -> dict[str, int]:
-    """Overwrite the partitions that ``df`` holds; return its observed metrics.
+    """Overwrite the partitions that ``df`` holds; return the rows written.
 
-    Other partitions stay, so a run date can be repeated. ``rebalance`` lets
-    adaptive execution gather small and split large partitions into files near
-    the advisory size; without it the write stays a map-only job whose files
-    follow the input splits.
+    ``rebalance`` lets adaptive execution gather small and split large
+    partitions into files near the advisory size; without it the write stays a
+    map-only job whose files follow the input splits. The rows are observed in
+    the writing stage itself, where a repeated task counts once.
     """
-    metrics = metrics or {"records": F.count(F.lit(1))}
+    if rebalance:
+        df = df.hint("rebalance", *partition_by)
     observation = Observation()
-    observed = df.observe(observation, *[expr.alias(name) for name, expr in metrics.items()])
-    write_partitions(observed, path, partition_by, rebalance)
+    records = F.count(F.lit(1)).alias("records")
+    write_partitions(df.observe(observation, records), path, partition_by)
     return observation.get
 
 
-def write_partitions(
-    df: DataFrame, path: str, partition_by: Sequence[str], rebalance: bool = True
-) -> None:
-    if rebalance:
-        df = df.hint("rebalance", *partition_by)
+def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Dynamic overwrite: partitions not in ``df`` stay, so a date can be repeated."""
     (
         df.write.mode("overwrite")
         .format("parquet")

@@ -87,3 +87,18 @@ def test_shared_folder_lies_below_the_configured_one(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_folder(spark, "x"), shared_folder(spark, "x")
     assert first.startswith(base) and first != second
+
+
+def test_a_large_table_partition_is_split_into_several_files(spark, tmp_path):
+    conf = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "64k")
+    try:
+        df = spark.range(200_000).withColumn("noise", F.xxhash64("id"))
+        df = df.withColumn("region", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("r"), F.col("id") % 7)))
+        assert write_table(df, str(tmp_path / "t"), ["region"]) == {"records": 200_000}
+    finally:
+        spark.conf.set(conf, before)
+    files = [f for f in os.listdir(tmp_path / "t" / "region=hot") if f.endswith(".parquet")]
+    assert len(files) > 3
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 200_000
