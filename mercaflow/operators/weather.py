@@ -16,8 +16,8 @@ METRIC_NAMES = WEATHER_METRICS.fieldNames()
 DAY_KEYS = ["region", "weather_date"]
 CODE = "weather_code"
 
-# Weather rows (region-days) up to which the attachment is broadcast: about
-# 100 bytes each, so under 50 MB per executor.
+# Region-days, or days, up to which the attachment is broadcast: about 100
+# bytes each, so under 50 MB per executor.
 BROADCAST_ROWS = 500_000
 
 
@@ -122,7 +122,7 @@ def attach_weather(
 
     With no weather at all the five columns are typed NULLs. ``by_region=None``
     looks whether any weather row names a region and falls back to the date
-    alone; the same look counts the rows, and only a count up to
+    alone. The same look counts the keys to attach, and only a count up to
     ``BROADCAST_ROWS`` is broadcast. Beyond that the join shuffles, where
     adaptive execution splits a region-day that holds too many rows.
     """
@@ -130,13 +130,18 @@ def attach_weather(
         return ensure_columns(df, WEATHER_METRICS)
 
     weather = ensure_columns(weather, [T.StructField("region", T.StringType()), *WEATHER_METRICS])
-    rows, with_region = weather.agg(F.count(F.lit(1)), F.count("region")).first()
+    with_region, region_days, dates = (
+        weather.select(*DAY_KEYS)
+        .distinct()
+        .agg(F.count("region"), F.count(F.lit(1)), F.count_distinct("weather_date"))
+        .first()
+    )
     if by_region is None:
         by_region = with_region > 0
     keys = {"region": "region", "txn_date": "weather_date"} if by_region else {"txn_date": "weather_date"}
 
     daily = _one_row_per_key(weather, list(keys.values()))
-    if rows <= BROADCAST_ROWS:
+    if (region_days if by_region else dates) <= BROADCAST_ROWS:
         daily = F.broadcast(daily)
     left, right = df.drop(*METRIC_NAMES).alias("t"), daily.alias("w")
     condition = [F.col(f"t.{k}") == F.col(f"w.{w}") for k, w in keys.items()]

@@ -15,7 +15,7 @@ from mercaflow.operators import kpis
 from mercaflow.operators.fact import FACT_KEYS, fact_sales_daily
 from mercaflow.operators.quality import quality_report
 from mercaflow.operators.transactions import standardize_transactions, union_feeds
-from mercaflow.operators.weather import METRIC_NAMES, attach_weather, prepare_weather_features
+from mercaflow.operators.weather import attach_weather, prepare_weather_features
 from mercaflow.plans.bronze import ingest, run_bronze
 from mercaflow.plans.gold import run_gold
 from mercaflow.plans.silver import run_silver
