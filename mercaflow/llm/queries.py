@@ -3,20 +3,37 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from mercaflow.llm.decontaminate import benchmark_hits
 from mercaflow.llm.near_dup import near_duplicates
 from mercaflow.llm.storage import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["begin"])
+    return hits.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=2, threshold=0.8)
 
 
 def queries() -> dict[str, Query]:
-    return {"op3_near_dup": op3_near_dup}
+    return {
+        "op1_decontaminate": op1_decontaminate,
+        "op3_near_dup": op3_near_dup,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
