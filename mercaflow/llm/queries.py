@@ -6,6 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mercaflow.llm.decontaminate import benchmark_hits
+from mercaflow.llm import language
+from mercaflow.llm.mixture import mix_sources
 from mercaflow.llm.near_dup import near_duplicates
 from mercaflow.llm.storage import table
 
@@ -29,10 +31,29 @@ def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=2, threshold=0.8)
 
 
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed, documents = mix_sources(table(spark, sf_dir, "documents"))
+    taken = mixed.groupBy("doc_id", "row").agg(F.sum("n_words").alias("taken"))
+    key = documents["doc_id"].eqNullSafe(taken["doc_id"]) & (documents["row"] == taken["row"])
+    return documents.join(taken, key, "left").select(
+        documents["doc_id"], "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken")
+    )
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = language.fit(docs.filter(~held_out).select("text", "lang"))
+    predicted = language.predict(docs, model)
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontaminate": op1_decontaminate,
         "op3_near_dup": op3_near_dup,
+        "op5_mix_sources": op5_mix_sources,
+        "op6_language": op6_language,
     }
 
 
