@@ -10,6 +10,7 @@ from mercaflow.llm import language
 from mercaflow.llm.mixture import mix_sources
 from mercaflow.llm.near_dup import near_duplicates
 from mercaflow.llm.storage import table
+from mercaflow.llm.substring_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,12 +49,18 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontaminate": op1_decontaminate,
         "op3_near_dup": op3_near_dup,
         "op5_mix_sources": op5_mix_sources,
         "op6_language": op6_language,
+        "op10_substring_dedup": op10_substring_dedup,
     }
 
 
