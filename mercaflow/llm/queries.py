@@ -9,6 +9,7 @@ from mercaflow.llm.decontaminate import benchmark_hits
 from mercaflow.llm import language
 from mercaflow.llm.mixture import mix_sources
 from mercaflow.llm.near_dup import near_duplicates
+from mercaflow.llm.neighbours import nearest
 from mercaflow.llm.storage import table
 from mercaflow.llm.substring_dedup import remove_repeats
 
@@ -32,6 +33,11 @@ def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=2, threshold=0.8)
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed, documents = mix_sources(table(spark, sf_dir, "documents"))
     taken = mixed.groupBy("doc_id", "row").agg(F.sum("n_words").alias("taken"))
@@ -58,6 +64,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_decontaminate": op1_decontaminate,
         "op3_near_dup": op3_near_dup,
+        "op4_nearest": op4_nearest,
         "op5_mix_sources": op5_mix_sources,
         "op6_language": op6_language,
         "op10_substring_dedup": op10_substring_dedup,
