@@ -257,7 +257,8 @@ def mix_sources(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 17)
         "source_no", "block", "doc_id", "row", "source", (start - F.col("begin")).alias("first_word"),
         (start - F.col("block") * block_words).alias("place"), (end - start).alias("length"),
     )
-    taken = drawn.join(pieces, ["source_no", "block"]).withColumn(
+    # Both sides grow with the input: their size is not known beforehand, and neither may be broadcast.
+    taken = drawn.join(pieces.hint("merge"), ["source_no", "block"]).withColumn(
         "n_words", F.least("length", F.col("from_block") - F.col("place"))
     ).filter("n_words > 0").select(
         "shard", "slot", "source", "epoch", "block", "place", "doc_id", "row", "first_word", "n_words"
