@@ -10,6 +10,7 @@ from mercaflow.llm import language
 from mercaflow.llm.mixture import mix_sources
 from mercaflow.llm.near_dup import near_duplicates
 from mercaflow.llm.neighbours import nearest
+from mercaflow.llm.ngram_lm import score_corpus
 from mercaflow.llm.storage import table
 from mercaflow.llm.substring_dedup import remove_repeats
 
@@ -29,6 +30,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learns = F.crc32(F.col("doc_id").cast("string")) % 7 != 2
+    return score_corpus(table(spark, sf_dir, "documents"), learns)
+
+
 def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=2, threshold=0.8)
 
@@ -63,6 +69,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_decontaminate": op1_decontaminate,
+        "op2_lm_score": op2_lm_score,
         "op3_near_dup": op3_near_dup,
         "op4_nearest": op4_nearest,
         "op5_mix_sources": op5_mix_sources,
