@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mercaflow.llm.decontaminate import benchmark_hits
 from mercaflow.llm import language
+from mercaflow.llm.line_dedup import dedup_lines
 from mercaflow.llm.mixture import mix_sources
 from mercaflow.llm.near_dup import near_duplicates
 from mercaflow.llm.neighbours import nearest
@@ -61,6 +62,11 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed_lines", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -74,6 +80,7 @@ def queries() -> dict[str, Query]:
         "op4_nearest": op4_nearest,
         "op5_mix_sources": op5_mix_sources,
         "op6_language": op6_language,
+        "op9_line_dedup": op9_line_dedup,
         "op10_substring_dedup": op10_substring_dedup,
     }
 
