@@ -14,6 +14,7 @@ from mercaflow.llm.neighbours import nearest
 from mercaflow.llm.ngram_lm import score_corpus
 from mercaflow.llm.storage import table
 from mercaflow.llm.substring_dedup import remove_repeats
+from mercaflow.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +63,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_removed_lines", F.sha2("text", 256).alias("kept_sha256"))
@@ -80,10 +85,16 @@ def queries() -> dict[str, Query]:
         "op4_nearest": op4_nearest,
         "op5_mix_sources": op5_mix_sources,
         "op6_language": op6_language,
+        "op7_token_counts": op7_token_counts,
         "op9_line_dedup": op9_line_dedup,
         "op10_substring_dedup": op10_substring_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op7_token_counts": r"""
+            SELECT doc_id, length(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens
+            FROM documents
+        """
+    }
