@@ -15,6 +15,8 @@ from mercaflow.llm.ngram_lm import score_corpus
 from mercaflow.llm.storage import table
 from mercaflow.llm.substring_dedup import remove_repeats
 from mercaflow.llm.token_counts import token_counts
+from mercaflow.llm.tool_calls import link_tool_calls
+from mercaflow.llm.tool_view import SCHEMAS, SQL as TOOL_SQL, tool_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +69,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = link_tool_calls(tool_messages(table(spark, sf_dir, "conversations")), SCHEMAS)
+    n_errors = F.when(F.col("errors").isNotNull(), F.size("errors"))
+    return linked.select("conv_id", "turn", "call_id", "position", "level", "status", n_errors.alias("n_errors"), "record")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_removed_lines", F.sha2("text", 256).alias("kept_sha256"))
@@ -86,6 +94,7 @@ def queries() -> dict[str, Query]:
         "op5_mix_sources": op5_mix_sources,
         "op6_language": op6_language,
         "op7_token_counts": op7_token_counts,
+        "op8_tool_calls": op8_tool_calls,
         "op9_line_dedup": op9_line_dedup,
         "op10_substring_dedup": op10_substring_dedup,
     }
@@ -96,5 +105,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_token_counts": r"""
             SELECT doc_id, length(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens
             FROM documents
-        """
+        """,
+        "op8_tool_calls": TOOL_SQL,
     }
