@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mercaflow.llm.storage import stored
@@ -34,15 +35,9 @@ BUCKET_DOCS = 2048
 # Bound of the per-source table that tasks hold.
 MOST_SOURCES = 100_000
 
-_SPACE = r"[\x20\x09-\x0D]+"
 PART_SCHEMA = "source_no long, epoch long, position long, shard long, slot long"
 
 
-def words_in(text: Column) -> Column:
-    """The words of a text; none for a null."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), _SPACE), lambda w: w != "")
-
-
 def count_words(text: Column) -> Column:
     count = F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+"))
     return F.coalesce(count, F.lit(0)).cast("long")
@@ -281,13 +276,36 @@ def _slots(size, target, blocks, block_words: int, seed: int) -> np.ndarray:
     return totals
 
 
+PIECE = "shard long, slot long, epoch long, block long, place long, first_word long, n_words long"
+TEXT_SCHEMA = "doc_id long, source string, shard long, slot long, epoch long, block long, place long, n_words long, text string"
+
+
+def _cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        columns = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "source", "text", "pieces")))
+        for doc_id, source, text, pieces in columns:
+            words = text.encode().split()
+            rows = [
+                {"doc_id": doc_id, "source": source, **p, "text": b" ".join(words[p["first_word"] : p["first_word"] + p["n_words"]]).decode()}
+                for p in pieces
+            ]
+            frame = pa.Table.from_pylist(rows, schema=_TEXT).combine_chunks()
+            yield from frame.to_batches()
+
+
+_TEXT = pa.schema(
+    [(c.split()[0], pa.string() if c.endswith("string") else pa.int64()) for c in TEXT_SCHEMA.split(", ")]
+)
+
+
 def with_texts(taken: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pieces of a mix with their ``text``. Rows of ``docs`` that share a
-    ``doc_id`` are told apart as ``mix_sources`` does."""
+    """The pieces of a mix with their ``text``: ``doc_id``, ``source``, ``shard``,
+    ``slot``, ``epoch``, ``block``, ``place``, ``n_words`` and ``text``. Rows of
+    ``docs`` that share a ``doc_id`` are told apart as ``mix_sources`` does."""
     same = Window.partitionBy("doc_id").orderBy("source", F.xxhash64("text"))
-    texts = docs.select("doc_id", "source", "text")
-    texts = texts.withColumn("row", F.row_number().over(same).cast("long")).select("doc_id", "row", "text")
-    key = taken["doc_id"].eqNullSafe(texts["doc_id"]) & (taken["row"] == texts["row"])
-    joined = taken.join(texts, key).drop(texts["doc_id"], texts["row"])
-    piece = F.slice(words_in(F.col("text")), (F.col("first_word") + 1).cast("int"), F.col("n_words").cast("int"))
-    return joined.withColumn("text", F.array_join(piece, " "))
+    texts = docs.select("doc_id", "source", "text").withColumn("row", F.row_number().over(same).cast("long"))
+    piece = F.struct(*(c.split()[0] for c in PIECE.split(", ")))
+    pieces = taken.groupBy("doc_id", "row").agg(F.collect_list(piece).alias("pieces")).toDF("id", "no", "pieces")
+    key = texts["doc_id"].eqNullSafe(pieces["id"]) & (texts["row"] == pieces["no"])
+    joined = texts.join(pieces, key).select("doc_id", "source", "text", "pieces")
+    return joined.mapInArrow(_cut_pieces, TEXT_SCHEMA)
