@@ -35,8 +35,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from mercaflow.llm.storage import partitions, stored
 from mercaflow.llm.words import LOWER, U64, words_of
 
-BATCH_WORDS = 1 << 21
-SHARD_WORDS = 6_000_000
+BATCH_WORDS = 1 << 20
+SHARD_WORDS = 2_500_000
 # Words with more than this part of a shard's share are dealt by their successor.
 HOT_SHARE = 0.25
 CODES = 256
