@@ -91,6 +91,7 @@ class JobConfig:
     feeds: tuple[TransactionFeed, ...] = TRANSACTION_FEEDS
     weather_feed: str = WEATHER_FEED
     weather_multiline: bool = True
+    weather_schema: str | None = None
     spark_conf: dict[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -135,15 +136,22 @@ def parse_config(description: str, argv: Sequence[str] | None = None) -> JobConf
     parser.add_argument("--persist_transactions", action="store_true", default=None)
     parser.add_argument("--no_register", dest="register", action="store_false", default=None)
     parser.add_argument("--json_lines", action="store_true", help="feeds hold one document per line")
+    parser.add_argument(
+        "--schema", action="append", default=[], metavar="FEED=DDL", help="saves the inference pass over a feed"
+    )
     parser.add_argument("--spark_conf", action="append", default=[], metavar="KEY=VALUE")
     args = vars(parser.parse_args(argv))
 
     names = [args.pop("src_patagonia"), args.pop("src_riohacha")]
     multiline = not args.pop("json_lines")
-    feeds = tuple(
-        TransactionFeed(name or feed.name, multiline, feed.schema)
-        for name, feed in zip(names, TRANSACTION_FEEDS)
-    )
+    schemas = dict(pair.split("=", 1) for pair in args.pop("schema"))
+    chosen = [(name or feed.name, feed) for name, feed in zip(names, TRANSACTION_FEEDS)]
+    weather = args.get("weather_feed") or WEATHER_FEED
+    if unknown := set(schemas) - {name for name, _ in chosen} - {weather}:
+        parser.error(f"schema of unknown feeds: {sorted(unknown)}")
+    feeds = tuple(TransactionFeed(name, multiline, schemas.get(name, feed.schema)) for name, feed in chosen)
     conf = dict(pair.split("=", 1) for pair in args.pop("spark_conf"))
     given = {f.name: args[f.name] for f in fields(JobConfig) if args.get(f.name) is not None}
-    return JobConfig(**given, feeds=feeds, weather_multiline=multiline, spark_conf=conf)
+    return JobConfig(
+        **given, feeds=feeds, weather_multiline=multiline, weather_schema=schemas.get(weather), spark_conf=conf
+    )

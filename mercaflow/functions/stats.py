@@ -6,14 +6,25 @@ from pyspark.sql import Column, functions as F
 MONEY_SCALE = 4
 
 
-def money_total(column: str | Column) -> Column:
-    """Sum of money, rounded to four decimals.
+def exact_total(column: str | Column, scale: int = MONEY_SCALE) -> Column:
+    """Sum of money as a decimal, whatever the order of the additions.
 
-    The additions run on doubles, which whole-stage code generation keeps in
-    registers; the rounding, once per group, removes what the order of the
-    additions left behind, so equal totals compare equal in ranks and ties.
+    Each amount counts to ``scale`` decimals. Whole units and fractions are
+    added up as two integers, which whole-stage code generation keeps in
+    registers, and which hold up to 9e18 units in all.
     """
-    return F.round(F.sum(column).cast("double"), MONEY_SCALE)
+    amount = (F.col(column) if isinstance(column, str) else column).cast("double")
+    unit = 10**scale
+    whole = F.floor(amount)
+    fraction = F.round((amount - whole) * unit).cast("bigint")
+    units = F.sum(whole.cast("bigint")).cast("decimal(19,0)") * F.lit(unit).cast("decimal(7,0)")
+    total = units + F.sum(fraction).cast("decimal(19,0)")
+    return (total / F.lit(unit).cast("decimal(7,0)")).cast(f"decimal(28,{scale})")
+
+
+def money_total(column: str | Column, scale: int = MONEY_SCALE) -> Column:
+    """``exact_total`` as a double, rounded once at the end."""
+    return F.round(exact_total(column, scale), MONEY_SCALE).cast("double")
 
 
 def distinct_total(column: str, exact: bool) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mercaflow.functions.columns import ensure_columns
-from mercaflow.functions.stats import MONEY_SCALE
+from mercaflow.functions.stats import exact_total
 from mercaflow.operators.weather import METRIC_NAMES, attach_weather
 from mercaflow.schemas import WEATHER_METRICS
 
@@ -32,14 +32,17 @@ def fact_sales_daily(
         "revenue",
         "unique_customers",
         *METRIC_NAMES,
-        F.when(F.col("orders") > 0, F.col("revenue") / F.col("orders"))
-        .otherwise(F.lit(0.0))
-        .alias("avg_ticket"),
+        _ticket().alias("avg_ticket"),
         "channel_mix",
         "payment_mix",
     )
 
 
+def _ticket() -> Column:
+    """Revenue per order; 0 where there is no order, NULL without revenue."""
+    return F.nvl2(F.nullif("orders", F.lit(0)), F.try_divide("revenue", "orders"), F.lit(0.0))
+
+
 def _fact_details(df: DataFrame, on_lines: list[str], exact: bool) -> DataFrame:
     """Everything a fact row is made of, one level below it.
 
@@ -64,7 +67,7 @@ def _fact_details(df: DataFrame, on_lines: list[str], exact: bool) -> DataFrame:
         # As a key it keeps the aggregation on hashes; a minimum of text would sort all lines.
         mix.append(F.col(CODE))
     sums = [
-        F.sum("revenue").cast("double").alias("revenue"),
+        exact_total("revenue").alias("revenue"),
         F.sum("quantity").alias("items_sold"),
         *_weather_parts(on_lines),
     ]
@@ -120,7 +123,7 @@ def _with_mixes(details: DataFrame, on_lines: list[str]) -> DataFrame:
             F.sum("orders").alias("orders"),
             F.sum("unique_customers").alias("unique_customers"),
             total("items_sold").alias("items_sold"),
-            F.round(total("revenue"), MONEY_SCALE).alias("revenue"),
+            total("revenue").cast("double").alias("revenue"),
             *weather,
             F.collect_list(F.when(in_mix, F.struct("channel", "payment_method", "revenue"))).alias("mix"),
         )
@@ -140,9 +143,9 @@ def _mix_map(dimension: str) -> Column:
         amounts = F.filter("mix", lambda e: e[dimension] == value)
         summed = F.aggregate(
             amounts,
-            F.lit(None).cast("double"),
-            lambda total, e: F.coalesce(total + e["revenue"], total, e["revenue"]),
+            F.lit(None).cast("decimal(28,4)"),
+            lambda total, e: F.coalesce((total + e["revenue"]).cast("decimal(28,4)"), total, e["revenue"]),
         )
-        return F.round(summed, MONEY_SCALE)
+        return summed.cast("double")
 
     return F.map_from_arrays(values, F.transform(values, revenue))

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import logging
 import sys
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
@@ -15,7 +15,7 @@ from mercaflow.config import (
 )
 from mercaflow.operators.quality import corrupt_records, quality_metrics, readable_records
 from mercaflow.plans.common import register, run_job
-from mercaflow.sinks.tables import write_partitions
+from mercaflow.sinks.tables import clear_owned, write_owned
 from mercaflow.sources.feeds import (
     read_first_available,
     read_json_source,
@@ -24,7 +24,6 @@ from mercaflow.sources.feeds import (
 )
 
 logger = logging.getLogger(__name__)
-PARTITION_BY = ("ingestion_date", "source")
 
 
 def run_bronze(spark: SparkSession, config: JobConfig) -> dict[str, dict[str, int]]:
@@ -62,7 +61,8 @@ def read_weather_feed(spark: SparkSession, config: JobConfig) -> DataFrame | Non
                 f"{folder}/*",
                 config.weather_feed,
                 config.run_date,
-                multiline=config.weather_multiline,
+                config.weather_schema,
+                config.weather_multiline,
             ),
         ]
     )
@@ -75,31 +75,41 @@ def _store(
     raw: DataFrame | None,
     required: Sequence[str],
 ) -> dict[str, int]:
+    path, quarantine = config.bronze_path(feed), config.quarantine_path(feed)
+    owned = {"ingestion_date": config.run_date, "source": feed}
     if raw is None or raw.isEmpty():
         logger.warning("no data for %s on %s", feed, config.run_date)
+        for table in (path, quarantine):
+            clear_owned(spark, table, owned)
         return {}
-    path = config.bronze_path(feed)
-    metrics = ingest(raw, path, config.quarantine_path(feed), required)
+    metrics = ingest(raw, path, quarantine, owned, required)
     logger.info("bronze %s: %s", feed, metrics)
     register(spark, config, f"bronze_{feed}", path)
     return metrics
 
 
 def ingest(
-    raw: DataFrame, path: str, quarantine_path: str, required: Sequence[str] = ()
+    raw: DataFrame,
+    path: str,
+    quarantine_path: str,
+    owned: Mapping[str, str],
+    required: Sequence[str] = (),
 ) -> dict[str, int]:
     """Write the readable records; metrics come with the write.
 
     The write is map-only: ingestion never shuffles the raw data. Only when
     the metrics show unreadable records are the files parsed again for them.
+    Both tables are replaced for the ``owned`` date and source.
     """
     observation = Observation()
     metrics = quality_metrics(raw, required)
     observed = raw.observe(observation, *[expr.alias(name) for name, expr in metrics.items()])
-    write_partitions(readable_records(observed), path, PARTITION_BY)
+    write_owned(readable_records(observed), path, owned)
     counts = observation.get
     if counts.get("corrupt"):
-        write_partitions(corrupt_records(raw), quarantine_path, PARTITION_BY)
+        write_owned(corrupt_records(raw), quarantine_path, owned)
+    else:
+        clear_owned(raw.sparkSession, quarantine_path, owned)
     return counts
 
 

@@ -12,7 +12,7 @@ from mercaflow.operators import kpis
 from mercaflow.operators.fact import fact_sales_daily
 from mercaflow.operators.weather import attach_weather
 from mercaflow.plans.common import register, run_job
-from mercaflow.sinks.tables import fill_partitions, with_dt, write_table
+from mercaflow.sinks.tables import clear_owned, fill_partitions, write_table
 from mercaflow.sources.tables import load_transactions, load_weather
 
 logger = logging.getLogger(__name__)
@@ -43,10 +43,10 @@ def gold_frames(
 
 def write_gold(df: DataFrame, name: str, config: JobConfig) -> dict[str, int]:
     table = GOLD_TABLES[name]
-    stamped = with_dt(df, config.run_date)
     if table.fill:
-        stamped = fill_partitions(stamped)
-    return write_table(stamped, config.gold_path(name), table.partition_by)
+        df = fill_partitions(df)
+    rest = [c for c in table.partition_by if c != "dt"]
+    return write_table(df, config.gold_path(name), {"dt": config.run_date}, rest)
 
 
 def run_gold(
@@ -63,6 +63,8 @@ def run_gold(
     )
     if sales is None:
         logger.warning("no silver transactions for %s", config.run_date)
+        for name in tables:
+            clear_owned(spark, config.gold_path(name), {"dt": config.run_date})
         return {}
     weather = load_weather(
         spark, config.silver_path(config.weather_table), config.run_date, config.history_days

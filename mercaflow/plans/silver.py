@@ -5,13 +5,13 @@ import logging
 import sys
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import SparkSession
 
 from mercaflow.config import JobConfig, parse_config
 from mercaflow.operators.transactions import to_silver_names, union_feeds
 from mercaflow.operators.weather import prepare_weather_features
 from mercaflow.plans.common import register, run_job
-from mercaflow.sinks.tables import write_table
+from mercaflow.sinks.tables import clear_owned, write_table
 from mercaflow.sources.tables import read_bronze
 
 logger = logging.getLogger(__name__)
@@ -23,7 +23,7 @@ def run_silver(spark: SparkSession, config: JobConfig) -> dict[str, dict[str, in
     Standardizing is a narrow projection, so transactions are written by the
     tasks that read them; only the weather rollup shuffles.
     """
-    run_date = F.lit(config.run_date)
+    owned = {"run_date": config.run_date}
     results = {}
 
     transactions = union_feeds(
@@ -31,20 +31,19 @@ def run_silver(spark: SparkSession, config: JobConfig) -> dict[str, dict[str, in
     )
     if transactions is None:
         logger.warning("no transactions in bronze for %s", config.run_date)
+        clear_owned(spark, config.silver_path(config.transactions_table), owned)
     else:
-        stored = to_silver_names(transactions).withColumn("run_date", run_date)
         results[config.transactions_table] = write_table(
-            stored, config.silver_path(config.transactions_table), ["run_date"], rebalance=False
+            to_silver_names(transactions), config.silver_path(config.transactions_table), owned, rebalance=False
         )
 
     weather = read_bronze(spark, config.bronze_path(config.weather_feed), config.run_date)
     if weather is None:
         logger.info("no weather in bronze for %s", config.run_date)
+        clear_owned(spark, config.silver_path(config.weather_table), owned)
     else:
-        daily = prepare_weather_features(weather).withColumn("run_date", run_date)
-        results[config.weather_table] = write_table(
-            daily, config.silver_path(config.weather_table), ["run_date"]
-        )
+        daily = prepare_weather_features(weather)
+        results[config.weather_table] = write_table(daily, config.silver_path(config.weather_table), owned)
 
     for table, metrics in results.items():
         logger.info("silver %s: %s", table, metrics)

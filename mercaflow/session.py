@@ -2,20 +2,15 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import SparkSession, functions as F
-
-from mercaflow.sources.feeds import try_read
+from pyspark.sql import SparkSession
 
 # The smallest number of shuffle partitions, and the input each
 # one is meant for.
 MIN_SHUFFLE_PARTITIONS = 200
 SHUFFLE_INPUT_BYTES = 64 * 1024 * 1024
-# Past this the exchange is held up by its block count, not by its volume.
-MAX_SHUFFLE_PARTITIONS = 50_000
 
 
 def build_session(app_name: str, conf: dict[str, str] | None = None) -> SparkSession:
@@ -40,34 +35,28 @@ def size_shuffles(spark: SparkSession, paths: Iterable[str], override: int | Non
 
     Adaptive execution joins partitions that turn out small but cannot raise
     their number, so a large input has to ask for enough of them beforehand.
-    File lengths come from a listing on the cluster; no file is opened.
+    File lengths come from the file system; no file is opened.
     """
     if override:
         partitions = override
     else:
         total = sum(input_bytes(spark, path) for path in paths)
-        wanted = max(MIN_SHUFFLE_PARTITIONS, math.ceil(total / SHUFFLE_INPUT_BYTES))
-        partitions = min(wanted, MAX_SHUFFLE_PARTITIONS)
+        partitions = max(MIN_SHUFFLE_PARTITIONS, math.ceil(total / SHUFFLE_INPUT_BYTES))
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     return partitions
 
 
 def input_bytes(spark: SparkSession, path: str) -> int:
-    files = try_read(
-        lambda: spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    )
-    return 0 if files is None else files.agg(F.sum("length")).first()[0] or 0
+    """Bytes below ``path``, which may hold wildcards, by the file system's own
+    summaries: one call per match, no task."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sum(files.getContentSummary(match.getPath()).getLength() for match in files.globStatus(where) or [])
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a temporary folder; on a
-    cluster no other node would see it.
-    """
+    """A new folder below ``spark.checkpoint.dir``, or below the warehouse where
+    that is unset; executors see both."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="mercaflow-")
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -1,9 +1,9 @@
 """Partitioned parquet writes."""
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 # What a NULL partition value is stored as.
 PARTITION_FILLS = {"txn_date": "1970-01-01", "region": "unknown", "category": "unknown"}
@@ -20,9 +20,13 @@ def fill_partitions(df: DataFrame) -> DataFrame:
 
 
 def write_table(
-    df: DataFrame, path: str, partition_by: Sequence[str], rebalance: bool = True
+    df: DataFrame,
+    path: str,
+    owned: Mapping[str, str],
+    partition_by: Sequence[str] = (),
+    rebalance: bool = True,
 ) -> dict[str, int]:
-    """Overwrite the partitions that ``df`` holds; return the rows written.
+    """Replace what the run owns of a table; return the rows written.
 
     ``rebalance`` lets adaptive execution gather small and split large
     partitions into files near the advisory size; without it the write stays a
@@ -30,20 +34,35 @@ def write_table(
     the writing stage itself, where a repeated task counts once.
     """
     if rebalance:
-        df = df.hint("rebalance", *partition_by)
+        df = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
     observation = Observation()
     records = F.count(F.lit(1)).alias("records")
-    write_partitions(df.observe(observation, records), path, partition_by)
+    write_owned(df.observe(observation, records), path, owned, partition_by)
     return observation.get
 
 
-def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Dynamic overwrite: partitions not in ``df`` stay, so a date can be repeated."""
+def owned_path(path: str, owned: Mapping[str, str]) -> str:
+    return "/".join([path, *(f"{column}={value}" for column, value in owned.items())])
+
+
+def write_owned(
+    df: DataFrame, path: str, owned: Mapping[str, str], partition_by: Sequence[str] = ()
+) -> None:
+    """Overwrite the folder of the ``owned`` partition values as a whole, so
+    that nothing of an earlier run of the date stays, also if ``df`` is empty
+    or holds fewer partitions; other dates are not touched."""
     (
-        df.write.mode("overwrite")
+        df.drop(*owned)
+        .write.mode("overwrite")
         .format("parquet")
         .option("compression", "snappy")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static")
         .partitionBy(*partition_by)
-        .save(path)
+        .save(owned_path(path, owned))
     )
+
+
+def clear_owned(spark: SparkSession, path: str, owned: Mapping[str, str]) -> None:
+    """Remove what an earlier run of the date has left, for a run without rows."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(owned_path(path, owned))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from mercaflow.schemas import CORRUPT_COLUMN
 
 logger = logging.getLogger(__name__)
+PATH_COLUMN = "_source_path"
+# Fixed value: what a parsed document may hold at most.
+PARSE_BYTES = 16 << 20
 MISSING_CONDITIONS = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
@@ -38,10 +41,39 @@ def read_json_source(
     """JSON feed with its provenance; unreadable records keep their raw text in
     the corrupt column.
 
-    ``multiline`` reads one document per file, or one array of them; without
-    it, one document per line, which splits across tasks. A given ``schema``
-    saves the inference pass over the files.
+    ``multiline`` reads one document per file, or one array of them. A file
+    that holds more is read line by line instead, so nothing behind its first
+    document is lost; finding such files takes one more pass over the feed.
+    Without ``multiline`` there is one document per line, which splits across
+    tasks. A given ``schema`` saves the inference pass over the files.
     """
+    several = _files_of_several_documents(spark, path) if multiline else None
+    if several is None or several.isEmpty():
+        raw = _read_json(spark, path, schema, multiline)
+    else:
+        whole = _read_json(spark, path, schema, True).join(several, PATH_COLUMN, "left_anti")
+        lines = _read_json(spark, path, schema, False).join(several, PATH_COLUMN, "left_semi")
+        raw = whole.unionByName(lines, allowMissingColumns=True)
+    return add_metadata_columns(raw, source, ingestion_date, F.col(PATH_COLUMN)).drop(PATH_COLUMN)
+
+
+def _files_of_several_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Files whose first document is followed by something: they parse, but not
+    as the one element of an array. A file that is too large for this parse
+    counts as one of them, so that it is read or quarantined by its lines."""
+    text = F.col("value")
+    parsed = F.try_parse_json(text)
+    as_element = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    files = spark.read.text(path, wholetext=True).filter(F.trim(text) != "")
+    too_large = parsed.isNull() & (F.octet_length(text) > PARSE_BYTES)
+    first_only = too_large | (parsed.isNotNull() & as_element.isNull())
+    return files.filter(first_only).select(F.col("_metadata.file_path").alias(PATH_COLUMN))
+
+
+def _read_json(
+    spark: SparkSession, path: str, schema: T.StructType | str | None, multiline: bool
+) -> DataFrame:
+    """The records of ``path`` with the corrupt column and their file."""
     reader = spark.read.options(
         multiLine=multiline, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT_COLUMN
     )
@@ -57,7 +89,7 @@ def read_json_source(
         # Not one readable record, so there is nothing to parse for.
         raw = spark.read.text(path, wholetext=multiline).withColumnRenamed("value", CORRUPT_COLUMN)
         raw = raw.filter(F.trim(CORRUPT_COLUMN) != "")
-    return add_metadata_columns(raw, source, ingestion_date, F.col("_metadata.file_path"))
+    return raw.withColumn(PATH_COLUMN, F.col("_metadata.file_path"))
 
 
 def read_parquet_source(

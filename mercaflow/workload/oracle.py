@@ -270,6 +270,23 @@ FROM ({_FEEDS})"""
 _RAW_LINE = """CONCAT('{"transaction_id":"', CAST(l_orderkey AS VARCHAR), '","line":', CAST(l_linenumber AS VARCHAR)"""
 
 
+# What the gold tables hold in place of a NULL partition value.
+_FILLS = {"txn_date": "DATE '1970-01-01'", "region": "'unknown'", "category": "'unknown'"}
+RUN_DATE = "2025-10-11"
+
+
+def _filled(sql: str, *columns: str) -> str:
+    """A gold table as stored: its run date, and fills for NULL partitions."""
+    fills = ", ".join(f"COALESCE({c}, {_FILLS[c]}) AS {c}" for c in columns)
+    return f"SELECT '{RUN_DATE}' AS dt, * {f'REPLACE ({fills})' if fills else ''} FROM ({sql})"
+
+
+def _close(sql: str, *counts: str) -> str:
+    """The exact rows, with the claims that a sketched query makes of itself."""
+    flags = ", ".join(f"TRUE AS {c}_close" for c in counts)
+    return f"SELECT *, {flags}, TRUE AS rest_equal FROM ({sql})"
+
+
 def oracle() -> dict[str, str]:
     return {
         "silver_standardize": f"SELECT * EXCLUDE (l_linestatus), 'english' AS source FROM ({_ENGLISH})",
@@ -281,7 +298,9 @@ def oracle() -> dict[str, str]:
         "top_products_by_category": top_products(SALES),
         "top_products_by_category_nulls": top_products(DIRTY_SALES),
         "customer_frequency_ticket": customer_frequency(SALES),
+        "customer_frequency_ticket_approx": _close(customer_frequency(SALES), "transaction_count"),
         "revenue_by_region": revenue_by_region(SALES),
+        "revenue_by_region_approx": _close(revenue_by_region(SALES), "weekly_orders", "monthly_orders"),
         "revenue_by_region_nulls": revenue_by_region(DIRTY_SALES),
         "new_vs_returning": new_vs_returning(SALES),
         "new_vs_returning_nulls": new_vs_returning(DIRTY_SALES),
@@ -291,6 +310,7 @@ def oracle() -> dict[str, str]:
         "price_volume_corr": price_volume(SALES),
         "margin_by_product": margin(SALES),
         "channel_payment_perf": channel_payment(SALES),
+        "channel_payment_perf_approx": _close(channel_payment(SALES), "orders"),
         "channel_payment_perf_nulls": channel_payment(DIRTY_SALES),
         "anomalies": anomalies(SALES),
         "anomalies_nulls": anomalies(DIRTY_SALES),
@@ -318,6 +338,7 @@ def oracle() -> dict[str, str]:
         "attach_weather_missing": f"SELECT {_ATTACH_COLUMNS}, {_NO_WEATHER} FROM ({SALES}) t",
         "weather_impact": weather_impact(SALES),
         "fact_sales_daily": fact(SALES, _WEATHER_BY_REGION),
+        "fact_sales_daily_approx": _close(fact(SALES, _WEATHER_BY_REGION), "orders", "unique_customers"),
         "fact_sales_daily_nulls": fact(DIRTY_SALES, None),
         "channel_mix": mix(SALES, "channel"),
         "channel_mix_nulls": mix(DIRTY_SALES, "channel"),
@@ -358,4 +379,16 @@ def oracle() -> dict[str, str]:
         "medallion_price_volume_corr": price_volume(_STORED_SALES),
         "medallion_weather_daily": f"SELECT region, weather_date, {_ROUNDED_WEATHER} FROM ({_DAILY_WEATHER})",
         "medallion_weather_impact": weather_impact(_STORED_SALES),
+        "medallion_top_products_by_category": _filled(top_products(_STORED_SALES), "txn_date", "category"),
+        "medallion_customer_frequency_ticket": _filled(customer_frequency(_STORED_SALES)),
+        "medallion_new_vs_returning": _filled(new_vs_returning(_STORED_SALES)),
+        "medallion_channel_payment_perf": _filled(channel_payment(_STORED_SALES), "txn_date", "region"),
+        "medallion_anomalies": _filled(anomalies(_STORED_SALES), "txn_date", "region"),
+        "medallion_fact_sales_daily": _filled(
+            fact(_STORED_SALES, _WEATHER_BY_REGION), "txn_date", "region", "category"
+        ),
+        "medallion_rerun": f"""
+            SELECT '{RUN_DATE}' AS dt, * FROM ({channel_payment(f"SELECT * FROM ({_STORED_SALES}) WHERE source = 'spanish'")})""",
+        "bronze_json_multiline": """
+            SELECT o_orderkey, o_custkey, o_orderstatus, 'orders' AS source FROM orders""",
     }

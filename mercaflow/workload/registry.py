@@ -6,8 +6,11 @@ comparison by value; the operators themselves return them in full.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mercaflow.config import JobConfig, TransactionFeed
 from mercaflow.functions.columns import decimal_column
@@ -216,7 +219,7 @@ def bronze_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw_path, path, bad_path = (shared_folder(spark, n) for n in ("raw", "bronze", "badrecords"))
     lines.select(text.alias("value")).write.text(raw_path)
     raw = read_json_source(spark, raw_path, "lineitem", RUN_DATE, multiline=False)
-    ingest(raw, path, bad_path)
+    ingest(raw, path, bad_path, {"ingestion_date": RUN_DATE, "source": "lineitem"})
     good, bad = spark.read.parquet(path), spark.read.parquet(bad_path)
     return (
         good.select(
@@ -279,6 +282,48 @@ def _medallion_gold(name: str, rounded: Sequence[str] = ()) -> Query:
     return query
 
 
+def _stored_gold(name: str, adapt: Callable[[DataFrame], DataFrame] = lambda df: df) -> Query:
+    """A gold table as stored, with its run date."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        config = _medallion(spark, sf_dir)
+        run_gold(spark, config, [name])
+        return adapt(_text_dt(spark.read.parquet(config.gold_path(name))))
+
+    return query
+
+
+def _text_dt(df: DataFrame) -> DataFrame:
+    return df.withColumn("dt", F.col("dt").cast("string"))
+
+
+def medallion_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A date run twice: the second time one feed is gone, and with it all it
+    had brought."""
+    config = _medallion(spark, sf_dir)
+    run_gold(spark, config, ["channel_payment_perf"])
+    again = replace(config, feeds=(replace(config.feeds[0], name="nothing"), config.feeds[1]))
+    run_bronze(spark, again)
+    run_silver(spark, again)
+    run_gold(spark, again, ["channel_payment_perf"])
+    return _text_dt(spark.read.parquet(config.gold_path("channel_payment_perf")))
+
+
+def bronze_json_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders as files of one array and files of several documents, read in
+    the mode that takes a file for one document."""
+    path = shared_folder(spark, "multiline")
+    orders = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    document = F.to_json(F.struct("o_orderkey", "o_custkey", "o_orderstatus"))
+    orders.filter("o_orderstatus <> 'O'").select(document.alias("value")).write.text(f"{path}/lines")
+    bucket = F.pmod(F.xxhash64("o_orderkey"), F.lit(64))
+    listed = F.array_join(F.collect_list(document), ",\n")
+    arrays = orders.filter("o_orderstatus = 'O'").groupBy(bucket).agg(F.concat(F.lit("[\n"), listed, F.lit("\n]")).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(f"{path}/arrays")
+    df = read_json_source(spark, f"{path}/*", "orders", RUN_DATE, schema=orders.schema)
+    return df.select("o_orderkey", "o_custkey", "o_orderstatus", "source")
+
+
 _PRODUCT_DAY = ("category", "product_id", "product_name", "txn_date", "revenue", "quantity")
 _CUSTOMER_MONTH = ("customer_id", "region", "txn_date", "txn_id", "revenue", "quantity")
 _REGION_PERIOD = ("region", "txn_date", "txn_id", "revenue", "quantity")
@@ -288,8 +333,39 @@ _REGION_DAY = ("txn_date", "region", "category", "revenue", "quantity")
 _MARGIN = ("product_id", "product_name", "category", "revenue", "quantity", "unit_price", "unit_cost")
 
 
-def _approx(kpi: Callable[..., DataFrame]) -> Callable[[DataFrame], DataFrame]:
-    return lambda df: kpi(df, exact=False)
+# Relative deviation that the sketches of approx_count_distinct keep to, and how
+# many times of it one count out of thousands may be off.
+SKETCH_DEVIATION = 0.05
+SKETCH_BOUND = 5
+
+
+def _sketched(exact: Query, approx: Query, keys: Sequence[str], counts: Sequence[str], derived: Sequence[str] = ()) -> Query:
+    """The exact rows, each with whether its sketched counts are within their
+    bound, and whether all else is equal; ``derived`` columns stem from counts."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows, sketch = exact(spark, sf_dir).alias("e"), approx(spark, sf_dir).alias("s")
+        matching = [F.col(f"e.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
+        rest = [c for c in rows.columns if c not in {*keys, *counts, *derived}]
+
+        def close(count: str) -> Column:
+            value, estimate = F.col(f"e.{count}"), F.col(f"s.{count}")
+            bound = F.greatest(F.lit(1.0), SKETCH_BOUND * SKETCH_DEVIATION * value)
+            return (F.abs(value - estimate) <= bound) | (value.isNull() & estimate.isNull())
+
+        equal = reduce(and_, (F.col(f"e.{c}").eqNullSafe(F.col(f"s.{c}")) for c in rest))
+        return rows.join(sketch, reduce(and_, matching), "left").select(
+            "e.*",
+            *[F.coalesce(close(c), F.lit(False)).alias(f"{c}_close") for c in counts],
+            equal.alias("rest_equal"),
+        )
+
+    return query
+
+
+def _sketched_kpi(kpi: Callable[..., DataFrame], columns: Sequence[str], keys, counts, derived=()) -> Query:
+    exact = _over_sales(kpi, *columns)
+    return _sketched(exact, _over_sales(lambda df: kpi(df, exact=False), *columns), keys, counts, derived)
 
 
 def _anomalies(df: DataFrame) -> DataFrame:
@@ -308,14 +384,22 @@ def queries() -> dict[str, Query]:
         "customer_frequency_ticket": _over_sales(
             kpis.customer_frequency_ticket, *_CUSTOMER_MONTH
         ),
-        "customer_frequency_ticket_approx": _over_sales(
-            _approx(kpis.customer_frequency_ticket), *_CUSTOMER_MONTH
+        "customer_frequency_ticket_approx": _sketched_kpi(
+            kpis.customer_frequency_ticket,
+            _CUSTOMER_MONTH,
+            ["txn_month", "customer_id", "region"],
+            ["transaction_count"],
         ),
         "revenue_by_region": _over_sales(kpis.revenue_by_region, *_REGION_PERIOD),
         "revenue_by_region_nulls": _over_sales(
             kpis.revenue_by_region, *_REGION_PERIOD, dirty=True
         ),
-        "revenue_by_region_approx": _over_sales(_approx(kpis.revenue_by_region), *_REGION_PERIOD),
+        "revenue_by_region_approx": _sketched_kpi(
+            kpis.revenue_by_region,
+            _REGION_PERIOD,
+            ["period_type", "period_start", "region"],
+            ["weekly_orders", "monthly_orders"],
+        ),
         "new_vs_returning": _over_sales(kpis.new_vs_returning, *_CUSTOMER_DATES),
         "new_vs_returning_nulls": _over_sales(
             kpis.new_vs_returning, *_CUSTOMER_DATES, dirty=True
@@ -339,7 +423,12 @@ def queries() -> dict[str, Query]:
         "channel_payment_perf_nulls": _over_sales(
             kpis.channel_payment_perf, *_CHANNEL_DAY, dirty=True
         ),
-        "channel_payment_perf_approx": _over_sales(_approx(kpis.channel_payment_perf), *_CHANNEL_DAY),
+        "channel_payment_perf_approx": _sketched_kpi(
+            kpis.channel_payment_perf,
+            _CHANNEL_DAY,
+            ["channel", "payment_method", "region", "txn_date"],
+            ["orders"],
+        ),
         "anomalies": _over_sales(_anomalies, *_REGION_DAY, rounded=["z_score"]),
         "anomalies_nulls": _over_sales(_anomalies, *_REGION_DAY, dirty=True, rounded=["z_score"]),
         "weather_hourly": weather_hourly,
@@ -351,8 +440,12 @@ def queries() -> dict[str, Query]:
         "weather_impact": weather_impact,
         "fact_sales_daily": fact_scalars,
         "fact_sales_daily_nulls": fact_scalars_nulls,
-        "fact_sales_daily_approx": lambda spark, sf_dir: _fact_scalars(
-            fact_with_weather(spark, sf_dir, exact=False)
+        "fact_sales_daily_approx": _sketched(
+            fact_scalars,
+            lambda spark, sf_dir: _fact_scalars(fact_with_weather(spark, sf_dir, exact=False)),
+            FACT_KEYS,
+            ["orders", "unique_customers"],
+            ["avg_ticket"],
         ),
         "channel_mix": _mix_rows("channel_mix", "channel"),
         "channel_mix_nulls": _mix_rows("channel_mix", "channel", dirty=True),
@@ -371,4 +464,14 @@ def queries() -> dict[str, Query]:
         ),
         "medallion_weather_daily": medallion_weather_daily,
         "medallion_weather_impact": _medallion_gold("weather_impact", WEATHER_IMPACT_DOUBLES),
+        "medallion_top_products_by_category": _stored_gold("top_products_by_category"),
+        "medallion_customer_frequency_ticket": _stored_gold("customer_frequency_ticket"),
+        "medallion_new_vs_returning": _stored_gold("new_vs_returning"),
+        "medallion_channel_payment_perf": _stored_gold("channel_payment_perf"),
+        "medallion_anomalies": _stored_gold(
+            "anomalies", lambda df: _rounded(_rounded(df, ["std_revenue"], 4), ["z_score"])
+        ),
+        "medallion_fact_sales_daily": _stored_gold("fact_sales_daily", _fact_scalars),
+        "medallion_rerun": medallion_rerun,
+        "bronze_json_multiline": bronze_json_multiline,
     }

@@ -16,6 +16,7 @@ from mercaflow.sources.feeds import (
 )
 
 DAY = "2025-10-11"
+OWNED = {"ingestion_date": DAY, "source": "s"}
 
 
 def write(folder, name, text):
@@ -110,9 +111,32 @@ def test_quality_report_counts_nulls_of_existing_columns(spark):
 def test_ingest_writes_both_kinds_and_returns_metrics(spark, tmp_path):
     write(tmp_path / "raw", "x.json", '{"id": "1"}\n{"id": null}\n{"id": \n')
     raw = read_json_source(spark, str(tmp_path / "raw"), "s", DAY, multiline=False)
-    counts = ingest(raw, str(tmp_path / "bronze"), str(tmp_path / "bad"), ["id", "txn_id"])
+    counts = ingest(raw, str(tmp_path / "bronze"), str(tmp_path / "bad"), OWNED, ["id", "txn_id"])
     assert (counts["records"], counts["corrupt"]) == (3, 1)
     good = spark.read.parquet(str(tmp_path / "bronze"))
     assert good.count() == 2 and "_corrupt_record" not in good.columns
     assert spark.read.parquet(str(tmp_path / "bad")).first()._corrupt_record.startswith('{"id":')
     assert os.path.isdir(tmp_path / "bronze" / f"ingestion_date={DAY}" / "source=s")
+
+
+@pytest.mark.parametrize("schema", [None, "id string"])
+def test_several_documents_in_a_multiline_file_are_all_read(spark, tmp_path, schema):
+    write(tmp_path, "lines.json", '{"id": "1"}\n{"id": "2"}\n{"id": \n')
+    write(tmp_path, "array.json", '[{"id": "3"},\n {"id": "4"}]')
+    write(tmp_path, "one.json", '{"id":\n "5"}\n')
+    write(tmp_path, "blank.json", " \n\n")
+    raw = read_json_source(spark, str(tmp_path), "s", DAY, schema)
+    assert sorted(r.id for r in readable_records(raw).collect()) == ["1", "2", "3", "4", "5"]
+    assert [r._corrupt_record for r in corrupt_records(raw).collect()] == ['{"id": ']
+    assert raw.filter("file_name is null").isEmpty()
+
+
+def test_a_corrected_file_leaves_no_quarantine(spark, tmp_path):
+    bronze, bad = str(tmp_path / "bronze"), str(tmp_path / "bad")
+    for text, corrupt in (('{"id": "1"}\n{"id": \n', 1), ('{"id": "1"}\n{"id": "2"}\n', 0)):
+        write(tmp_path / "raw", "x.json", text)
+        raw = read_json_source(spark, str(tmp_path / "raw"), "s", DAY, multiline=False)
+        counts = ingest(raw, bronze, bad, OWNED)
+        assert counts["corrupt"] == corrupt
+        assert os.path.isdir(f"{bad}/ingestion_date={DAY}/source=s") == bool(corrupt)
+    assert sorted(r.id for r in spark.read.parquet(bronze).collect()) == ["1", "2"]

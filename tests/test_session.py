@@ -1,7 +1,7 @@
 import pytest
 
 from mercaflow import session as S
-from mercaflow.config import JobConfig
+from mercaflow.config import JobConfig, parse_config
 from mercaflow.plans import bronze, gold, silver
 from tests.test_jobs import DAY1, english, put
 
@@ -23,8 +23,7 @@ def test_shuffles_are_sized_from_the_input(spark, tmp_path, monkeypatch, kept_pa
     assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
     monkeypatch.setattr(S, "SHUFFLE_INPUT_BYTES", 4)
     assert S.size_shuffles(spark, [str(tmp_path)]) == 375
-    monkeypatch.setattr(S, "MAX_SHUFFLE_PARTITIONS", 300)
-    assert S.size_shuffles(spark, [str(tmp_path)]) == 300
+    assert S.input_bytes(spark, f"{tmp_path}/*") == 1500
     assert S.size_shuffles(spark, [str(tmp_path)], override=7) == 7
 
 
@@ -46,17 +45,22 @@ def test_gold_of_a_date_without_rows_writes_no_rows(spark, tmp_path, kept_partit
     assert gold.run_gold(spark, later, ["anomalies"]) == {"anomalies": {"records": 0}}
 
 
-def test_a_cluster_needs_a_shared_folder():
+def test_the_warehouse_takes_the_place_of_an_unset_folder():
     class Conf:
         @staticmethod
         def get(key, default=None):
-            return default
+            return {"spark.sql.warehouse.dir": "hdfs:/warehouse"}.get(key, default)
 
-    class Context:
-        master = "yarn"
+    class Session:
+        conf = Conf
 
-    class Cluster:
-        conf, sparkContext = Conf, Context
+    assert S.shared_folder(Session, "x").startswith("hdfs:/warehouse/_intermediate/x-")
 
-    with pytest.raises(ValueError):
-        S.shared_folder(Cluster, "x")
+
+def test_a_schema_for_each_feed_on_the_command_line():
+    base = ["--input_bucket", "b", "--src_patagonia", "shop"]
+    config = parse_config("x", [*base, "--schema", "shop=id string, qty int", "--schema", "openmeteo=time string"])
+    assert [f.schema for f in config.feeds] == ["id string, qty int", None]
+    assert config.weather_schema == "time string"
+    with pytest.raises(SystemExit):
+        parse_config("x", [*base, "--schema", "nobody=id string"])

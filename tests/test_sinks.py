@@ -4,7 +4,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from mercaflow.sinks.catalog import register_table
-from mercaflow.sinks.tables import fill_partitions, with_dt, write_table
+from mercaflow.sinks.tables import clear_owned, fill_partitions, with_dt, write_table
 from mercaflow.sources.tables import load_transactions, load_weather, read_partition
 from mercaflow.session import shared_folder
 
@@ -12,20 +12,36 @@ from mercaflow.session import shared_folder
 def test_a_rerun_replaces_only_its_own_partition(spark, tmp_path):
     path = str(tmp_path / "t")
     for day, rows in (("2025-10-10", 5), ("2025-10-11", 3), ("2025-10-11", 2)):
-        df = spark.range(rows).withColumn("run_date", F.lit(day))
-        assert write_table(df, path, ["run_date"]) == {"records": rows}
+        assert write_table(spark.range(rows), path, {"run_date": day}) == {"records": rows}
     counts = spark.read.parquet(path).groupBy("run_date").count().collect()
     assert {str(r.run_date): r["count"] for r in counts} == {"2025-10-10": 5, "2025-10-11": 2}
 
 
-def test_an_empty_frame_writes_nothing(spark, tmp_path):
-    df = spark.range(0).withColumn("run_date", F.lit("2025-10-10"))
-    assert write_table(df, str(tmp_path / "t"), ["run_date"]) == {"records": 0}
+def test_a_rerun_leaves_nothing_of_the_first_run(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(10).select("id", (F.col("id") % 3).alias("region"))
+    for day in ("2025-10-10", "2025-10-11"):
+        write_table(rows, path, {"dt": day}, ["region"])
+    write_table(rows.filter("region = 1"), path, {"dt": "2025-10-11"}, ["region"])
+    stored = spark.read.parquet(path)
+    assert stored.filter("dt = '2025-10-11'").select("region").distinct().collect() == [(1,)]
+    assert stored.filter("dt = '2025-10-10'").count() == 10
+    assert write_table(rows.limit(0), path, {"dt": "2025-10-11"}, ["region"]) == {"records": 0}
+    assert spark.read.parquet(path).count() == 10
+
+
+def test_clearing_removes_one_date(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for day in ("2025-10-10", "2025-10-11"):
+        write_table(spark.range(2), path, {"dt": day})
+    for _ in range(2):
+        clear_owned(spark, path, {"dt": "2025-10-11"})
+    assert os.listdir(path) == ["dt=2025-10-10"]
 
 
 def test_small_partitions_are_gathered_into_one_file(spark, tmp_path):
-    df = spark.range(1000).repartition(16).withColumn("run_date", F.lit("2025-10-10"))
-    write_table(df, str(tmp_path / "t"), ["run_date"])
+    df = spark.range(1000).repartition(16)
+    write_table(df, str(tmp_path / "t"), {"run_date": "2025-10-10"})
     files = [f for f in os.listdir(tmp_path / "t" / "run_date=2025-10-10") if f.endswith(".parquet")]
     assert len(files) == 1
 
@@ -40,8 +56,7 @@ def test_partition_fill(spark):
 def test_one_partition_keeps_its_partition_columns(spark, tmp_path):
     root = str(tmp_path / "b")
     for day in ("2025-10-10", "2025-10-11"):
-        df = spark.range(2).withColumns({"ingestion_date": F.lit(day), "source": F.lit("s")})
-        write_table(df, root, ["ingestion_date", "source"])
+        write_table(spark.range(2), root, {"ingestion_date": day, "source": "s"})
     out = read_partition(spark, root, "ingestion_date", "2025-10-11")
     assert dict(out.dtypes)["ingestion_date"] == "string"
     assert {tuple(r) for r in out.select("ingestion_date", "source").collect()} == {("2025-10-11", "s")}
@@ -52,7 +67,7 @@ def test_transactions_of_a_date_of_a_range_and_of_all(spark, tmp_path):
     root = str(tmp_path / "transactions")
     for i, day in enumerate(("2025-10-08", "2025-10-10", "2025-10-11")):
         df = spark.range(i + 1).selectExpr("cast(id as string) id", "timestamp'2025-10-01' fecha", "1.5D precio")
-        write_table(df.withColumn("run_date", F.lit(day)), root, ["run_date"])
+        write_table(df, root, {"run_date": day})
     one = load_transactions(spark, root, "2025-10-11")
     assert one.count() == 3 and {"txn_id", "txn_date", "unit_price", "unit_cost"} <= set(one.columns)
     assert load_transactions(spark, root, "2025-10-11", history_days=1).count() == 5
@@ -70,10 +85,10 @@ def test_table_without_partition_directories_is_filtered(spark, tmp_path):
 
 def test_register_and_extend_a_table(spark, tmp_path):
     path = str(tmp_path / "t")
-    write_table(spark.range(2).withColumn("dt", F.lit("2025-10-10")), path, ["dt"])
+    write_table(spark.range(2), path, {"dt": "2025-10-10"})
     assert register_table(spark, "sales_x", path, "shop") is True
     assert spark.table("shop.`sales_x`").count() == 2
-    write_table(spark.range(3).withColumn("dt", F.lit("2025-10-11")), path, ["dt"])
+    write_table(spark.range(3), path, {"dt": "2025-10-11"})
     assert register_table(spark, "sales_x", path, "shop") is True
     assert spark.table("shop.`sales_x`").count() == 5
     spark.sql("drop database shop cascade")
@@ -96,7 +111,7 @@ def test_a_large_table_partition_is_split_into_several_files(spark, tmp_path):
     try:
         df = spark.range(200_000).withColumn("noise", F.xxhash64("id"))
         df = df.withColumn("region", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("r"), F.col("id") % 7)))
-        assert write_table(df, str(tmp_path / "t"), ["region"]) == {"records": 200_000}
+        assert write_table(df, str(tmp_path / "t"), {}, ["region"]) == {"records": 200_000}
     finally:
         spark.conf.set(conf, before)
     files = [f for f in os.listdir(tmp_path / "t" / "region=hot") if f.endswith(".parquet")]
