@@ -92,7 +92,7 @@ def _entries(owner: np.ndarray, other: np.ndarray, square: np.ndarray, degree: i
         [{"d": float(square[i]), "id": int(other[i])} for i in range(a, min(b, a + degree))]
         for a, b in zip(starts, np.append(starts[1:], len(owner)))
     ]
-    return pd.DataFrame({"node": owner[starts], "entries": rows})
+    return pd.DataFrame({"node": owner[starts], "entries": pd.Series(rows, dtype=object)})
 
 
 def _nearest_in_cell(frame: pd.DataFrame) -> pd.DataFrame:
@@ -101,7 +101,8 @@ def _nearest_in_cell(frame: pd.DataFrame) -> pd.DataFrame:
     np.fill_diagonal(squares, np.inf)
     count = min(DEGREE, len(ids) - 1)
     if count < 1:
-        return pd.DataFrame({"node": [], "entries": []})
+        nothing = np.zeros(0, dtype=np.int64)
+        return _entries(nothing, nothing, nothing, DEGREE)
     near = np.argpartition(squares, count - 1, axis=1)[:, :count].ravel()
     own = np.repeat(np.arange(len(ids)), count)
     return _entries(ids[own], ids[near], _squares(matrix[own], matrix[near]), DEGREE)
