@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from mercaflow.llm.storage import partitions, stored
 from mercaflow.llm.words import LOWER, U64, words_of
 
-BATCH_WORDS = 1 << 20
+BATCH_WORDS = 750_000
 SHARD_WORDS = 2_500_000
 # Words with more than this part of a shard's share are dealt by their successor.
 HOT_SHARE = 0.25
@@ -286,6 +286,8 @@ def _pairs(row, shards: int, hot: np.ndarray) -> _Pairs:
     end = np.searchsorted(vocabulary, END)
     before = np.concatenate([[end], numbers[:-1]])
     key, inverse = np.unique(before * len(vocabulary) + numbers, return_inverse=True)
+    inverse = inverse.astype(np.int32)
+    del before, ranks
     sizes = np.diff(np.concatenate([[0], ends]))
     counts = np.bincount(inverse, weights=np.repeat(training, sizes), minlength=len(key)).astype(np.int64)
     context, successor = key // len(vocabulary), key % len(vocabulary)
@@ -305,7 +307,7 @@ def _pairs(row, shards: int, hot: np.ndarray) -> _Pairs:
 def _asking(shards: int, hot: np.ndarray):
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in batches:
-            for row in frame.to_pandas().itertuples():
+            for row in (r for i in range(len(frame)) for r in frame.slice(i, 1).to_pandas().itertuples()):
                 vocabulary, counts = np.frombuffer(row.vocabulary, dtype="<u8"), np.frombuffer(row.counts, dtype="<u4")
                 pairs = _pairs(row, shards, hot)
                 for shard in range(shards):
