@@ -17,7 +17,7 @@ key whose partitions adaptive execution splits.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from mercaflow.llm.storage import stored
 
@@ -25,6 +25,8 @@ THRESHOLD = 0.8
 # Lines of fewer tokens are left as they are: headings, list marks, blank lines.
 MIN_TOKENS = 5
 RARITY_BUCKETS = 1 << 14
+# 32-bit words of the filter of lines in candidate pairs.
+FILTER_WORDS = 1 << 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SPACES = "\t\x0b\x0c\r"
 
@@ -64,64 +66,84 @@ def _ordered_set(ranks: Column) -> Column:
     return F.sort_array(F.array_distinct(F.transform(_tokens(F.col("line")), number)))
 
 
-def _least_overlap(a: Column, b: Column, percent: int) -> Column:
-    """Tokens that sets of sizes ``a`` and ``b`` must share."""
-    return F.ceil(percent * (a + b) / (100 + percent))
+def _prefix(tokens: Column, percent: int) -> Column:
+    """The rarest tokens, of which sets that are similar share one."""
+    return F.slice(tokens, 1, F.size(tokens) - F.ceil(percent * F.size(tokens) / 100).cast("int") + 1)
 
 
-def similar_lines(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Pairs of rows of ``classes`` (``class_id``, ``tokens``: ordered distinct
-    numbers) with a Jaccard similarity of ``threshold`` or more: ``later`` and
-    ``earlier`` class, by the order of their ids."""
-    percent = round(100 * threshold)
-    size = F.size("tokens")
-    prefix = size - F.ceil(percent * size / 100).cast("int") + 1
+def _candidates(classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of ``print`` of the rows of ``classes`` (``print``, ``n``: number of
+    tokens, ``prefix``) that pass the prefix, length and positional filters."""
     entries = classes.select(
-        "class_id", size.alias("n"), F.posexplode(F.slice("tokens", 1, prefix)).alias("place", "token")
-    )
-    a = entries.toDF("class_a", "n_a", "place_a", "token")
-    b = entries.toDF("class_b", "n_b", "place_b", "token")
-    room = 1 + F.least(F.col("n_a") - F.col("place_a") - 1, F.col("n_b") - F.col("place_b") - 1)
-    # Of a pair, the shorter set is a; the place bound holds for the first shared token, and so for the pair.
-    shorter = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("class_a") < F.col("class_b")))
-    met = a.join(b, "token").filter(
-        shorter
-        & (100 * F.col("n_a") >= percent * F.col("n_b"))
-        & (room + F.least("place_a", "place_b") >= _least_overlap(F.col("n_a"), F.col("n_b"), percent))
+        "print", F.posexplode("prefix").alias("place", "token"), F.col("n").cast("long").alias("n")
+    ).select("token", "print", F.shiftleft("n", 32).bitwiseOR(F.col("place").cast("long")).alias("n_place"))
+    a = entries.toDF("token", "print_a", "n_place_a")
+    b = entries.toDF("token", "print_b", "n_place_b")
+    n_a, n_b = (F.shiftright(f"n_place_{x}", 32) for x in "ab")
+    place_a, place_b = (F.col(f"n_place_{x}").bitwiseAND(F.lit((1 << 32) - 1)) for x in "ab")
+    shorter = (n_a < n_b) | ((n_a == n_b) & (F.col("print_a") < F.col("print_b")))
+    # Tokens up to and from the shared one; the first shared token decides, and passes if the pair does.
+    most = 1 + F.least(place_a, place_b) + F.least(n_a - place_a, n_b - place_b) - 1
+    needed = F.ceil(percent * (n_a + n_b) / (100 + percent))
+    met = a.join(b, "token").filter(shorter & (100 * n_a >= percent * n_b) & (most >= needed))
+    return met.select("print_a", "print_b").distinct()
+
+
+def _is_one_of(prints: DataFrame) -> Column:
+    """Whether ``print`` may be one of ``prints``: a bitmap of fixed size as one
+    constant array, which lets some others through on very large inputs."""
+    place = F.pmod("print", F.lit(FILTER_WORDS * 32)).cast("int")
+    words = prints.select(place.alias("place")).groupBy(F.shiftright("place", 5).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, place & 31)")).alias("bits")
     )
-    pairs = met.select("class_a", "class_b").distinct()
-    sets = classes.select("class_id", "tokens")
-    both = pairs.join(sets.toDF("class_a", "tokens_a"), "class_a").join(sets.toDF("class_b", "tokens_b"), "class_b")
+    bits = [0] * FILTER_WORDS
+    for row in words.collect():
+        bits[row["word"]] = row["bits"]
+    word = F.get(F.from_json(F.lit(str(bits)), "array<long>"), F.shiftright(place, 5))
+    bit = F.call_function("shiftright", word, place.bitwiseAND(F.lit(31)))
+    return bit.bitwiseAND(F.lit(1).cast("long")) == 1
+
+
+def similar_prints(lines: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """Pairs ``print_a``, ``print_b`` of the classes of ``lines`` (``print``,
+    ``tokens``) with a Jaccard similarity of ``threshold`` or more."""
+    percent = round(100 * threshold)
+    pairs = stored(_candidates(classes, percent), "line_pairs")
+    ends = pairs.select(F.col("print_a").alias("print")).union(pairs.select("print_b")).distinct()
+    # Full sets only of lines in a candidate pair; the rest stays where it is.
+    sets = lines.filter(_is_one_of(ends)).groupBy("print").agg(F.any_value("tokens").alias("tokens"))
+    sets = stored(sets.join(ends, "print", "left_semi"), "line_sets")
+    both = pairs.join(sets.toDF("print_a", "tokens_a"), "print_a").join(sets.toDF("print_b", "tokens_b"), "print_b")
     shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
     union = F.size("tokens_a") + F.size("tokens_b") - shared
-    return both.filter(100 * shared >= percent * union).select(
-        F.greatest("class_a", "class_b").alias("later"), F.least("class_a", "class_b").alias("earlier")
-    )
+    return both.filter(100 * shared >= percent * union).select("print_a", "print_b")
 
 
 def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """``doc_id`` and ``line_no`` (from 0) of the lines to remove: those of
     ``min_tokens`` different tokens or more that are as similar as ``threshold``
     to a line before them, by ``doc_id`` and line number. A line counts
-    whether or not it is itself removed."""
+    whether or not it is itself removed. Equal sets are told by a 64-bit hash."""
     ranks = _ranks(docs)
     lines = _lines(docs.filter("doc_id is not null")).select("doc_id", "line_no", _ordered_set(ranks).alias("tokens"))
-    lines = lines.filter(F.size("tokens") >= min_tokens)
-    first = F.min(F.struct("doc_id", "line_no")).alias("class_id")
-    prints = lines.select("doc_id", "line_no", "tokens", F.xxhash64("tokens").alias("print"), F.hash("tokens").alias("check"))
-    classes = prints.groupBy("print", "check", F.size("tokens").alias("n")).agg(
-        first, F.any_value("tokens").alias("tokens"), F.count(F.lit(1)).alias("n_lines")
-    )
-    classes = stored(classes, "line_classes")
-    similar = stored(similar_lines(classes, threshold).select("later").distinct(), "similar_lines")
-    members = prints.select("doc_id", "line_no", "print", "check", F.size("tokens").alias("n"))
-    # Only classes of which some line goes are met again by their lines.
-    repeated = classes.filter("n_lines > 1").select("print", "check", "n", "class_id")
-    copies = members.join(repeated, ["print", "check", "n"]).filter(
-        F.struct("doc_id", "line_no") != F.col("class_id")
+    lines = lines.filter(F.size("tokens") >= min_tokens).withColumn("print", F.xxhash64("tokens"))
+    classes = stored(
+        lines.groupBy("print").agg(
+            F.min(F.struct("doc_id", "line_no")).alias("first"),
+            F.count(F.lit(1)).alias("n_lines"),
+            F.any_value(F.size("tokens")).alias("n"),
+            F.any_value(_prefix(F.col("tokens"), round(100 * threshold))).alias("prefix"),
+        ),
+        "line_classes",
     )
-    firsts = similar.select("later.doc_id", "later.line_no")
-    return copies.select("doc_id", "line_no").union(firsts)
+    similar = similar_prints(lines, classes, threshold)
+    first = classes.select("print", "first")
+    pairs = similar.join(first.toDF("print_a", "first_a"), "print_a").join(first.toDF("print_b", "first_b"), "print_b")
+    later = pairs.select(F.greatest("first_a", "first_b").alias("later")).select("later.*")
+    repeated = classes.filter("n_lines > 1").select("print", "first")
+    members = lines.select("doc_id", "line_no", "print").join(repeated, "print")
+    copies = members.filter(F.struct("doc_id", "line_no") != F.col("first")).select("doc_id", "line_no")
+    return copies.union(later)
 
 
 def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int = MIN_TOKENS) -> DataFrame:
