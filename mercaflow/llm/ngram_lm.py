@@ -177,8 +177,14 @@ def _discount(counts: np.ndarray) -> float:
 
 
 def _quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One byte for each value and the codebook: means of equally filled bins."""
-    edges = np.unique(np.quantile(values, np.linspace(0, 1, CODES + 1)[1:-1])) if len(values) else np.zeros(0)
+    """One byte for each value and the codebook: the means of bins, half of
+    which hold equally many values, and half equally many different ones."""
+    distinct = np.unique(values)
+    if len(distinct) <= CODES:
+        edges = (distinct[1:] + distinct[:-1]) / 2
+    else:
+        cuts = np.linspace(0, 1, CODES // 2 + 1)[1:-1]
+        edges = np.unique(np.concatenate([np.quantile(values, cuts), np.quantile(distinct, cuts)]))
     codes = np.searchsorted(edges, values)
     sums = np.bincount(codes, weights=values, minlength=CODES)
     return codes.astype(np.uint8), (sums / np.maximum(1, np.bincount(codes, minlength=CODES))).astype("<f4")
