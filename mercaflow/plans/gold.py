@@ -36,7 +36,7 @@ def gold_frames(
         "margin_by_product": lambda: kpis.margin_by_product(sales, config.default_cost_factor),
         "channel_payment_perf": lambda: kpis.channel_payment_perf(sales, exact),
         "anomalies": lambda: kpis.anomalies(sales),
-        "weather_impact": lambda: kpis.weather_impact(attach_weather(sales, weather)),
+        "weather_impact": lambda: kpis.weather_impact_of_days(attach_weather(kpis.region_days(sales), weather)),
         "fact_sales_daily": lambda: fact_sales_daily(sales, weather, exact),
     }
 

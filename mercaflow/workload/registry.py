@@ -127,7 +127,8 @@ WEATHER_IMPACT_DOUBLES = ["corr_temp_revenue", "corr_precip_revenue", "avg_temp"
 
 def weather_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = views.sales(spark, sf_dir, ["region", "txn_date", "revenue"])
-    impact = kpis.weather_impact(attach_weather(sales, _daily_weather(spark, sf_dir)))
+    days = attach_weather(kpis.region_days(sales), _daily_weather(spark, sf_dir))
+    impact = kpis.weather_impact_of_days(days)
     return _rounded(impact, WEATHER_IMPACT_DOUBLES)
 
 

@@ -1,9 +1,10 @@
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from mercaflow.operators import weather as W
-from mercaflow.operators.kpis import weather_impact
+from mercaflow.operators.kpis import region_days, weather_impact, weather_impact_of_days
 from tests.fixtures import OCT10, OCT11, line, sales
 
 COLUMNS = [
@@ -129,3 +130,22 @@ def test_weather_impact(spark):
     assert round(row.corr_temp_revenue, 9) == 1.0
     assert row.corr_precip_revenue is None
     assert (round(row.avg_temp, 6), row.avg_precip) == (2.333333, 5.0)
+
+
+def test_impact_by_days_equals_that_of_lines(spark):
+    rows, weather = [], []
+    for day in range(1, 25):
+        at = date(2024, 2, day)
+        weather.append(("R1", at, None if day % 7 == 0 else day * 0.5, float(day % 5), "x"))
+        weather.append(("R2", at, 3.0, None, "x"))
+        for n in range(day % 4 + 1):
+            revenue = None if (day + n) % 9 == 0 else 1e6 + day * 3.0 + n * 7.5
+            rows += [line(txn_date=at, region=r, revenue=revenue) for r in ("R1", "R2", None)]
+    sold = sales(spark, rows)
+    daily = spark.createDataFrame(weather, WEATHER)
+    by_lines = {r.region: r for r in weather_impact(W.attach_weather(sold, daily)).collect()}
+    by_days = {r.region: r for r in weather_impact_of_days(W.attach_weather(region_days(sold), daily)).collect()}
+    assert by_days.keys() == by_lines.keys() == {"R1", "R2", None}
+    for region, row in by_lines.items():
+        for name in ("corr_temp_revenue", "corr_precip_revenue", "avg_temp", "avg_precip"):
+            assert by_days[region][name] == (None if row[name] is None else pytest.approx(row[name], rel=1e-6))
