@@ -2,8 +2,8 @@
 
 A line is the set of its tokens (runs of other than white space, A-Z
 lower-cased), ordered by rarity. Rarity is the number of times that tokens of
-one of ``RARITY_BUCKETS`` hash buckets occur in all lines, so that the table of
-ranks has a fixed size; ties go by hash. Any order shared by all lines gives the
+one of ``RARITY_BUCKETS`` hash buckets occur in all lines, in classes, so that the
+table has a fixed size; ties go by hash. Any order shared by all lines gives the
 same result, a good one makes the join small.
 
 Two lines of similarity t share a token among the first n - ceil(t n) + 1 of
@@ -17,6 +17,8 @@ key whose partitions adaptive execution splits.
 """
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mercaflow.llm.storage import stored
@@ -24,7 +26,9 @@ from mercaflow.llm.storage import stored
 THRESHOLD = 0.8
 # Lines of fewer tokens are left as they are: headings, list marks, blank lines.
 MIN_TOKENS = 5
-RARITY_BUCKETS = 1 << 14
+RARITY_BUCKETS = 1 << 17
+# Bits that hold a class of rarity: counts of up to 2**63.
+CLASS_BITS = 8
 # 32-bit words of the filter of lines in candidate pairs.
 FILTER_WORDS = 1 << 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -41,27 +45,25 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
-def _ranks(docs: DataFrame) -> Column:
-    """Ranks of the hash buckets, rarest first, as one constant array."""
+def _rarity(docs: DataFrame) -> Column:
+    """The class of each hash bucket, 0 for the rarest, as one constant array:
+    four classes for every doubling of the count."""
     token = _lines(docs).select(F.explode(_tokens(F.col("line"))).alias("token"))
     bucket = F.pmod(F.xxhash64("token"), F.lit(RARITY_BUCKETS)).cast("int").alias("bucket")
-    counts = {r["bucket"]: r["count"] for r in token.groupBy(bucket).count().collect()}
-    order = sorted(range(RARITY_BUCKETS), key=lambda b: (counts.get(b, 0), b))
-    rank = [0] * RARITY_BUCKETS
-    for place, b in enumerate(order):
-        rank[b] = place
-    return F.from_json(F.lit(str(rank)), "array<int>")
+    classes = [0] * RARITY_BUCKETS
+    for row in token.groupBy(bucket).count().toLocalIterator():
+        classes[row["bucket"]] = int(4 * math.log2(row["count"]))
+    return F.from_json(F.lit(str(classes).replace(" ", "")), "array<int>")
 
 
-def _ordered_set(ranks: Column) -> Column:
-    """Distinct tokens of ``line`` as numbers that sort by rarity: the rank of
+def _ordered_set(rarity: Column) -> Column:
+    """Distinct tokens of ``line`` as numbers that sort by rarity: the class of
     the bucket, then as many bits of the hash as 63 bits leave."""
-    bits = 63 - RARITY_BUCKETS.bit_length()
 
     def number(token: Column) -> Column:
         hashed = F.xxhash64(token)
-        rank = F.get(ranks, F.pmod(hashed, F.lit(RARITY_BUCKETS)).cast("int")).cast("long")
-        return F.shiftleft(rank, bits).bitwiseOR(F.shiftrightunsigned(hashed, 64 - bits))
+        own = F.get(rarity, F.pmod(hashed, F.lit(RARITY_BUCKETS)).cast("int")).cast("long")
+        return F.shiftleft(own, 63 - CLASS_BITS).bitwiseOR(F.shiftrightunsigned(hashed, 1 + CLASS_BITS))
 
     return F.sort_array(F.array_distinct(F.transform(_tokens(F.col("line")), number)))
 
@@ -124,8 +126,8 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int
     ``min_tokens`` different tokens or more that are as similar as ``threshold``
     to a line before them, by ``doc_id`` and line number. A line counts
     whether or not it is itself removed. Equal sets are told by a 64-bit hash."""
-    ranks = _ranks(docs)
-    lines = _lines(docs.filter("doc_id is not null")).select("doc_id", "line_no", _ordered_set(ranks).alias("tokens"))
+    rarity = _rarity(docs)
+    lines = _lines(docs.filter("doc_id is not null")).select("doc_id", "line_no", _ordered_set(rarity).alias("tokens"))
     lines = lines.filter(F.size("tokens") >= min_tokens).withColumn("print", F.xxhash64("tokens"))
     classes = stored(
         lines.groupBy("print").agg(
