@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from mercaflow.llm.storage import partitions, stored
 from mercaflow.llm.words import LOWER, U64, words_of
 
-BATCH_WORDS = 750_000
+BATCH_WORDS = 500_000
 SHARD_WORDS = 2_500_000
 # Words with more than this part of a shard's share are dealt by their successor.
 HOT_SHARE = 0.25
@@ -57,8 +57,12 @@ def _packed(values: np.ndarray, bits: int) -> np.ndarray:
     """The low ``bits`` of each value, one after the other."""
     if not bits or not len(values):
         return np.zeros(0, dtype=np.uint8)
-    planes = (values[:, None] >> np.arange(bits)) & 1
-    return np.packbits(planes.astype(np.uint8).ravel(), bitorder="little")
+    step, places = 1 << 16, np.arange(bits)  # a multiple of 8 values fills whole bytes
+    parts = []
+    for first in range(0, len(values), step):
+        planes = (values[first : first + step, None] >> places) & 1
+        parts.append(np.packbits(planes.astype(np.uint8).ravel(), bitorder="little"))
+    return np.concatenate(parts)
 
 
 def _unpacked(packed: np.ndarray, at: np.ndarray, bits: int) -> np.ndarray:
@@ -512,7 +516,7 @@ def score_corpus(
     shards = max(1, round(words / shard_words))
     hot = _hot_words(batches, HOT_SHARE / shards)
     hot_words = np.array(sorted(hot), dtype=U64)
-    asked = batches.mapInArrow(_asking(shards, hot_words), ASK_SCHEMA)
+    asked = batches.drop("doc_ids").mapInArrow(_asking(shards, hot_words), ASK_SCHEMA)
     answers = stored(asked.groupBy("shard").applyInPandas(_answering(hot), ANSWER_SCHEMA), "answers")
     names = ("distinct_words", "tokens", "once", "twice")
     each = answers.groupBy("shard").agg(*(F.max(n).alias(n) for n in names))
