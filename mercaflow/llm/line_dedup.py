@@ -8,8 +8,9 @@ same result, a good one makes the join small.
 
 Two lines of similarity t share a token among the first n - ceil(t n) + 1 of
 each (prefix filter); their sizes differ by a factor of t at most (length
-filter); and the places of the shared token leave room for the overlap that t
-asks for (positional filter). The rest is compared in full.
+filter); the places of each shared token leave room for the overlap that t
+asks for (positional filter); and so does the number of tokens that the prefixes
+share. What passes is compared in full.
 
 Equal token sets are one class before the join, and later rows of a class go
 without any comparison. A token in the prefixes of very many classes is a join
@@ -88,7 +89,13 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     most = 1 + F.least(place_a, place_b) + F.least(n_a - place_a, n_b - place_b) - 1
     needed = F.ceil(percent * (n_a + n_b) / (100 + percent))
     met = a.join(b, "token").filter(shorter & (100 * n_a >= percent * n_b) & (most >= needed))
-    return met.select("print_a", "print_b").distinct()
+    # The prefix that ends earlier in the order has all shared tokens up to its
+    # end in both prefixes; behind it there are no more than the rest of its set.
+    rest = F.ceil(percent * F.greatest(n_a, n_b) / 100) - 1
+    each = met.groupBy("print_a", "print_b").agg(
+        F.count(F.lit(1)).alias("shared"), F.max(needed - rest).alias("least")
+    )
+    return each.filter("shared >= least").select("print_a", "print_b")
 
 
 def _is_one_of(prints: DataFrame) -> Column:
