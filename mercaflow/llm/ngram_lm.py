@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from mercaflow.llm.storage import partitions, stored
 from mercaflow.llm.words import LOWER, U64, words_of
 
-BATCH_WORDS = 500_000
+BATCH_WORDS = 750_000
 SHARD_WORDS = 2_500_000
 # Words with more than this part of a shard's share are dealt by their successor.
 HOT_SHARE = 0.25
@@ -342,6 +342,9 @@ def _asking(shards: int, hot: np.ndarray):
                     arrays = [pa.array([row.batch]), pa.array([shard]), pa.array([columns[0].tobytes()])]
                     arrays += [pa.array([_shuffled(c)]) for c in columns[1:]]
                     yield pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in ASK_SCHEMA.split(", ")])
+                # What the pool holds counts against the executor.
+                del pairs, local, used
+                pa.default_memory_pool().release_unused()
 
     return ask
 
