@@ -13,7 +13,9 @@ asks for (positional filter); and so does the number of tokens that the prefixes
 share. What passes is compared in full.
 
 Equal token sets are one class before the join, and later rows of a class go
-without any comparison. A token in the prefixes of very many classes is a join
+without any comparison. Sets of so few tokens that one more token makes them too
+unlike (three or fewer at 0.8) are similar to equal ones only, and need no more
+than their class. A token in the prefixes of very many classes is a join
 key whose partitions adaptive execution splits.
 """
 from __future__ import annotations
@@ -25,8 +27,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from mercaflow.llm.storage import stored
 
 THRESHOLD = 0.8
-# Lines of fewer tokens are left as they are: headings, list marks, blank lines.
-MIN_TOKENS = 5
 RARITY_BUCKETS = 1 << 17
 # Bits that hold a class of rarity: counts of up to 2**63.
 CLASS_BITS = 8
@@ -70,8 +70,10 @@ def _ordered_set(rarity: Column) -> Column:
 
 
 def _prefix(tokens: Column, percent: int) -> Column:
-    """The rarest tokens, of which sets that are similar share one."""
-    return F.slice(tokens, 1, F.size(tokens) - F.ceil(percent * F.size(tokens) / 100).cast("int") + 1)
+    """The rarest tokens, of which sets that are similar share one; none of a set
+    that is similar to equal ones only."""
+    count = F.size(tokens) - F.ceil(percent * F.size(tokens) / 100).cast("int") + 1
+    return F.slice(tokens, 1, F.when(100 * F.size(tokens) < percent * (F.size(tokens) + 1), 0).otherwise(count))
 
 
 def _candidates(classes: DataFrame, percent: int) -> DataFrame:
@@ -128,14 +130,14 @@ def similar_prints(lines: DataFrame, classes: DataFrame, threshold: float) -> Da
     return both.filter(100 * shared >= percent * union).select("print_a", "print_b")
 
 
-def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int = MIN_TOKENS) -> DataFrame:
-    """``doc_id`` and ``line_no`` (from 0) of the lines to remove: those of
-    ``min_tokens`` different tokens or more that are as similar as ``threshold``
-    to a line before them, by ``doc_id`` and line number. A line counts
-    whether or not it is itself removed. Equal sets are told by a 64-bit hash."""
+def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``doc_id`` and ``line_no`` (from 0) of the lines to remove: those with
+    tokens that are as similar as ``threshold`` to a line before them, by
+    ``doc_id`` and line number; blank lines stay. A line counts whether or not
+    it is itself removed. Equal sets are told by a 64-bit hash."""
     rarity = _rarity(docs)
     lines = _lines(docs.filter("doc_id is not null")).select("doc_id", "line_no", _ordered_set(rarity).alias("tokens"))
-    lines = lines.filter(F.size("tokens") >= min_tokens).withColumn("print", F.xxhash64("tokens"))
+    lines = lines.filter(F.size("tokens") > 0).withColumn("print", F.xxhash64("tokens"))
     classes = stored(
         lines.groupBy("print").agg(
             F.min(F.struct("doc_id", "line_no")).alias("first"),
@@ -155,7 +157,7 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int
     return copies.union(later)
 
 
-def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int = MIN_TOKENS) -> DataFrame:
+def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` with all their columns, their ``text`` without the
     lines of ``removed_lines``, and ``n_lines`` and ``n_removed_lines``.
 
@@ -165,7 +167,7 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD, min_tokens: int =
     whose lines go becomes empty. Columns that clash with the two new ones are
     replaced.
     """
-    gone = removed_lines(docs, threshold, min_tokens).groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone"))
+    gone = removed_lines(docs, threshold).groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone"))
     # The lines are a column of their own, so that they are split once a row.
     joined = docs.join(gone, "doc_id", "left").withColumn("_lines", F.split("text", "\n"))
     places = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
