@@ -84,7 +84,8 @@ def _finding(window: int):
 
 
 def _cutting(window: int):
-    """The words of the asked contexts, as hashes."""
+    """The words of the asked contexts, as hashes, with all their places in the
+    row: a context that a document holds several times is one."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,16 +94,22 @@ def _cutting(window: int):
                 out = []
                 for i in range(words.last - words.first):
                     own = words.hashes[words.bounds[i] : words.bounds[i + 1]]
+                    places: dict[tuple[int, bytes], set[int]] = {}
                     for x in asked[words.first + i]:
                         run = own[x["first"] : x["last"] + window]
                         # A row that shares its id with the asked one may hold other words.
                         if len(run) == x["last"] + window - x["first"] and as_long(Rolling(run).runs(np.array([0]), np.array([len(run)])))[0] == x["context"]:
-                            out.append((x["anchor"], ids[words.first + i], x["first"], run.tobytes()))
+                            places.setdefault((x["anchor"], run.tobytes()), set()).add(x["first"])
+                    out += [(anchor, ids[words.first + i], sorted(firsts), run) for (anchor, run), firsts in places.items()]
                 if out:
                     columns = list(zip(*out))
                     yield pa.RecordBatch.from_arrays(
-                        [*(pa.array(c, type=pa.int64()) for c in columns[:3]), pa.array(columns[3], type=pa.binary())],
-                        ["anchor", "doc_id", "first", "words"],
+                        [
+                            *(pa.array(c, type=pa.int64()) for c in columns[:2]),
+                            pa.array(columns[2], type=pa.list_(pa.int64())),
+                            pa.array(columns[3], type=pa.binary()),
+                        ],
+                        ["anchor", "doc_id", "firsts", "words"],
                     )
 
     return cut
@@ -194,13 +201,13 @@ def _matching(window: int):
                 if reference:
                     automaton.add(sequence, owner)
             automaton.settle()
-            for sequence, owner, first in zip(sequences, owners, group["first"]):
+            for sequence, owner, firsts in zip(sequences, owners, group["firsts"]):
                 starts = np.fromiter(automaton.repeats(sequence, owner, window), dtype=np.int64)
                 if len(starts):
                     cut = np.flatnonzero(np.diff(starts) > window)
                     begins = starts[np.concatenate([[0], cut + 1])]
                     ends = starts[np.concatenate([cut, [len(starts) - 1]])] + window
-                    spans += [(owner, first + b, first + e) for b, e in zip(begins, ends)]
+                    spans += [(owner, first + b, first + e) for first in firsts for b, e in zip(begins, ends)]
         return pd.DataFrame(spans, columns=["doc_id", "begin", "end"])
 
     return match
@@ -224,8 +231,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     asked = members.filter("doc_id = owner and n_forms > 1").groupBy("doc_id").agg(
         F.collect_list(F.struct("anchor", "context", "first", "last")).alias("asked")
     )
-    cut = texts.join(asked, "doc_id").mapInArrow(_cutting(window), "anchor long, doc_id long, first long, words binary")
-    cut = stored(cut.dropDuplicates(["anchor", "doc_id", "words"]), "cut")
+    cut = texts.join(asked, "doc_id").mapInArrow(_cutting(window), "anchor long, doc_id long, firsts array<long>, words binary")
+    cut = stored(cut.dropDuplicates(), "cut")
     # An anchor of many forms is met chunk by chunk: every form streams past the
     # references of its own and of all other chunks.
     sizes = cut.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
@@ -235,7 +242,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     dealt = dealt.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     dealt = dealt.withColumn("reference", F.col("own") == F.col("chunk"))
     shard = F.pmod(F.xxhash64("anchor", "chunk"), F.lit(8 * partitions(docs.sparkSession)))
-    matched = dealt.select("anchor", "chunk", "doc_id", "first", "words", "reference", shard.alias("shard")).groupBy(
+    matched = dealt.select("anchor", "chunk", "doc_id", "firsts", "words", "reference", shard.alias("shard")).groupBy(
         "shard"
     ).applyInPandas(_matching(window), "doc_id long, begin long, end long")
     return copies.union(matched)
