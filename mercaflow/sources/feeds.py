@@ -12,8 +12,6 @@ from mercaflow.schemas import CORRUPT_COLUMN
 
 logger = logging.getLogger(__name__)
 PATH_COLUMN = "_source_path"
-# Fixed value: what a parsed document may hold at most.
-PARSE_BYTES = 16 << 20
 MISSING_CONDITIONS = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
@@ -42,8 +40,9 @@ def read_json_source(
     the corrupt column.
 
     ``multiline`` reads one document per file, or one array of them. A file
-    that holds more is read line by line instead, so nothing behind its first
-    document is lost; finding such files takes one more pass over the feed.
+    that holds more is read line by line instead, if its documents take a line
+    each; otherwise the whole file is one unreadable record. So nothing behind a
+    first document is lost; finding such files takes one more pass over the feed.
     Without ``multiline`` there is one document per line, which splits across
     tasks. A given ``schema`` saves the inference pass over the files.
     """
@@ -52,22 +51,33 @@ def read_json_source(
         raw = _read_json(spark, path, schema, multiline)
     else:
         whole = _read_json(spark, path, schema, True).join(several, PATH_COLUMN, "left_anti")
-        lines = _read_json(spark, path, schema, False).join(several, PATH_COLUMN, "left_semi")
-        raw = whole.unionByName(lines, allowMissingColumns=True)
+        lines = _read_json(spark, path, schema, False).join(several.filter("by_line"), PATH_COLUMN, "left_semi")
+        files = spark.read.text(path, wholetext=True).select(
+            F.col("value").alias(CORRUPT_COLUMN), F.col("_metadata.file_path").alias(PATH_COLUMN)
+        )
+        mixed = files.join(several.filter("not by_line"), PATH_COLUMN, "left_semi")
+        raw = whole.unionByName(lines, allowMissingColumns=True).unionByName(mixed, allowMissingColumns=True)
     return add_metadata_columns(raw, source, ingestion_date, F.col(PATH_COLUMN)).drop(PATH_COLUMN)
 
 
+def _is_followed(text: Column) -> Column:
+    """Whether ``text`` begins with an object or array and goes on behind it: it
+    is not the one element of an array and the one value of an object."""
+    begins = F.json_object_keys(text).isNotNull() | F.json_array_length(text).isNotNull()
+    element = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
+    value = F.json_object_keys(F.concat(F.lit('{"a":'), text, F.lit("}")))
+    return begins & ~(F.coalesce(element == 1, F.lit(False)) & F.coalesce(F.size(value) == 1, F.lit(False)))
+
+
 def _files_of_several_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Files whose first document is followed by something: they parse, but not
-    as the one element of an array. A file that is too large for this parse
-    counts as one of them, so that it is read or quarantined by its lines."""
+    """Files whose first document is followed by something, and whether they can
+    be read ``by_line``: no line goes on behind its document, and none begins
+    with what can only stand within a document."""
     text = F.col("value")
-    parsed = F.try_parse_json(text)
-    as_element = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    files = spark.read.text(path, wholetext=True).filter(F.trim(text) != "")
-    too_large = parsed.isNull() & (F.octet_length(text) > PARSE_BYTES)
-    first_only = too_large | (parsed.isNotNull() & as_element.isNull())
-    return files.filter(first_only).select(F.col("_metadata.file_path").alias(PATH_COLUMN))
+    files = spark.read.text(path, wholetext=True).filter(_is_followed(text))
+    lines = F.split(text, "\r\n|\r|\n")
+    inside = F.exists(lines, lambda line: line.rlike(r'^\s*[\]}",:]') | _is_followed(line))
+    return files.select(F.col("_metadata.file_path").alias(PATH_COLUMN), (~inside).alias("by_line"))
 
 
 def _read_json(

@@ -131,6 +131,24 @@ def test_several_documents_in_a_multiline_file_are_all_read(spark, tmp_path, sch
     assert raw.filter("file_name is null").isEmpty()
 
 
+@pytest.mark.parametrize("schema", [None, "id string"])
+def test_nothing_behind_a_document_is_lost(spark, tmp_path, schema):
+    bad = {
+        "same_line.json": '{"id": "1"}\n{"id": "2"} {"id": "3"}\n',
+        "one_line.json": '{"id": "4"} {"id": "5"}',
+        "pretty.json": '{\n  "id": "6"\n}\n{\n  "id": "7"\n}\n',
+        "closed.json": '{"id": "8"}] {"id": "9"}',
+    }
+    for name, text in bad.items():
+        write(tmp_path, name, text)
+    write(tmp_path, "large.json", json.dumps({"id": "10", "pad": ["x" * 1000] * 20_000}))
+    write(tmp_path, "large_pretty.json", json.dumps({"id": "11", "pad": ["x" * 1000] * 20_000}, indent=1))
+    write(tmp_path, "lines.json", '{"id": "12"}\n{"id": "13"}\nnonsense\n')
+    raw = read_json_source(spark, str(tmp_path), "s", DAY, schema)
+    assert sorted(int(r.id) for r in readable_records(raw).select("id").collect()) == [10, 11, 12, 13]
+    assert sorted(r._corrupt_record for r in corrupt_records(raw).collect()) == sorted([*bad.values(), "nonsense"])
+
+
 def test_a_corrected_file_leaves_no_quarantine(spark, tmp_path):
     bronze, bad = str(tmp_path / "bronze"), str(tmp_path / "bad")
     for text, corrupt in (('{"id": "1"}\n{"id": \n', 1), ('{"id": "1"}\n{"id": "2"}\n', 0)):
