@@ -47,7 +47,7 @@ BATCH_SCHEMA = (
     "batch long, doc_ids array<long>, ends binary, training binary, vocabulary binary, counts binary, numbers binary"
 )
 ASK_SCHEMA = "batch long, shard long, words binary, word_counts binary, contexts binary, fans binary, successors binary, pair_counts binary"
-ANSWER_SCHEMA = "batch long, shard long, distinct_words long, tokens long, once long, twice long, word_counts binary, context_counts binary, left_over binary, codes binary, codebook binary"
+ANSWER_SCHEMA = "batch long, shard long, distinct_words long, tokens long, once long, twice long, word_counts binary, context_counts binary, left_over binary, codes binary, codebook binary, hot_left binary"
 
 
 # ---- Elias-Fano -------------------------------------------------------------
@@ -360,6 +360,8 @@ def _sorted_back(data: bytes) -> np.ndarray:
 
 
 def _answering(hot: dict[int, int]):
+    hot_words = np.array(sorted(hot), dtype=U64)
+
     def answer(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("batch")
         word_lists = [np.frombuffer(w, dtype="<u8") for w in frame["words"]]
@@ -383,6 +385,10 @@ def _answering(hot: dict[int, int]):
         trie = Trie.read(build_trie(words, np.where(is_owned, counts, 0), key // max(1, len(words)), key % max(1, len(words)), total, hot).buffer())
         del keys, key, place, total
         numbers = [int(x.sum()) for x in (trie.counts > 0, trie.counts, trie.counts == 1, trie.counts == 2)]
+        # Of all its pairs, whatever a batch asks; with one of the answers only.
+        number = np.minimum(np.searchsorted(trie.words, hot_words), len(trie.words) - 1)
+        at = np.where(trie.words[number] == hot_words, trie.context(number), -1)
+        hot_left = np.where(at >= 0, trie.left_over[at], 0.0) if len(trie.contexts) else np.zeros(len(hot_words))
         rows = []
         for i, own in enumerate(owned):
             context, successor, _ = asked[i]
@@ -402,6 +408,7 @@ def _answering(hot: dict[int, int]):
                     # Pairs without an entry are marked in a bitmap in front of the codes.
                     np.packbits(codes >= 0).tobytes() + np.maximum(codes, 0).astype(np.uint8).tobytes(),
                     trie.codebook.tobytes(),
+                    None if i else hot_left.astype("<f8").tobytes(),
                 )
             )
         return pd.DataFrame(rows, columns=[c.split()[0] for c in ANSWER_SCHEMA.split(", ")])
@@ -409,9 +416,9 @@ def _answering(hot: dict[int, int]):
     return answer
 
 
-def _scoring(shards: int, hot_counts: dict[int, int], tokens: int, distinct: int, once_discount: float):
-    """Scores of the documents of a batch from the answers to it."""
-    hot = np.array(sorted(hot_counts), dtype=U64)
+def _scoring(shards: int, hot: np.ndarray, hot_left: np.ndarray, tokens: int, distinct: int, once_discount: float):
+    """Scores of the documents of a batch from the answers to it. What discounts
+    leave of the words ``hot`` is ``hot_left``, from all shards."""
 
     def score(batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -420,7 +427,6 @@ def _scoring(shards: int, hot_counts: dict[int, int], tokens: int, distinct: int
             pairs = _pairs(row, shards, hot)
             counts = np.zeros(len(vocabulary), dtype=np.int64)
             left = np.ones(len(vocabulary))
-            seen_context = np.zeros(len(vocabulary), dtype=bool)
             share = np.zeros(len(pairs.contexts))
             for x in answers.itertuples():
                 first, last = pairs.word_bounds[x.shard : x.shard + 2]
@@ -430,15 +436,14 @@ def _scoring(shards: int, hot_counts: dict[int, int], tokens: int, distinct: int
                 context = pairs.contexts[a:b]
                 own = context[np.concatenate([[True], context[1:] != context[:-1]])] if b > a else context
                 total, over = np.frombuffer(x.context_counts, dtype="<i8"), np.frombuffer(x.left_over, dtype="<f4")
-                known = own[total > 0]
-                # A frequent word's rest is the sum over the shards that hold its pairs.
-                left[known[~seen_context[known]]] = 0.0
-                seen_context[known] = True
-                left[known] += over[total > 0]
+                left[own[total > 0]] = over[total > 0]
                 bitmap = -(-(b - a) // 8)
                 data = np.frombuffer(x.codes, dtype=np.uint8)
                 has = np.unpackbits(data[:bitmap])[: b - a].astype(bool)
                 share[a:b] = np.where(has, 10.0 ** np.frombuffer(x.codebook, dtype="<f4")[data[bitmap:]].astype(np.float64), 0.0)
+            if len(hot):
+                at = np.minimum(np.searchsorted(hot, vocabulary), len(hot) - 1)
+                left = np.where(hot[at] == vocabulary, hot_left[at], left)
             unknown = max(once_discount * distinct, 0.5) / max(1, tokens)
             single = np.where(counts > 0, (counts - once_discount) / max(1, tokens), unknown)
             pair_score = np.log10(share + left[pairs.contexts] * single[pairs.successors])
@@ -468,9 +473,28 @@ SCORE_SCHEMA = (
 )
 
 
+def _hot_left(answers: DataFrame, count: int) -> np.ndarray:
+    """What discounts leave over of each of the ``count`` hot words: the sum over
+    all shards that hold pairs of it."""
+
+    def shares(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            for data in frame.column("hot_left").to_pylist():
+                share = np.frombuffer(data, dtype="<f8")
+                place = np.flatnonzero(share)
+                yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(share[place])], ["place", "share"])
+
+    each = answers.filter("hot_left is not null").select("hot_left").mapInArrow(shares, "place long, share double")
+    left = np.zeros(count)
+    for row in each.groupBy("place").agg(F.sum("share").alias("share")).toLocalIterator():
+        left[row["place"]] = row["share"]
+    return left
+
+
 def _hot_words(batches: DataFrame, least: float) -> dict[int, int]:
     """Counts of the words that make up ``least`` of the training tokens or
-    more, which are few; only words that do so in some batch are looked at."""
+    more, which are few; only words that do so in some batch are looked at, as
+    the others do not in all."""
 
     def candidates(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
@@ -489,10 +513,13 @@ def _hot_words(batches: DataFrame, least: float) -> dict[int, int]:
                 at = np.flatnonzero(np.isin(words, chosen))
                 values = np.frombuffer(counts, dtype="<u4")[at].astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(words[at].view("<i8")), pa.array(values)], ["word", "n"])
+                everything = np.frombuffer(counts, dtype="<u4").sum(dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([None], type=pa.int64()), pa.array([everything])], ["word", "n"])
 
     sums = batches.select("vocabulary", "counts").mapInArrow(totals, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    total = sums.select("word", "n").toPandas()
-    return dict(zip(total["word"].to_numpy(dtype=np.int64).view(U64).tolist(), total["n"].tolist()))
+    total = {r["word"]: r["n"] for r in sums.toLocalIterator()}
+    enough = max(1, least * total.pop(None, 0))
+    return {word % (1 << 64): n for word, n in total.items() if n >= enough}
 
 
 def score_corpus(
@@ -525,6 +552,6 @@ def score_corpus(
     each = answers.groupBy("shard").agg(*(F.max(n).alias(n) for n in names))
     distinct, tokens, once, twice = (x or 0 for x in each.agg(*(F.sum(n) for n in names)).first())
     discount = once / (once + 2 * twice) if once else 0.5
-    scoring = _scoring(shards, hot, tokens, distinct, discount)
+    scoring = _scoring(shards, hot_words, _hot_left(answers, len(hot_words)), tokens, distinct, discount)
     return batches.groupBy("batch").cogroup(answers.groupBy("batch")).applyInPandas(scoring, SCORE_SCHEMA)
 
