@@ -3,7 +3,7 @@
 Equal vectors are one node, so that no group of copies of any size can fill a
 node's neighbour list. The graph starts from cells of random hyperplanes, whose
 thresholds come from ``SAMPLE`` vectors (all vectors are placed), and improves
-in rounds: a node's neighbours, forward and reverse, are joined to the node, and
+in rounds until few entries change: a node's neighbours, forward and reverse, are joined to the node, and
 compared among themselves. A hub with many reverse neighbours is met in several
 groups; none is left out. Queries start at their own node and expand the
 nearest unexpanded nodes of a beam until there are none.
@@ -19,10 +19,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from mercaflow.llm.storage import partitions, stored
 
-DEGREE = 20
-ROUNDS = 2
-BEAM = 64
-TREES = 4
+DEGREE = 40
+BEAM = 200
+TREES = 8
+# Rounds end when no more than this part of the graph's entries is new.
+SETTLED = 0.005
 CELL = 256
 GROUP = 48
 SAMPLE = 10_000
@@ -173,12 +174,17 @@ def _descend(graph: DataFrame, nodes: DataFrame) -> DataFrame:
     return stored(_merged(graph.union(better), DEGREE), "graph")
 
 
-def build_graph(nodes: DataFrame, rounds: int = ROUNDS, seed: int = 5) -> DataFrame:
+def build_graph(nodes: DataFrame, seed: int = 5) -> DataFrame:
     """``node`` and its ``entries``: squared distances and ids, nearest first."""
     graph = _first_graph(nodes, seed)
-    for _ in range(rounds):
-        graph = _descend(graph, nodes)
-    return graph
+    while True:
+        better = _descend(graph, nodes)
+        both = better.join(graph.select("node", F.col("entries.id").alias("former")), "node", "left")
+        fresh = F.size(F.array_except("entries.id", F.coalesce("former", F.array().cast("array<long>"))))
+        state = both.agg(F.sum(fresh).alias("fresh"), F.sum(F.size("entries")).alias("all")).first()
+        graph = better
+        if (state["fresh"] or 0) <= SETTLED * (state["all"] or 0):
+            return graph
 
 
 def _search(queries: DataFrame, graph: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -202,7 +208,7 @@ def _search(queries: DataFrame, graph: DataFrame, nodes: DataFrame) -> DataFrame
     return beam.select("query_id", "id")
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, rounds: int = ROUNDS) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score`` (Euclidean distance in
     double precision): the ``k`` nearest rows found for each of ``queries``,
     rows of ``vectors`` (``vec_id``, ``embedding``), its own row left out.
@@ -220,7 +226,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, rounds: int = R
     asked = stored(asked.select("query_id", "node", "exact", F.col("exact").cast("array<float>").alias("embedding")), "asked")
     if asked.isEmpty():
         return asked.select("query_id", F.lit(1).alias("rank"), F.col("node").alias("vec_id"), F.lit(0.0).alias("score"))
-    found = _search(asked, build_graph(nodes, rounds), nodes)
+    found = _search(asked, build_graph(nodes), nodes)
     found = found.union(asked.select("query_id", F.col("node").alias("id")))
     pairs = found.join(asked.select("query_id", "exact"), "query_id").join(
         classes.select(F.col("node").alias("id"), "members", F.col("embedding").alias("other")), "id"

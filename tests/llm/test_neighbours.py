@@ -1,7 +1,9 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
+from mercaflow.llm import neighbours
 from mercaflow.llm.neighbours import nearest
 
 
@@ -33,3 +35,18 @@ def test_few_vectors(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (2, [2.0])], "vec_id long, embedding array<float>")
     got = nearest(df, df.filter("vec_id = 0")).collect()
     assert [tuple(r) for r in got] == [(0, 1, 1, 1.0), (0, 2, 2, 1.0)]
+
+
+def test_rounds_go_on_until_the_graph_settles(spark, monkeypatch):
+    # A poor start, from which two rounds lead to few of the neighbours.
+    monkeypatch.setattr(neighbours, "TREES", 2)
+    monkeypatch.setattr(neighbours, "CELL", 6)
+    vectors = np.random.default_rng(6).standard_normal((1500, 16)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    nodes = df.select(F.col("vec_id").alias("node"), "embedding")
+    hit = 0
+    for row in neighbours.build_graph(nodes).collect():
+        away = np.square(vectors - vectors[row.node]).sum(axis=1)
+        away[row.node] = np.inf
+        hit += len({e.id for e in row.entries[:10]} & set(np.argsort(away)[:10].tolist()))
+    assert hit >= 0.9 * 10 * len(vectors)
