@@ -5,13 +5,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from mercaflow.llm.centroids import cluster_vectors, with_inertia
+from mercaflow.llm.conversation_repair import repair
+from mercaflow.llm.damaged_view import damaged
 from mercaflow.llm.decontaminate import benchmark_hits
+from mercaflow.llm.exact_dedup import exact_duplicates
 from mercaflow.llm import language
 from mercaflow.llm.line_dedup import dedup_lines
 from mercaflow.llm.mixture import mix_sources
 from mercaflow.llm.near_dup import near_duplicates
 from mercaflow.llm.neighbours import nearest
 from mercaflow.llm.ngram_lm import score_corpus
+from mercaflow.llm.round_sql import REPAIR_SQL, cluster_sql
 from mercaflow.llm.storage import table
 from mercaflow.llm.substring_dedup import remove_repeats
 from mercaflow.llm.token_counts import token_counts
@@ -85,6 +90,25 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+CLUSTERS = {"k": 40, "rounds": 5, "dims": 64, "scale": 256}
+CLUSTER_SEED = 2
+
+
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = F.sha2(F.concat(F.lit(f"{CLUSTER_SEED}:"), F.col("vec_id").cast("string")), 256)
+    return with_inertia(*cluster_vectors(table(spark, sf_dir, "embeddings"), order, **CLUSTERS))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
+    return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair(damaged(conversations), conversations)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -97,6 +121,9 @@ def queries() -> dict[str, Query]:
         "op8_tool_calls": op8_tool_calls,
         "op9_line_dedup": op9_line_dedup,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_centroids": op11_centroids,
+        "op12_exact_dedup": op12_exact_dedup,
+        "op13_conversation_repair": op13_conversation_repair,
     }
 
 
@@ -107,4 +134,13 @@ def oracle_sql() -> dict[str, str]:
             FROM documents
         """,
         "op8_tool_calls": TOOL_SQL,
+        "op11_centroids": cluster_sql(**CLUSTERS, seed=CLUSTER_SEED),
+        "op12_exact_dedup": """
+            SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM (
+                SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+                    sha256(coalesce(text, '')) AS text_sha256
+                FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+            )
+        """,
+        "op13_conversation_repair": REPAIR_SQL,
     }
