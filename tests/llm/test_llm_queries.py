@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="supplied tabl
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_equals_sql(spark, name):
     database = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "embeddings"):
         database.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     df, expected = queries()[name](spark, SF_DIR), database.sql(oracle_sql()[name])
     columns = sorted(df.columns)
@@ -26,7 +26,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(q.split("_")[0][2:]) for q in queries()) == list(range(1, 11))
+    assert sorted(int(q.split("_")[0][2:]) for q in queries()) == list(range(1, 14))
 
 
 def test_pipeline_stages_keep_columns_and_decide(spark, tmp_path):
