@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from mercaflow.functions.columns import named
 from mercaflow.schemas import CORRUPT_COLUMN
 
+# The column that tells the two kinds of records apart in one write, and its values.
+ROUTE, READABLE, UNREADABLE = "_route", "readable", "unreadable"
+
 
 def quality_metrics(df: DataFrame, required: Sequence[str] = ()) -> dict[str, Column]:
     """Record count and NULL count of each required column that exists.
@@ -37,3 +40,11 @@ def readable_records(df: DataFrame) -> DataFrame:
 def corrupt_records(df: DataFrame) -> DataFrame:
     """Unreadable records: raw text, what could be parsed, and provenance."""
     return df.filter(F.col(CORRUPT_COLUMN).isNotNull())
+
+
+def with_route(df: DataFrame) -> DataFrame:
+    """``df`` with the kind of each record, for a write that parts them."""
+    if CORRUPT_COLUMN not in df.columns:
+        return df.withColumn(ROUTE, F.lit(READABLE))
+    kind = F.when(F.col(CORRUPT_COLUMN).isNull(), READABLE).otherwise(UNREADABLE)
+    return df.withColumn(ROUTE, kind)

@@ -13,9 +13,10 @@ from mercaflow.config import (
     JobConfig,
     parse_config,
 )
-from mercaflow.operators.quality import corrupt_records, quality_metrics, readable_records
+from mercaflow.operators.quality import READABLE, ROUTE, UNREADABLE, quality_metrics, with_route
 from mercaflow.plans.common import register, run_job
-from mercaflow.sinks.tables import clear_owned, write_owned
+from mercaflow.sinks.swap import discard, put_in_place, recover, stage
+from mercaflow.sinks.tables import clear_owned, write_folder
 from mercaflow.sources.feeds import (
     read_first_available,
     read_json_source,
@@ -77,12 +78,12 @@ def _store(
 ) -> dict[str, int]:
     path, quarantine = config.bronze_path(feed), config.quarantine_path(feed)
     owned = {"ingestion_date": config.run_date, "source": feed}
-    if raw is None or raw.isEmpty():
+    metrics = {} if raw is None else ingest(raw, path, quarantine, owned, required)
+    if not metrics.get("records"):
         logger.warning("no data for %s on %s", feed, config.run_date)
         for table in (path, quarantine):
             clear_owned(spark, table, owned)
         return {}
-    metrics = ingest(raw, path, quarantine, owned, required)
     logger.info("bronze %s: %s", feed, metrics)
     register(spark, config, f"bronze_{feed}", path)
     return metrics
@@ -95,21 +96,26 @@ def ingest(
     owned: Mapping[str, str],
     required: Sequence[str] = (),
 ) -> dict[str, int]:
-    """Write the readable records; metrics come with the write.
+    """Write readable and unreadable records apart; metrics come with the write.
 
-    The write is map-only: ingestion never shuffles the raw data. Only when
-    the metrics show unreadable records are the files parsed again for them.
-    Both tables are replaced for the ``owned`` date and source.
+    The feed is parsed once, by a map-only job that writes both kinds side by
+    side, split by a routing column; each folder then takes its place in its own
+    table. Both tables are replaced for the ``owned`` date and source. The files
+    of both have the corrupt column, which is null in every bronze row.
     """
+    spark = raw.sparkSession
     observation = Observation()
     metrics = quality_metrics(raw, required)
     observed = raw.observe(observation, *[expr.alias(name) for name, expr in metrics.items()])
-    write_owned(readable_records(observed), path, owned)
-    counts = observation.get
-    if counts.get("corrupt"):
-        write_owned(corrupt_records(raw), quarantine_path, owned)
-    else:
-        clear_owned(raw.sparkSession, quarantine_path, owned)
+    staged = stage(spark, path, owned)
+    recover(spark, quarantine_path, owned)
+    try:
+        write_folder(with_route(observed).drop(*owned), staged, [ROUTE])
+        counts = observation.get
+        put_in_place(spark, path, owned, f"{staged}/{ROUTE}={READABLE}")
+        put_in_place(spark, quarantine_path, owned, f"{staged}/{ROUTE}={UNREADABLE}")
+    finally:
+        discard(spark, path, owned)
     return counts
 
 

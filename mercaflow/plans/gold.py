@@ -12,6 +12,7 @@ from mercaflow.operators import kpis
 from mercaflow.operators.fact import fact_sales_daily
 from mercaflow.operators.weather import attach_weather
 from mercaflow.plans.common import register, run_job
+from mercaflow.sinks.swap import recover
 from mercaflow.sinks.tables import clear_owned, fill_partitions, write_table
 from mercaflow.sources.tables import load_transactions, load_weather
 
@@ -58,6 +59,8 @@ def run_gold(
     cached copy of all columns would write; ``persist_transactions`` caches
     it all the same, for a silver table that is small or slow to read.
     """
+    for table in (config.transactions_table, config.weather_table):
+        recover(spark, config.silver_path(table))
     sales = load_transactions(
         spark, config.silver_path(config.transactions_table), config.run_date, config.history_days
     )

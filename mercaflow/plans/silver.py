@@ -11,6 +11,7 @@ from mercaflow.config import JobConfig, parse_config
 from mercaflow.operators.transactions import to_silver_names, union_feeds
 from mercaflow.operators.weather import prepare_weather_features
 from mercaflow.plans.common import register, run_job
+from mercaflow.sinks.swap import recover
 from mercaflow.sinks.tables import clear_owned, write_table
 from mercaflow.sources.tables import read_bronze
 
@@ -25,6 +26,8 @@ def run_silver(spark: SparkSession, config: JobConfig) -> dict[str, dict[str, in
     """
     owned = {"run_date": config.run_date}
     results = {}
+    for feed in (*(f.name for f in config.feeds), config.weather_feed):
+        recover(spark, config.bronze_path(feed))
 
     transactions = union_feeds(
         read_bronze(spark, config.bronze_path(feed.name), config.run_date) for feed in config.feeds

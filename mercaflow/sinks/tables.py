@@ -5,6 +5,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from mercaflow.sinks.swap import discard, put_in_place, recover, stage
+
 # What a NULL partition value is stored as.
 PARTITION_FILLS = {"txn_date": "1970-01-01", "region": "unknown", "category": "unknown"}
 
@@ -41,28 +43,28 @@ def write_table(
     return observation.get
 
 
-def owned_path(path: str, owned: Mapping[str, str]) -> str:
-    return "/".join([path, *(f"{column}={value}" for column, value in owned.items())])
-
-
 def write_owned(
     df: DataFrame, path: str, owned: Mapping[str, str], partition_by: Sequence[str] = ()
 ) -> None:
-    """Overwrite the folder of the ``owned`` partition values as a whole, so
-    that nothing of an earlier run of the date stays, also if ``df`` is empty
-    or holds fewer partitions; other dates are not touched."""
-    (
-        df.drop(*owned)
-        .write.mode("overwrite")
-        .format("parquet")
-        .option("compression", "snappy")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(*partition_by)
-        .save(owned_path(path, owned))
-    )
+    """Replace the folder of the ``owned`` partition values as a whole, so that
+    nothing of an earlier run of the date stays, also if ``df`` is empty or holds
+    fewer partitions; other dates are not touched. Readers see the old folder
+    until the new one is complete, and keep it if the write fails."""
+    spark = df.sparkSession
+    staged = stage(spark, path, owned)
+    try:
+        write_folder(df.drop(*owned), staged, partition_by)
+    except Exception:
+        discard(spark, path, owned)
+        raise
+    put_in_place(spark, path, owned, staged)
+
+
+def write_folder(df: DataFrame, folder: str, partition_by: Sequence[str] = ()) -> None:
+    df.write.format("parquet").option("compression", "snappy").partitionBy(*partition_by).save(folder)
 
 
 def clear_owned(spark: SparkSession, path: str, owned: Mapping[str, str]) -> None:
     """Remove what an earlier run of the date has left, for a run without rows."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(owned_path(path, owned))
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    recover(spark, path, owned)
+    put_in_place(spark, path, owned, None)

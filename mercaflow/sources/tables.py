@@ -6,6 +6,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mercaflow.operators.transactions import to_gold_names
+from mercaflow.schemas import CORRUPT_COLUMN
 from mercaflow.sources.feeds import try_read
 
 
@@ -45,8 +46,10 @@ def read_run_dates(
 
 
 def read_bronze(spark: SparkSession, root: str, run_date: str) -> DataFrame | None:
-    """Bronze rows of one ingestion date; schema drift between files is merged."""
-    return read_partition(spark, root, "ingestion_date", run_date, merge_schema=True)
+    """Bronze rows of one ingestion date; schema drift between files is merged.
+    The corrupt column, null in all of them, is left out."""
+    df = read_partition(spark, root, "ingestion_date", run_date, merge_schema=True)
+    return None if df is None else df.drop(CORRUPT_COLUMN)
 
 
 def load_transactions(

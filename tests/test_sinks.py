@@ -1,9 +1,11 @@
 import os
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from mercaflow.sinks.catalog import register_table
+from mercaflow.sinks import swap
 from mercaflow.sinks.tables import clear_owned, fill_partitions, with_dt, write_table
 from mercaflow.sources.tables import load_transactions, load_weather, read_partition
 from mercaflow.session import shared_folder
@@ -117,3 +119,81 @@ def test_a_large_table_partition_is_split_into_several_files(spark, tmp_path):
     files = [f for f in os.listdir(tmp_path / "t" / "region=hot") if f.endswith(".parquet")]
     assert len(files) > 3
     assert spark.read.parquet(str(tmp_path / "t")).count() == 200_000
+
+
+DAY = {"dt": "2025-10-11"}
+
+
+@pytest.mark.parametrize("owned", [DAY, {}])
+def test_a_write_that_fails_midway_leaves_the_old_rows(spark, tmp_path, owned):
+    path = str(tmp_path / "lake" / "t")
+    rows = spark.range(100).selectExpr("id", "id % 3 region")
+    write_table(rows, path, owned, ["region"])
+    write_table(rows, path, {"dt": "2025-10-10"}, ["region"]) if owned else None
+    failing = rows.withColumn("id", F.when(F.col("id") == 77, F.raise_error(F.lit("midway"))).otherwise(F.col("id") + 1000))
+    with pytest.raises(Exception, match="midway"):
+        write_table(failing, path, owned, ["region"])
+    stored = spark.read.parquet(path)
+    assert stored.count() == (200 if owned else 100) and stored.agg(F.max("id")).first()[0] == 99
+    assert not [n for n in os.listdir(tmp_path / "lake") + os.listdir(path) if n in (swap.STAGING, swap.REPLACED)]
+
+
+def test_the_old_rows_stay_readable_while_the_new_ones_are_written(spark, tmp_path, monkeypatch):
+    path, seen = str(tmp_path / "t"), []
+    write_table(spark.range(5), path, DAY)
+
+    original = swap._Folders.move
+
+    def move(folders, source, target):
+        if not seen:
+            seen.append(spark.read.parquet(path).count())
+        original(folders, source, target)
+
+    monkeypatch.setattr(swap._Folders, "move", move)
+    write_table(spark.range(7), path, DAY)
+    # All of the new files were there by the time that the first folder moved.
+    assert seen == [5] and spark.read.parquet(path).count() == 7
+
+
+def test_a_move_that_fails_puts_the_old_rows_back(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    write_table(spark.range(5), path, DAY)
+    original = swap._Folders.move
+
+    def move(folders, source, target):
+        if swap.STAGING in source:
+            raise swap.SwapFailed(source)
+        original(folders, source, target)
+
+    monkeypatch.setattr(swap._Folders, "move", move)
+    with pytest.raises(swap.SwapFailed):
+        write_table(spark.range(7), path, DAY)
+    assert spark.read.parquet(path).count() == 5
+
+
+@pytest.mark.parametrize("replaced", [False, True])
+def test_what_a_dead_job_has_parked_comes_back(spark, tmp_path, replaced):
+    """It died after the first move, or after the second."""
+    path, other = str(tmp_path / "t"), {"dt": "2025-10-10"}
+    for owned in (DAY, other):
+        write_table(spark.range(5), path, owned)
+    os.makedirs(f"{path}/{swap.REPLACED}")
+    os.rename(f"{path}/dt=2025-10-11", f"{path}/{swap.REPLACED}/dt=2025-10-11")
+    if replaced:
+        os.makedirs(f"{path}/{swap.STAGING}")
+        spark.range(7).write.parquet(f"{path}/dt=2025-10-11")
+    assert spark.read.parquet(path).count() == (12 if replaced else 5)
+    assert swap.recover(spark, path, other) == []
+    assert swap.recover(spark, path) == ([] if replaced else ["dt=2025-10-11"])
+    assert spark.read.parquet(path).count() == (12 if replaced else 10)
+    assert swap.REPLACED not in os.listdir(path)
+
+
+def test_the_next_write_of_a_date_clears_up_after_a_dead_one(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.range(5), path, DAY)
+    spark.range(100).write.parquet(f"{path}/{swap.STAGING}/dt=2025-10-11")
+    os.makedirs(f"{path}/{swap.REPLACED}")
+    os.rename(f"{path}/dt=2025-10-11", f"{path}/{swap.REPLACED}/dt=2025-10-11")
+    write_table(spark.range(6), path, DAY)
+    assert os.listdir(path) == ["dt=2025-10-11"] and spark.read.parquet(path).count() == 6
