@@ -3,12 +3,14 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F, types as T
 
 from mercaflow.schemas import CORRUPT_COLUMN
+from mercaflow.sources import borders
 
 logger = logging.getLogger(__name__)
 PATH_COLUMN = "_source_path"
@@ -39,54 +41,88 @@ def read_json_source(
     """JSON feed with its provenance; unreadable records keep their raw text in
     the corrupt column.
 
-    ``multiline`` reads one document per file, or one array of them. A file
-    that holds more is read line by line instead, if its documents take a line
-    each; otherwise the whole file is one unreadable record. So nothing behind a
-    first document is lost; finding such files takes one more pass over the feed.
-    Without ``multiline`` there is one document per line, which splits across
-    tasks. A given ``schema`` saves the inference pass over the files.
+    ``multiline`` reads files of one document or of one array of them. What else
+    a file holds (documents one after another, one a line, printed over several
+    lines, or mixed with what is no document) is found by one scan of the feed by
+    line, whose result is stored; such files are cut at the borders of their
+    documents, and all of it is read or set apart, whatever the length of a file.
+    Files are read twice, and once more where their schema is inferred. Without
+    ``multiline`` there is one document per line, and no scan. A given ``schema``
+    saves the inference pass over the files.
     """
-    several = _files_of_several_documents(spark, path) if multiline else None
-    if several is None or several.isEmpty():
-        raw = _read_json(spark, path, schema, multiline)
-    else:
-        whole = _read_json(spark, path, schema, True).join(several, PATH_COLUMN, "left_anti")
-        lines = _read_json(spark, path, schema, False).join(several.filter("by_line"), PATH_COLUMN, "left_semi")
-        files = spark.read.text(path, wholetext=True).select(
-            F.col("value").alias(CORRUPT_COLUMN), F.col("_metadata.file_path").alias(PATH_COLUMN)
-        )
-        mixed = files.join(several.filter("not by_line"), PATH_COLUMN, "left_semi")
-        raw = whole.unionByName(lines, allowMissingColumns=True).unionByName(mixed, allowMissingColumns=True)
+    raw = _read_documents(spark, path, schema) if multiline else _read_json(spark, path, schema, False)
     return add_metadata_columns(raw, source, ingestion_date, F.col(PATH_COLUMN)).drop(PATH_COLUMN)
 
 
-def _is_followed(text: Column) -> Column:
-    """Whether ``text`` begins with an object or array and goes on behind it: it
-    is not the one element of an array and the one value of an object."""
-    begins = F.json_object_keys(text).isNotNull() | F.json_array_length(text).isNotNull()
-    element = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
-    value = F.json_object_keys(F.concat(F.lit('{"a":'), text, F.lit("}")))
-    return begins & ~(F.coalesce(element == 1, F.lit(False)) & F.coalesce(F.size(value) == 1, F.lit(False)))
-
-
-def _files_of_several_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Files whose first document is followed by something, and whether they can
-    be read ``by_line``: no line goes on behind its document, and none begins
-    with what can only stand within a document."""
-    text = F.col("value")
-    files = spark.read.text(path, wholetext=True).filter(_is_followed(text))
-    lines = F.split(text, "\r\n|\r|\n")
-    inside = F.exists(lines, lambda line: line.rlike(r'^\s*[\]}",:]') | _is_followed(line))
-    return files.select(F.col("_metadata.file_path").alias(PATH_COLUMN), (~inside).alias("by_line"))
+def _read_documents(spark: SparkSession, path: str, schema: T.StructType | str | None) -> DataFrame:
+    """The records of ``path``, each file by its kind."""
+    blocks = borders.scan(spark, path)
+    kinds = borders.kinds(blocks) or {borders.ONE: []}
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    where = {
+        kind: path if len(kinds) == 1 else [borders.as_path(file) for file in files]
+        for kind, files in kinds.items()
+        if kind != borders.CUT
+    }
+    cut = None
+    if borders.CUT in kinds:
+        cut = borders.stored(_records(borders.documents(spark, kinds[borders.CUT], blocks)), "records")
+    if schema is None:
+        inferred = [_json_reader(spark, kind == borders.ONE).json(paths).schema for kind, paths in where.items()]
+        if cut is not None:
+            inferred.append(spark.read.json(cut.rdd.map(lambda row: row.record)).schema)
+        schema = reduce(merged_schema, inferred)
+    parts = [_read_json(spark, paths, schema, kind == borders.ONE) for kind, paths in where.items()]
+    if cut is not None:
+        parts.append(_parsed(cut, schema))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _records(documents: DataFrame) -> DataFrame:
+    """Each document, or the elements of an array of them."""
+    listed = F.coalesce(F.from_json("document", "array<string>"), F.array("document"))
+    each = F.when(F.col("document").startswith("["), listed).otherwise(F.array("document"))
+    return documents.select(F.col("file").alias(PATH_COLUMN), F.explode(each).alias("record"))
+
+
+def _parsed(records: DataFrame, schema: T.StructType) -> DataFrame:
+    fields = [f for f in schema.fields if f.name != CORRUPT_COLUMN]
+    full = T.StructType([*fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
+    if not fields:
+        return records.select(F.col("record").alias(CORRUPT_COLUMN), PATH_COLUMN)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+    return records.withColumn("record", F.from_json("record", full, options)).select("record.*", PATH_COLUMN)
+
+
+def merged_schema(a: T.DataType, b: T.DataType) -> T.DataType:
+    """A type that holds the values of both: fields of either, the wider number,
+    or else text."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        types = {f.name: f.dataType for f in a.fields}
+        for f in b.fields:
+            types[f.name] = merged_schema(types[f.name], f.dataType) if f.name in types else f.dataType
+        return T.StructType([T.StructField(name, kind) for name, kind in types.items()])
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(merged_schema(a.elementType, b.elementType))
+    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+        return T.DoubleType()
+    return T.StringType()
+
+
+def _json_reader(spark: SparkSession, multiline: bool) -> DataFrameReader:
+    return spark.read.options(multiLine=multiline, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT_COLUMN)
 
 
 def _read_json(
-    spark: SparkSession, path: str, schema: T.StructType | str | None, multiline: bool
+    spark: SparkSession, path: str | list[str], schema: T.StructType | str | None, multiline: bool
 ) -> DataFrame:
     """The records of ``path`` with the corrupt column and their file."""
-    reader = spark.read.options(
-        multiLine=multiline, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT_COLUMN
-    )
+    reader = _json_reader(spark, multiline)
     if schema is None:
         schema = reader.json(path).schema
     elif isinstance(schema, str):

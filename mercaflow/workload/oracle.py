@@ -388,7 +388,7 @@ def oracle() -> dict[str, str]:
             fact(_STORED_SALES, _WEATHER_BY_REGION), "txn_date", "region", "category"
         ),
         "medallion_rerun": f"""
-            SELECT '{RUN_DATE}' AS dt, * FROM ({channel_payment(f"SELECT * FROM ({_STORED_SALES}) WHERE source = 'spanish'")})""",
+            SELECT '{RUN_DATE}' AS dt, * FROM ({customer_frequency(f"SELECT * FROM ({_STORED_SALES}) WHERE source = 'spanish'")})""",
         "bronze_json_multiline": """
             SELECT o_orderkey, o_custkey, o_orderstatus, 'orders' AS source FROM orders""",
     }

@@ -240,11 +240,14 @@ def bronze_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _medallion(spark: SparkSession, sf_dir: str) -> JobConfig:
+def _new_lake(spark: SparkSession, sf_dir: str) -> JobConfig:
     """Raw feeds of all lines and events, taken through the bronze and the
     silver job."""
     base = shared_folder(spark, "lake")
-    feeds = (TransactionFeed("english", multiline=False), TransactionFeed("spanish", multiline=False))
+    feeds = tuple(
+        TransactionFeed(name, multiline=False, schema=rows.schema.simpleString()[len("struct<") : -1])
+        for name, rows in (("english", views.english_feed(spark, sf_dir)), ("spanish", views.spanish_feed(spark, sf_dir)))
+    )
     config = JobConfig(
         base, RUN_DATE, feeds=feeds, weather_feed="meteo", register=False
     )
@@ -260,6 +263,18 @@ def _medallion(spark: SparkSession, sf_dir: str) -> JobConfig:
     return config
 
 
+# The lake of each session and table folder; what reads it changes only gold.
+_LAKES: dict[tuple[str, str], JobConfig] = {}
+
+
+def _medallion(spark: SparkSession, sf_dir: str) -> JobConfig:
+    """One lake for all queries of a session over the same tables."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAKES:
+        _LAKES[key] = _new_lake(spark, sf_dir)
+    return _LAKES[key]
+
+
 def medallion_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = _medallion(spark, sf_dir)
     stored = load_transactions(spark, config.silver_path(config.transactions_table), RUN_DATE)
@@ -300,29 +315,44 @@ def _text_dt(df: DataFrame) -> DataFrame:
 
 def medallion_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A date run twice: the second time one feed is gone, and with it all it
-    had brought."""
-    config = _medallion(spark, sf_dir)
-    run_gold(spark, config, ["channel_payment_perf"])
+    had brought, such as the partition of lines without a date."""
+    config = _new_lake(spark, sf_dir)
+    run_gold(spark, config, ["customer_frequency_ticket"])
     again = replace(config, feeds=(replace(config.feeds[0], name="nothing"), config.feeds[1]))
     run_bronze(spark, again)
     run_silver(spark, again)
-    run_gold(spark, again, ["channel_payment_perf"])
-    return _text_dt(spark.read.parquet(config.gold_path("channel_payment_perf")))
+    run_gold(spark, again, ["customer_frequency_ticket"])
+    return _text_dt(spark.read.parquet(config.gold_path("customer_frequency_ticket")))
 
 
 def bronze_json_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All orders as files of one array and files of several documents, read in
-    the mode that takes a file for one document."""
+    """All orders as files of one array, of a document a line, of documents side
+    by side and printed over several lines, and of documents behind a byte-order
+    mark and a scalar, read in the mode that takes a file for one document."""
     path = shared_folder(spark, "multiline")
     orders = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     document = F.to_json(F.struct("o_orderkey", "o_custkey", "o_orderstatus"))
-    orders.filter("o_orderstatus <> 'O'").select(document.alias("value")).write.text(f"{path}/lines")
-    bucket = F.pmod(F.xxhash64("o_orderkey"), F.lit(64))
-    listed = F.array_join(F.collect_list(document), ",\n")
-    arrays = orders.filter("o_orderstatus = 'O'").groupBy(bucket).agg(F.concat(F.lit("[\n"), listed, F.lit("\n]")).alias("value"))
-    arrays.select("value").write.option("maxRecordsPerFile", 1).text(f"{path}/arrays")
+    printed = F.regexp_replace(document, "([{,])", "$1\n ")
+    forms = ("lines", "printed", "side_by_side", "arrays", "marked")
+    form = F.pmod(F.xxhash64("o_orderkey", "o_custkey"), F.lit(len(forms)))
+    documents = orders.select(document.alias("document"), printed.alias("printed"), form.alias("form"))
+    for number, name in enumerate(forms):
+        own = documents.filter(F.col("form") == number)
+        if name in ("lines", "printed"):
+            own.select("document" if name == "lines" else "printed").write.text(f"{path}/{name}")
+            continue
+        some = F.transform(F.array_sort(F.collect_list(F.struct("document", "printed"))), lambda d: d["printed"])
+        listed = F.array_join(some, {"arrays": ",\n", "marked": "\n", "side_by_side": " "}[name])
+        whole = {
+            "arrays": F.concat(F.lit("[\n"), listed, F.lit("\n]")),
+            "marked": F.concat(F.lit("\ufeff0\n"), listed),
+            "side_by_side": listed,
+        }[name]
+        bucket = F.pmod(F.xxhash64("document"), F.lit(64))
+        files = own.groupBy(bucket).agg(whole.alias("value")).select("value")
+        files.write.option("maxRecordsPerFile", 1).text(f"{path}/{name}")
     df = read_json_source(spark, f"{path}/*", "orders", RUN_DATE, schema=orders.schema)
-    return df.select("o_orderkey", "o_custkey", "o_orderstatus", "source")
+    return df.filter("_corrupt_record is null").select("o_orderkey", "o_custkey", "o_orderstatus", "source")
 
 
 _PRODUCT_DAY = ("category", "product_id", "product_name", "txn_date", "revenue", "quantity")

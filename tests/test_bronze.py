@@ -1,12 +1,15 @@
+import collections
 import json
 import os
+import random
 
 import pytest
 from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameReader, functions as F
 
 from mercaflow.operators.quality import corrupt_records, quality_report, readable_records
 from mercaflow.plans.bronze import ingest
+from mercaflow.sources.tables import read_bronze
 from mercaflow.sources.feeds import (
     add_metadata_columns,
     read_first_available,
@@ -114,7 +117,8 @@ def test_ingest_writes_both_kinds_and_returns_metrics(spark, tmp_path):
     counts = ingest(raw, str(tmp_path / "bronze"), str(tmp_path / "bad"), OWNED, ["id", "txn_id"])
     assert (counts["records"], counts["corrupt"]) == (3, 1)
     good = spark.read.parquet(str(tmp_path / "bronze"))
-    assert good.count() == 2 and "_corrupt_record" not in good.columns
+    assert good.count() == 2 and good.filter("_corrupt_record is not null").isEmpty()
+    assert "_corrupt_record" not in read_bronze(spark, str(tmp_path / "bronze"), DAY).columns
     assert spark.read.parquet(str(tmp_path / "bad")).first()._corrupt_record.startswith('{"id":')
     assert os.path.isdir(tmp_path / "bronze" / f"ingestion_date={DAY}" / "source=s")
 
@@ -133,20 +137,96 @@ def test_several_documents_in_a_multiline_file_are_all_read(spark, tmp_path, sch
 
 @pytest.mark.parametrize("schema", [None, "id string"])
 def test_nothing_behind_a_document_is_lost(spark, tmp_path, schema):
-    bad = {
+    files = {
         "same_line.json": '{"id": "1"}\n{"id": "2"} {"id": "3"}\n',
         "one_line.json": '{"id": "4"} {"id": "5"}',
         "pretty.json": '{\n  "id": "6"\n}\n{\n  "id": "7"\n}\n',
         "closed.json": '{"id": "8"}] {"id": "9"}',
     }
-    for name, text in bad.items():
+    for name, text in files.items():
         write(tmp_path, name, text)
     write(tmp_path, "large.json", json.dumps({"id": "10", "pad": ["x" * 1000] * 20_000}))
     write(tmp_path, "large_pretty.json", json.dumps({"id": "11", "pad": ["x" * 1000] * 20_000}, indent=1))
     write(tmp_path, "lines.json", '{"id": "12"}\n{"id": "13"}\nnonsense\n')
     raw = read_json_source(spark, str(tmp_path), "s", DAY, schema)
-    assert sorted(int(r.id) for r in readable_records(raw).select("id").collect()) == [10, 11, 12, 13]
-    assert sorted(r._corrupt_record for r in corrupt_records(raw).collect()) == sorted([*bad.values(), "nonsense"])
+    assert sorted(int(r.id) for r in readable_records(raw).select("id").collect()) == list(range(1, 14))
+    assert sorted(r._corrupt_record for r in corrupt_records(raw).collect()) == ["]", "nonsense"]
+
+
+@pytest.mark.parametrize("schema", [None, "id string"])
+def test_files_of_every_form(spark, tmp_path, schema):
+    files = {
+        "bom_lines.json": '\ufeff{"id": "1"}\n{"id": "2"}\n',
+        "bom_pretty.json": '\ufeff{"id":\n"3"}\n{"id":\n"4"}',
+        "scalar_first.json": '5\n{"id": "5"}\n{"id":\n"6"}',
+        "arrays.json": '[{"id": "7"},\n{"id": "8"}]\n[{"id": "9"}]',
+        "bad_first.json": 'oops\n{"id": "10", "t": "a } \\" ] {"}\n{"id": "11"}\n',
+        "unfinished.json": '{"id": "12"} {"id": "13"}\n{"id": "14",\n "rest": [1,\n',
+        # Spark's own inference takes brackets in a file's name for a pattern.
+        ("one line [1].json" if schema else "one line.json"): '  {"id": "15"}  ',
+        "carriage.json": '{"id": "16"}\r\n{"id": "17"}\r{"id": "18"}',
+        "deep.json": '{"id": "19", "d": ' + "[" * 60 + "]" * 60 + '} {"id": "20"}',
+        "empty_array.json": "[]",
+    }
+    for name, text in files.items():
+        write(tmp_path, name, text)
+    raw = read_json_source(spark, str(tmp_path), "s", DAY, schema)
+    good = readable_records(raw).select("id", "file_name").collect()
+    assert sorted(int(r.id) for r in good) == [*range(1, 14), *range(15, 21)]
+    bad = {r._corrupt_record for r in corrupt_records(raw).collect()}
+    assert bad == {"5", "oops", '{"id": "14",\n "rest": [1,'}
+    names = {int(r.id): r.file_name.rsplit("/", 1)[1] for r in good}
+    assert (names[4], names[15], names[20]) == ("bom_pretty.json", "one%20line%20%5B1%5D.json" if schema else "one%20line.json", "deep.json")
+
+
+def random_value(rng, depth=0):
+    kind = rng.randrange(6 if depth < 4 else 3)
+    if kind < 3:
+        return rng.choice([1, -2.5, True, None, "", 'q"}{', "a\\", "[x]", "ü\u2028\n"])
+    if kind == 3:
+        return [random_value(rng, depth + 1) for _ in range(rng.randrange(4))]
+    return {rng.choice("abc{"): random_value(rng, depth + 1) for _ in range(rng.randrange(4))}
+
+
+@pytest.mark.parametrize("block", [64, 1 << 20])
+def test_borders_of_random_files(spark, tmp_path, block):
+    """Files are cut into blocks far smaller than their documents, too."""
+    rng = random.Random(block)
+    expected = collections.Counter()
+    for name in range(25):
+        text = ""
+        for i in range(rng.randrange(1, 9)):
+            document = {"id": f"{name}-{i}", "v": random_value(rng)}
+            expected[document["id"]] += 1
+            dumped = json.dumps(document, indent=rng.choice([None, None, 1]), ensure_ascii=rng.random() < 0.5)
+            text += rng.choice(["", " ", "\n"]) + dumped + rng.choice(["\n", "\n\n", " ", ""])
+        write(tmp_path, f"{name}.json", text)
+    settings = {"spark.sql.files.maxPartitionBytes": block, "spark.sql.files.openCostInBytes": 0}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        raw = read_json_source(spark, str(tmp_path), "s", DAY, "id string").persist()
+        assert collections.Counter(r.id for r in raw.collect()) == expected
+        assert corrupt_records(raw).isEmpty()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_a_feed_is_scanned_once_and_parsed_once(spark, tmp_path, monkeypatch):
+    for i in range(3):
+        write(tmp_path, f"{i}.json", f'{{"id": "{i}"}}\n{{"id":\n"x"}}')
+    read = []
+    for name in ("text", "json"):
+        original = getattr(DataFrameReader, name)
+        monkeypatch.setattr(
+            DataFrameReader, name, lambda self, where, *a, original=original, name=name: read.append(name) or original(self, where, *a)
+        )
+    raw = read_json_source(spark, str(tmp_path), "s", DAY, "id string")
+    assert raw.count() == 6 and raw.filter("id = 'x'").count() == 3
+    # The scan, and the text that is cut; what was cut is stored.
+    assert read == ["text", "text"]
 
 
 def test_a_corrected_file_leaves_no_quarantine(spark, tmp_path):
@@ -158,3 +238,36 @@ def test_a_corrected_file_leaves_no_quarantine(spark, tmp_path):
         assert counts["corrupt"] == corrupt
         assert os.path.isdir(f"{bad}/ingestion_date={DAY}/source=s") == bool(corrupt)
     assert sorted(r.id for r in spark.read.parquet(bronze).collect()) == ["1", "2"]
+
+
+def counted(df, seen):
+    """``df``, with ``seen`` raised by each row that is computed."""
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema)
+
+
+def test_records_are_parsed_once_whatever_their_kind(spark, tmp_path):
+    write(tmp_path / "raw", "x.json", '{"id": "1"}\n{"id": "2"}\n{"id": \n')
+    raw = read_json_source(spark, str(tmp_path / "raw"), "s", DAY, multiline=False)
+    seen = spark.sparkContext.accumulator(0)
+    counts = ingest(counted(raw, seen), str(tmp_path / "bronze"), str(tmp_path / "bad"), OWNED)
+    assert (counts["records"], counts["corrupt"], seen.value) == (3, 1, 3)
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == 1
+    assert sorted(os.listdir(tmp_path / "bronze")) == [f"ingestion_date={DAY}"]
+
+
+def test_a_failed_ingestion_leaves_both_tables_as_they_were(spark, tmp_path):
+    bronze, bad = str(tmp_path / "bronze"), str(tmp_path / "bad")
+    write(tmp_path / "raw", "x.json", '{"id": "1"}\n{"id": \n')
+    raw = read_json_source(spark, str(tmp_path / "raw"), "s", DAY, multiline=False)
+    ingest(raw, bronze, bad, OWNED)
+    broken = raw.withColumn("id", F.when(F.col("id") == "1", F.raise_error(F.lit("midway"))).otherwise("x"))
+    with pytest.raises(Exception, match="midway"):
+        ingest(broken, bronze, bad, OWNED)
+    assert [r.id for r in spark.read.parquet(bronze).collect()] == ["1"]
+    assert spark.read.parquet(bad).count() == 1 and os.listdir(bronze) == [f"ingestion_date={DAY}"]
