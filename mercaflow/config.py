@@ -92,6 +92,7 @@ class JobConfig:
     weather_feed: str = WEATHER_FEED
     weather_multiline: bool = True
     weather_schema: str | None = None
+    weather_ledger: bool = False
     spark_conf: dict[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -103,6 +104,9 @@ class JobConfig:
     def quarantine_path(self, feed: str) -> str:
         return f"{self.input_bucket}/{self.raw_prefix}/_badrecords/{feed}"
 
+    def ledger_path(self, feed: str) -> str:
+        return f"{self.input_bucket}/{self.raw_prefix}/_ledger/{feed}"
+
     def silver_path(self, table: str) -> str:
         return f"{self.input_bucket}/{self.silver_prefix}/{table}"
 
@@ -134,6 +138,9 @@ def parse_config(description: str, argv: Sequence[str] | None = None) -> JobConf
         help="count orders and customers with sketches",
     )
     parser.add_argument("--persist_transactions", action="store_true", default=None)
+    parser.add_argument(
+        "--weather_ledger", action="store_true", default=None, help="take only weather files that no earlier date took"
+    )
     parser.add_argument("--no_register", dest="register", action="store_false", default=None)
     parser.add_argument("--json_lines", action="store_true", help="feeds hold one document per line")
     parser.add_argument(

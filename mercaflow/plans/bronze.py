@@ -5,7 +5,7 @@ import logging
 import sys
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 
 from mercaflow.config import (
     TRANSACTION_REQUIRED,
@@ -17,12 +17,8 @@ from mercaflow.operators.quality import READABLE, ROUTE, UNREADABLE, quality_met
 from mercaflow.plans.common import register, run_job
 from mercaflow.sinks.swap import discard, put_in_place, recover, stage
 from mercaflow.sinks.tables import clear_owned, write_folder
-from mercaflow.sources.feeds import (
-    read_first_available,
-    read_json_source,
-    read_parquet_source,
-    try_read,
-)
+from mercaflow.sources.feeds import list_files, read_files, read_json_source, try_read
+from mercaflow.sources.ledger import new_files, record_files
 
 logger = logging.getLogger(__name__)
 
@@ -41,31 +37,38 @@ def run_bronze(spark: SparkSession, config: JobConfig) -> dict[str, dict[str, in
             )
         )
         results[feed.name] = _store(spark, config, feed.name, raw, TRANSACTION_REQUIRED)
-    weather = read_weather_feed(spark, config)
+    taken = list_weather(spark, config)
+    weather = read_weather_files(spark, config, [row.file for row in taken]) if taken else None
     results[config.weather_feed] = _store(
         spark, config, config.weather_feed, weather, WEATHER_REQUIRED
     )
+    if config.weather_ledger:
+        ledger = config.ledger_path(config.weather_feed)
+        if taken:
+            record_files(spark, taken, ledger, config.run_date)
+        else:
+            clear_owned(spark, ledger, {"ingestion_date": config.run_date})
     return {name: metrics for name, metrics in results.items() if metrics}
 
 
-def read_weather_feed(spark: SparkSession, config: JobConfig) -> DataFrame | None:
-    """Weather as parquet, else as JSON. Its folder is not split by date: every
-    run takes all of it and stamps it with the run date."""
+def list_weather(spark: SparkSession, config: JobConfig) -> list[Row]:
+    """The weather files that this run takes: names, which Spark's driver lists to
+    read them, with length and time of change. Their folder
+    is not split by date: a run takes all of them, or with ``weather_ledger`` only
+    those that no run of an earlier date has taken."""
     folder = f"{config.input_bucket}/raw/api/{config.weather_feed}"
-    return read_first_available(
-        [
-            lambda: read_parquet_source(
-                spark, f"{folder}/*.parquet", config.weather_feed, config.run_date
-            ),
-            lambda: read_json_source(
-                spark,
-                f"{folder}/*",
-                config.weather_feed,
-                config.run_date,
-                config.weather_schema,
-                config.weather_multiline,
-            ),
-        ]
+    files = try_read(lambda: list_files(spark, f"{folder}/*"))
+    if files is None:
+        return []
+    if config.weather_ledger:
+        files = new_files(spark, files, config.ledger_path(config.weather_feed), config.run_date)
+    return files.collect()
+
+
+def read_weather_files(spark: SparkSession, config: JobConfig, files: Sequence[str]) -> DataFrame:
+    """Weather files of either format, stamped with the run date."""
+    return read_files(
+        spark, files, config.weather_feed, config.run_date, config.weather_schema, config.weather_multiline
     )
 
 

@@ -13,7 +13,7 @@ from mercaflow.operators.weather import prepare_weather_features
 from mercaflow.plans.common import register, run_job
 from mercaflow.sinks.swap import recover
 from mercaflow.sinks.tables import clear_owned, write_table
-from mercaflow.sources.tables import read_bronze
+from mercaflow.sources.tables import read_bronze, read_bronze_until
 
 logger = logging.getLogger(__name__)
 
@@ -40,7 +40,9 @@ def run_silver(spark: SparkSession, config: JobConfig) -> dict[str, dict[str, in
             to_silver_names(transactions), config.silver_path(config.transactions_table), owned, rebalance=False
         )
 
-    weather = read_bronze(spark, config.bronze_path(config.weather_feed), config.run_date)
+    # With a ledger, a date's bronze weather is what it was the first to take.
+    read_weather = read_bronze_until if config.weather_ledger else read_bronze
+    weather = read_weather(spark, config.bronze_path(config.weather_feed), config.run_date)
     if weather is None:
         logger.info("no weather in bronze for %s", config.run_date)
         clear_owned(spark, config.silver_path(config.weather_table), owned)

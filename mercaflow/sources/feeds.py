@@ -4,6 +4,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
@@ -15,6 +16,9 @@ from mercaflow.sources import borders
 logger = logging.getLogger(__name__)
 PATH_COLUMN = "_source_path"
 MISSING_CONDITIONS = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+# How parquet files begin, and what Spark says of files that don't.
+PARQUET_MAGIC = b"PAR1"
+NOT_PARQUET = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "is not a Parquet file")
 
 
 def add_metadata_columns(
@@ -32,7 +36,7 @@ def add_metadata_columns(
 
 def read_json_source(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     source: str,
     ingestion_date: str,
     schema: T.StructType | str | None = None,
@@ -54,7 +58,7 @@ def read_json_source(
     return add_metadata_columns(raw, source, ingestion_date, F.col(PATH_COLUMN)).drop(PATH_COLUMN)
 
 
-def _read_documents(spark: SparkSession, path: str, schema: T.StructType | str | None) -> DataFrame:
+def _read_documents(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None) -> DataFrame:
     """The records of ``path``, each file by its kind."""
     blocks = borders.scan(spark, path)
     kinds = borders.kinds(blocks) or {borders.ONE: []}
@@ -145,6 +149,76 @@ def read_parquet_source(
     return add_metadata_columns(raw, source, ingestion_date, F.col("_metadata.file_path"))
 
 
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """``file``, ``length`` and ``modified`` of the files of ``path``; none is opened."""
+    listed = spark.read.format("binaryFile").load(path)
+    return listed.select(
+        F.col("_metadata.file_path").alias("file"), "length", F.col("modificationTime").alias("modified")
+    )
+
+
+def read_files(
+    spark: SparkSession,
+    files: Sequence[str],
+    source: str,
+    ingestion_date: str,
+    schema: T.StructType | str | None = None,
+    multiline: bool = True,
+) -> DataFrame:
+    """Parquet and JSON files in one frame with their provenance.
+
+    Files named ``*.parquet`` are read as such, all others as JSON. Where one of
+    the former is none, the first bytes of each tell. Columns that both formats
+    have get a type that holds either's values.
+    """
+
+    def json(names: Sequence[str]) -> DataFrame:
+        return read_json_source(spark, [borders.as_path(f) for f in names], source, ingestion_date, schema, multiline)
+
+    columnar = [f for f in files if f.lower().endswith(".parquet")]
+    frames = []
+    if columnar:
+        def read(names: Sequence[str]) -> DataFrame:
+            reader = spark.read.option("mergeSchema", True)
+            raw = reader.parquet(*[borders.as_path(f) for f in names])
+            return add_metadata_columns(raw, source, ingestion_date, F.col("_metadata.file_path"))
+
+        try:
+            frames.append(read(columnar))
+        except (PySparkException, Py4JJavaError) as error:
+            if not any(reason in str(error) for reason in NOT_PARQUET):
+                raise
+            logger.info("not all files named as parquet are: %s", str(error).splitlines()[0])
+            columnar = [f for f in columnar if _is_parquet(spark, f)]
+            frames += [read(columnar)] if columnar else []
+    if rest := [f for f in files if f not in set(columnar)]:
+        frames.append(json(rest))
+    return reduce(union_of_types, frames)
+
+
+def _is_parquet(spark: SparkSession, file: str) -> bool:
+    """Whether a file begins as parquet files do; four bytes of it are read."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(unquote(file))
+    stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(path)
+    try:
+        return bytes(max(0, stream.read()) for _ in range(len(PARQUET_MAGIC))) == PARQUET_MAGIC
+    finally:
+        stream.close()
+
+
+def union_of_types(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows of both by name; a column of different types gets one for both."""
+    kinds = {f.name: f.dataType for f in merged_schema(a.schema, b.schema).fields}
+
+    def cast(df: DataFrame) -> DataFrame:
+        return df.select(
+            *(F.col(f"`{f.name}`").cast(kinds[f.name]).alias(f.name) if f.dataType != kinds[f.name] else F.col(f"`{f.name}`")
+              for f in df.schema.fields)
+        )
+
+    return cast(a).unionByName(cast(b), allowMissingColumns=True)
+
+
 def is_missing(error: AnalysisException) -> bool:
     return error.getCondition() in MISSING_CONDITIONS
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from mercaflow.operators.transactions import to_gold_names
 from mercaflow.schemas import CORRUPT_COLUMN
 from mercaflow.sources.feeds import try_read
+from mercaflow.sources.ledger import latest_deliveries
 
 
 def read_partition(
@@ -52,6 +53,15 @@ def read_bronze(spark: SparkSession, root: str, run_date: str) -> DataFrame | No
     return None if df is None else df.drop(CORRUPT_COLUMN)
 
 
+def read_bronze_until(spark: SparkSession, root: str, run_date: str) -> DataFrame | None:
+    """Bronze rows of all ingestion dates up to one, each file as it was last."""
+    df = try_read(lambda: spark.read.option("mergeSchema", True).parquet(root))
+    if df is None:
+        return None
+    df = _text_partition(df, "ingestion_date").filter(F.col("ingestion_date") <= run_date)
+    return latest_deliveries(df.drop(CORRUPT_COLUMN))
+
+
 def load_transactions(
     spark: SparkSession, root: str, run_date: str | None = None, history_days: int = 0
 ) -> DataFrame | None:

@@ -389,6 +389,12 @@ def oracle() -> dict[str, str]:
         ),
         "medallion_rerun": f"""
             SELECT '{RUN_DATE}' AS dt, * FROM ({customer_frequency(f"SELECT * FROM ({_STORED_SALES}) WHERE source = 'spanish'")})""",
+        "bronze_mixed_formats": f"""
+            SELECT region, day, COUNT(*) AS readings, TRUE AS one_format
+            FROM ({_READINGS}) GROUP BY region, day""",
+        "medallion_weather_ledger": f"""
+            SELECT region, weather_date, {_ROUNDED_WEATHER}, (SELECT COUNT(*) FROM events) AS readings_taken
+            FROM ({_DAILY_WEATHER})""",
         "bronze_json_multiline": """
             SELECT o_orderkey, o_custkey, o_orderstatus, 'orders' AS source FROM orders""",
     }

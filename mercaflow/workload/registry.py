@@ -19,7 +19,7 @@ from mercaflow.operators.fact import FACT_KEYS, fact_sales_daily
 from mercaflow.operators.quality import quality_report
 from mercaflow.operators.transactions import standardize_transactions, union_feeds
 from mercaflow.operators.weather import attach_weather, prepare_weather_features
-from mercaflow.plans.bronze import ingest, run_bronze
+from mercaflow.plans.bronze import ingest, list_weather, read_weather_files, run_bronze
 from mercaflow.plans.gold import run_gold
 from mercaflow.plans.silver import run_silver
 from mercaflow.session import shared_folder
@@ -355,6 +355,52 @@ def bronze_json_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.filter("_corrupt_record is null").select("o_orderkey", "o_custkey", "o_orderstatus", "source")
 
 
+def _weather_files(spark: SparkSession, sf_dir: str, folder: str, parts: Sequence[str]) -> None:
+    """The readings in files of both formats, dealt by region and day; ``parts``
+    names those to deliver."""
+    readings = views.daily_weather_feed(spark, sf_dir)
+    part = F.pmod(F.xxhash64("region", F.substring("time", 1, 10)), F.lit(4))
+    for number, name in enumerate(("early.parquet", "early.json", "late.parquet", "late.json")):
+        if name in parts:
+            own = readings.filter(part == number).coalesce(2)
+            write = own.write.mode("append")
+            write.parquet(folder) if name.endswith("parquet") else write.json(folder)
+
+
+def bronze_mixed_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather delivered as parquet and as JSON into one folder, as read by the
+    bronze job."""
+    config = JobConfig(shared_folder(spark, "mixed"), RUN_DATE, weather_feed="meteo", register=False)
+    folder = f"{config.input_bucket}/raw/api/{config.weather_feed}"
+    _weather_files(spark, sf_dir, folder, ("early.parquet", "early.json", "late.parquet", "late.json"))
+    files = [row.file for row in list_weather(spark, config)]
+    file_type = F.element_at(F.split("file_name", r"\."), -1)
+    return (
+        read_weather_files(spark, config, files)
+        .groupBy("region", F.substring("time", 1, 10).cast("date").alias("day"))
+        .agg(F.count(F.lit(1)).alias("readings"), (F.count_distinct(file_type) == 1).alias("one_format"))
+    )
+
+
+def medallion_weather_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather that arrives in two deliveries, taken by the runs of two dates: the
+    second reads the new files only, and its weather is that of all files."""
+    base = shared_folder(spark, "deliveries")
+    first, second = (
+        JobConfig(base, day, feeds=(), weather_feed="meteo", weather_ledger=True, register=False)
+        for day in ("2025-10-10", RUN_DATE)
+    )
+    folder = f"{base}/raw/api/{first.weather_feed}"
+    taken = []
+    for config, parts in ((first, ("early.parquet", "early.json")), (second, ("late.parquet", "late.json"))):
+        _weather_files(spark, sf_dir, folder, parts)
+        taken.append(run_bronze(spark, config)[config.weather_feed]["records"])
+        run_silver(spark, config)
+    stored = load_weather(spark, second.silver_path(second.weather_table), RUN_DATE)
+    daily = _rounded(stored.drop("run_date"), ["weather_avg_temp", "weather_precipitation"])
+    return daily.withColumn("readings_taken", F.lit(sum(taken)).cast("long"))
+
+
 _PRODUCT_DAY = ("category", "product_id", "product_name", "txn_date", "revenue", "quantity")
 _CUSTOMER_MONTH = ("customer_id", "region", "txn_date", "txn_id", "revenue", "quantity")
 _REGION_PERIOD = ("region", "txn_date", "txn_id", "revenue", "quantity")
@@ -505,4 +551,6 @@ def queries() -> dict[str, Query]:
         "medallion_fact_sales_daily": _stored_gold("fact_sales_daily", _fact_scalars),
         "medallion_rerun": medallion_rerun,
         "bronze_json_multiline": bronze_json_multiline,
+        "bronze_mixed_formats": bronze_mixed_formats,
+        "medallion_weather_ledger": medallion_weather_ledger,
     }

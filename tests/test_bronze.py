@@ -5,13 +5,17 @@ import random
 
 import pytest
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrameReader, functions as F
+from pyspark.sql import DataFrameReader, functions as F, types as T
 
 from mercaflow.operators.quality import corrupt_records, quality_report, readable_records
 from mercaflow.plans.bronze import ingest
+from mercaflow.sources.ledger import new_files, record_files
 from mercaflow.sources.tables import read_bronze
 from mercaflow.sources.feeds import (
     add_metadata_columns,
+    list_files,
+    merged_schema,
+    read_files,
     read_first_available,
     read_json_source,
     read_parquet_source,
@@ -271,3 +275,41 @@ def test_a_failed_ingestion_leaves_both_tables_as_they_were(spark, tmp_path):
         ingest(broken, bronze, bad, OWNED)
     assert [r.id for r in spark.read.parquet(bronze).collect()] == ["1"]
     assert spark.read.parquet(bad).count() == 1 and os.listdir(bronze) == [f"ingestion_date={DAY}"]
+
+
+def test_a_folder_of_both_formats_yields_both(spark, tmp_path):
+    folder = tmp_path / "w"
+    spark.sql("select 'R1' region, timestamp'2025-10-11 08:00:00' time, 3 avg_temp").write.parquet(str(folder))
+    write(folder, "a.json", '{"region": "R2", "time": "2025-10-11 09:00:00", "avg_temp": 3.5}\n{"region": "R3"}')
+    write(folder, "named.parquet", '{"region": "R4", "extra": "x"}')
+    write(folder, "bad.json", '{"region": ')
+    files = [row.file for row in list_files(spark, f"{folder}/*").collect()]
+    rows = {r.region: r for r in read_files(spark, files, "w", DAY).collect()}
+    assert set(rows) == {"R1", "R2", "R3", "R4", None}
+    assert (rows["R1"].time, rows["R1"].avg_temp) == ("2025-10-11 08:00:00", 3.0)
+    assert (rows["R2"].time, rows["R2"].avg_temp) == ("2025-10-11 09:00:00", 3.5)
+    assert rows["R4"].extra == "x" and rows["R4"].file_name.endswith("named.parquet")
+    assert rows[None]._corrupt_record == '{"region": '
+
+
+def test_a_type_that_holds_both():
+    a, b = (T.StructType.fromDDL(x) for x in ("x int, y array<int>, z struct<p: int>, t timestamp", "x double, y array<string>, z struct<q: int>, t string"))
+    assert merged_schema(a, b) == T.StructType.fromDDL("x double, y array<string>, z struct<p: int, q: int>, t string")
+    assert merged_schema(a, a) == a
+
+
+def test_a_ledger_lists_what_earlier_dates_have_taken(spark, tmp_path):
+    raw, ledger = tmp_path / "raw", str(tmp_path / "ledger")
+
+    def new(day):
+        files = new_files(spark, list_files(spark, f"{raw}/*"), ledger, day).collect()
+        return files, sorted(f.file.rsplit("/", 1)[1] for f in files)
+
+    write(raw, "a.json", "{}")
+    first, names = new("2025-10-10")
+    assert names == ["a.json"]
+    record_files(spark, first, ledger, "2025-10-10")
+    assert new("2025-10-10")[1] == ["a.json"] and new("2025-10-11")[1] == []
+    write(raw, "b.json", "{}")
+    write(raw, "a.json", '{"changed": 1}')
+    assert new("2025-10-11")[1] == ["a.json", "b.json"]

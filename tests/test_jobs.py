@@ -152,3 +152,29 @@ def test_command_line():
     assert config.spark_conf == {"spark.hadoop.fs.s3a.endpoint": "s3.amazonaws.com"}
     assert (config.silver_path(config.weather_table), config.bronze_path("x")) == ("b/s/w", "b/r/x")
     assert len(config.run_date) == 10
+
+
+def test_weather_is_read_once_with_a_ledger(spark, tmp_path):
+    folder = tmp_path / "raw" / "api" / "openmeteo"
+    folder.mkdir(parents=True)
+
+    def deliver(name, *readings):
+        rows = [{"region": r, "time": f"{d} 08:00:00", "temperature_2m_mean": t} for r, d, t in readings]
+        (folder / name).write_text(json.dumps(rows), encoding="utf-8")
+
+    def run(day):
+        config = JobConfig(str(tmp_path), day, register=False, weather_ledger=True)
+        counts = bronze.run_bronze(spark, config).get("openmeteo", {}).get("records")
+        silver.run_silver(spark, config)
+        stored = spark.read.parquet(f"{tmp_path}/silver/weather_daily").filter(F.col("run_date") == day)
+        return counts, {(r.region, str(r.weather_date)): r.weather_avg_temp for r in stored.collect()}
+
+    deliver("a.json", ("R1", DAY1, 1.0), ("R1", DAY1, 3.0))
+    assert run(DAY1) == (2, {("R1", DAY1): 2.0})
+    deliver("b.json", ("R1", DAY1, 5.0), ("R2", DAY2, 7.0))
+    everything = {("R1", DAY1): 3.0, ("R2", DAY2): 7.0}
+    assert run(DAY2) == (2, everything)
+    assert run(DAY2) == (2, everything)  # a repeated date takes its own files again
+    deliver("a.json", ("R1", DAY1, 10.0))
+    assert run("2025-10-12") == (1, {("R1", DAY1): 7.5, ("R2", DAY2): 7.0})
+    assert run("2025-10-13") == (None, {("R1", DAY1): 7.5, ("R2", DAY2): 7.0})
