@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import SparkSession
 
@@ -11,9 +11,9 @@ from mercaflow.session import build_session, size_shuffles
 from mercaflow.sinks.catalog import register_table
 
 
-def register(spark: SparkSession, config: JobConfig, name: str, location: str) -> None:
+def register(spark: SparkSession, config: JobConfig, name: str, location: str, owned: Mapping[str, str]) -> None:
     if config.register:
-        register_table(spark, name, location, config.database)
+        register_table(spark, name, location, config.database, owned)
 
 
 def run_job(

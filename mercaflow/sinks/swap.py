@@ -39,10 +39,14 @@ class _Folders:
     def delete(self, path: str) -> None:
         self._files.delete(self._path(path), True)
 
-    def names(self, path: str) -> list[str]:
+    def names(self, path: str, files: bool = False) -> list[str]:
+        """Folders in ``path``, or with ``files`` whatever readers see there."""
         if not self.exists(path):
             return []
-        return [s.getPath().getName() for s in self._files.listStatus(self._path(path)) if s.isDirectory()]
+        found = [(s.getPath().getName(), s.isDirectory()) for s in self._files.listStatus(self._path(path))]
+        if files:
+            return [name for name, _ in found if not name.startswith(("_", "."))]
+        return [name for name, is_folder in found if is_folder]
 
     def move(self, source: str, target: str) -> None:
         self._files.mkdirs(self._path(target).getParent())
@@ -55,6 +59,12 @@ class _Folders:
                 self.delete(path)
 
 
+def folder_names(spark: SparkSession, table: str, folder: str, files: bool = False) -> list[str]:
+    """What lies in a folder of a table: its folders, or with ``files`` anything
+    that readers see."""
+    return _Folders(spark, table).names(folder, files)
+
+
 def owned_path(path: str, owned: Mapping[str, str]) -> str:
     return "/".join([path, *(f"{column}={value}" for column, value in owned.items())])
 

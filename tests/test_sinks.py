@@ -197,3 +197,32 @@ def test_the_next_write_of_a_date_clears_up_after_a_dead_one(spark, tmp_path):
     os.rename(f"{path}/dt=2025-10-11", f"{path}/{swap.REPLACED}/dt=2025-10-11")
     write_table(spark.range(6), path, DAY)
     assert os.listdir(path) == ["dt=2025-10-11"] and spark.read.parquet(path).count() == 6
+
+
+def test_a_registered_table_follows_what_a_run_has_written(spark, tmp_path):
+    path = str(tmp_path / "t")
+
+    def write_day(day, rows):
+        write_table(rows, path, {"dt": day}, ["region"])
+        assert register_table(spark, "followed", path, "shop3", {"dt": day}) is True
+
+    regions = "case id % 4 when 0 then 'a/b' when 1 then 'it''s' when 2 then null else 'c' end region"
+    try:
+        write_day("2025-10-10", spark.range(8).selectExpr("id", regions))
+        # A folder that no run has written is not taken in with another date's.
+        spark.range(3).selectExpr("id").write.parquet(f"{path}/dt=2025-01-01/region=c")
+        write_day("2025-10-11", spark.range(8).selectExpr("id", "id * 2 as extra", "named_struct('x', id) deep", regions))
+        table = spark.table("shop3.followed")
+        assert table.count() == 16 and table.agg(F.sum("extra"), F.max("deep.x")).first() == (56, 7)
+        assert table.filter("dt = '2025-10-10'").agg(F.count("extra"), F.count("id")).first() == (0, 8)
+        assert {r.region for r in table.select("region").distinct().collect()} == {"a/b", "it's", None, "c"}
+        # What the date has no more goes, without a look at the other dates.
+        write_day("2025-10-11", spark.range(8).selectExpr("id", "id as extra", regions).filter("region = 'c'"))
+        parts = sorted(r[0] for r in spark.sql("show partitions shop3.followed").collect())
+        assert len(parts) == 5 and parts[-1] == "dt=2025-10-11/region=c"
+        assert spark.table("shop3.followed").count() == 10
+        clear_owned(spark, path, {"dt": "2025-10-11"})
+        assert register_table(spark, "followed", path, "shop3", {"dt": "2025-10-11"}) is True
+        assert spark.table("shop3.followed").count() == 8
+    finally:
+        spark.sql("drop database if exists shop3 cascade")
