@@ -87,6 +87,7 @@ class JobConfig:
     history_days: int = 0
     exact_distinct: bool = True
     persist_transactions: bool = False
+    merge_states: bool = False
     register: bool = True
     feeds: tuple[TransactionFeed, ...] = TRANSACTION_FEEDS
     weather_feed: str = WEATHER_FEED
@@ -110,6 +111,9 @@ class JobConfig:
     def silver_path(self, table: str) -> str:
         return f"{self.input_bucket}/{self.silver_prefix}/{table}"
 
+    def state_path(self, name: str) -> str:
+        return f"{self.input_bucket}/gold/states/{name}"
+
     def gold_path(self, table: str) -> str:
         return f"{self.input_bucket}/{GOLD_TABLES[table].path}"
 
@@ -137,6 +141,9 @@ def parse_config(description: str, argv: Sequence[str] | None = None) -> JobConf
         default=None,
         help="count orders and customers with sketches",
     )
+    parser.add_argument(
+        "--merge_states", action="store_true", default=None, help="derive indicators from stored daily aggregates"
+    )
     parser.add_argument("--persist_transactions", action="store_true", default=None)
     parser.add_argument(
         "--weather_ledger", action="store_true", default=None, help="take only weather files that no earlier date took"

@@ -88,7 +88,7 @@ def _store(
             clear_owned(spark, table, owned)
         return {}
     logger.info("bronze %s: %s", feed, metrics)
-    register(spark, config, f"bronze_{feed}", path)
+    register(spark, config, f"bronze_{feed}", path, owned)
     return metrics
 
 

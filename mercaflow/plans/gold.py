@@ -12,6 +12,7 @@ from mercaflow.operators import kpis
 from mercaflow.operators.fact import fact_sales_daily
 from mercaflow.operators.weather import attach_weather
 from mercaflow.plans.common import register, run_job
+from mercaflow.plans.states import merged_frames
 from mercaflow.sinks.swap import recover
 from mercaflow.sinks.tables import clear_owned, fill_partitions, write_table
 from mercaflow.sources.tables import load_transactions, load_weather
@@ -58,6 +59,9 @@ def run_gold(
     The silver table is columnar, so ten pruned scans read less than one
     cached copy of all columns would write; ``persist_transactions`` caches
     it all the same, for a silver table that is small or slow to read.
+    With ``merge_states`` six of the tables are merged from daily aggregates that
+    are stored per run date (``plans.states``): lines of earlier dates are not
+    read again, and those of this date once for each aggregate.
     """
     for table in (config.transactions_table, config.weather_table):
         recover(spark, config.silver_path(table))
@@ -77,11 +81,13 @@ def run_gold(
     results = {}
     try:
         frames = gold_frames(sales, weather, config)
+        if config.merge_states:
+            frames |= merged_frames(spark, config, tables, weather)
         for name in tables:
             results[name] = write_gold(frames[name](), name, config)
             logger.info("gold %s: %s", name, results[name])
             catalog_name = GOLD_TABLES[name].catalog_name or f"gold_kpi_{name}"
-            register(spark, config, catalog_name, config.gold_path(name))
+            register(spark, config, catalog_name, config.gold_path(name), {"dt": config.run_date})
     finally:
         if config.persist_transactions:
             sales.unpersist()

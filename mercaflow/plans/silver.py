@@ -11,6 +11,7 @@ from mercaflow.config import JobConfig, parse_config
 from mercaflow.operators.transactions import to_silver_names, union_feeds
 from mercaflow.operators.weather import prepare_weather_features
 from mercaflow.plans.common import register, run_job
+from mercaflow.plans.states import clear_states
 from mercaflow.sinks.swap import recover
 from mercaflow.sinks.tables import clear_owned, write_table
 from mercaflow.sources.tables import read_bronze, read_bronze_until
@@ -29,6 +30,7 @@ def run_silver(spark: SparkSession, config: JobConfig) -> dict[str, dict[str, in
     for feed in (*(f.name for f in config.feeds), config.weather_feed):
         recover(spark, config.bronze_path(feed))
 
+    clear_states(spark, config)
     transactions = union_feeds(
         read_bronze(spark, config.bronze_path(feed.name), config.run_date) for feed in config.feeds
     )
@@ -52,7 +54,7 @@ def run_silver(spark: SparkSession, config: JobConfig) -> dict[str, dict[str, in
 
     for table, metrics in results.items():
         logger.info("silver %s: %s", table, metrics)
-        register(spark, config, f"silver_{table}", config.silver_path(table))
+        register(spark, config, f"silver_{table}", config.silver_path(table), owned)
     return results
 
 

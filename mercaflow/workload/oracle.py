@@ -389,6 +389,12 @@ def oracle() -> dict[str, str]:
         ),
         "medallion_rerun": f"""
             SELECT '{RUN_DATE}' AS dt, * FROM ({customer_frequency(f"SELECT * FROM ({_STORED_SALES}) WHERE source = 'spanish'")})""",
+        "revenue_by_region_merged": _close(revenue_by_region(SALES), "weekly_orders", "monthly_orders"),
+        "history_top_products_by_category": top_products(SALES),
+        "history_margin_by_product": margin(SALES),
+        "history_anomalies": anomalies(SALES),
+        "history_weather_impact": weather_impact(SALES),
+        "history_new_vs_returning": new_vs_returning(SALES),
         "bronze_mixed_formats": f"""
             SELECT region, day, COUNT(*) AS readings, TRUE AS one_format
             FROM ({_READINGS}) GROUP BY region, day""",

@@ -14,16 +14,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mercaflow.config import JobConfig, TransactionFeed
 from mercaflow.functions.columns import decimal_column
-from mercaflow.operators import kpis
+from mercaflow.operators import kpis, states
 from mercaflow.operators.fact import FACT_KEYS, fact_sales_daily
 from mercaflow.operators.quality import quality_report
-from mercaflow.operators.transactions import standardize_transactions, union_feeds
+from mercaflow.operators.transactions import standardize_transactions, to_silver_names, union_feeds
 from mercaflow.operators.weather import attach_weather, prepare_weather_features
 from mercaflow.plans.bronze import ingest, list_weather, read_weather_files, run_bronze
 from mercaflow.plans.gold import run_gold
 from mercaflow.plans.silver import run_silver
+from mercaflow.plans.states import merged_frames
 from mercaflow.session import shared_folder
-from mercaflow.sinks.tables import fill_partitions, with_dt
+from mercaflow.sinks.tables import fill_partitions, with_dt, write_table
 from mercaflow.sources.feeds import read_json_source, read_parquet_source
 from mercaflow.sources.tables import load_transactions, load_weather
 from mercaflow.workload import views
@@ -401,6 +402,54 @@ def medallion_weather_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.withColumn("readings_taken", F.lit(sum(taken)).cast("long"))
 
 
+HISTORY = ("2025-10-09", "2025-10-10", RUN_DATE)
+
+
+def _deliveries(spark: SparkSession, sf_dir: str) -> JobConfig:
+    """All lines as the silver rows of three run dates, dealt by order line, and
+    the weather of the last."""
+    config = JobConfig(
+        shared_folder(spark, "history"), RUN_DATE, history_days=2, merge_states=True, exact_distinct=False, register=False
+    )
+    lines = views.sales(spark, sf_dir, (*views.SALES_COLUMNS, "l_linenumber")).withColumn("txn_ts", F.col("txn_date").cast("timestamp"))
+    for number, day in enumerate(HISTORY):
+        own = lines.filter(F.col("l_linenumber") % len(HISTORY) == number).drop("txn_date", "l_linenumber")
+        write_table(to_silver_names(own), config.silver_path(config.transactions_table), {"run_date": day}, rebalance=False)
+    weather = prepare_weather_features(views.daily_weather_feed(spark, sf_dir))
+    write_table(weather, config.silver_path(config.weather_table), {"run_date": RUN_DATE})
+    return config
+
+
+_DELIVERIES: dict[tuple[str, str], JobConfig] = {}
+
+
+def _of_history(name: str, adapt: Callable[[DataFrame], DataFrame] = lambda df: df) -> Query:
+    """A gold table over three run dates, merged from their daily aggregates."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _DELIVERIES:
+            _DELIVERIES[key] = _deliveries(spark, sf_dir)
+        config = _DELIVERIES[key]
+        weather = load_weather(spark, config.silver_path(config.weather_table), RUN_DATE)
+        return adapt(merged_frames(spark, config, [name], weather)[name]())
+
+    return query
+
+
+def revenue_by_region_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weeks and months of sketches that are stored by day, against exact ones."""
+    path = shared_folder(spark, "sketches")
+    states.region_day_sketches(views.sales(spark, sf_dir, (*_REGION_PERIOD, "customer_id"))).write.parquet(path)
+    merged = _sketched(
+        _over_sales(kpis.revenue_by_region, *_REGION_PERIOD),
+        lambda spark, sf_dir: states.revenue_by_region(spark.read.parquet(path)),
+        ["period_type", "period_start", "region"],
+        ["weekly_orders", "monthly_orders"],
+    )
+    return merged(spark, sf_dir)
+
+
 _PRODUCT_DAY = ("category", "product_id", "product_name", "txn_date", "revenue", "quantity")
 _CUSTOMER_MONTH = ("customer_id", "region", "txn_date", "txn_id", "revenue", "quantity")
 _REGION_PERIOD = ("region", "txn_date", "txn_id", "revenue", "quantity")
@@ -552,5 +601,13 @@ def queries() -> dict[str, Query]:
         "medallion_rerun": medallion_rerun,
         "bronze_json_multiline": bronze_json_multiline,
         "bronze_mixed_formats": bronze_mixed_formats,
+        "revenue_by_region_merged": revenue_by_region_merged,
+        "history_top_products_by_category": _of_history("top_products_by_category"),
+        "history_margin_by_product": _of_history("margin_by_product"),
+        "history_anomalies": _of_history(
+            "anomalies", lambda df: _rounded(_rounded(df, ["std_revenue"], 4), ["z_score"])
+        ),
+        "history_weather_impact": _of_history("weather_impact", lambda df: _rounded(df, WEATHER_IMPACT_DOUBLES)),
+        "history_new_vs_returning": _of_history("new_vs_returning"),
         "medallion_weather_ledger": medallion_weather_ledger,
     }
