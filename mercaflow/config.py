@@ -7,6 +7,7 @@ from dataclasses import dataclass, field, fields
 from datetime import datetime, timezone
 
 from mercaflow.operators.kpis import DEFAULT_COST_FACTOR
+from mercaflow.operators.weather import BROADCAST_BYTES
 
 
 @dataclass(frozen=True)
@@ -94,6 +95,7 @@ class JobConfig:
     weather_multiline: bool = True
     weather_schema: str | None = None
     weather_ledger: bool = False
+    weather_broadcast_bytes: int = BROADCAST_BYTES
     spark_conf: dict[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -148,6 +150,9 @@ def parse_config(description: str, argv: Sequence[str] | None = None) -> JobConf
     parser.add_argument(
         "--weather_ledger", action="store_true", default=None, help="take only weather files that no earlier date took"
     )
+    parser.add_argument(
+        "--weather_broadcast_bytes", type=int, help="weather beyond this size is attached by a shuffle join"
+    )
     parser.add_argument("--no_register", dest="register", action="store_false", default=None)
     parser.add_argument("--json_lines", action="store_true", help="feeds hold one document per line")
     parser.add_argument(

@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from mercaflow.functions.columns import ensure_columns
 from mercaflow.functions.stats import exact_total
-from mercaflow.operators.weather import METRIC_NAMES, attach_weather
+from mercaflow.operators.weather import METRIC_NAMES, WeatherKeys, attach_weather
 from mercaflow.schemas import WEATHER_METRICS
 
 FACT_KEYS = ["txn_date", "region", "store_id", "category"]
@@ -14,17 +14,25 @@ CODE = "weather_code"
 
 
 def fact_sales_daily(
-    df: DataFrame, weather: DataFrame | None = None, exact: bool = True
+    df: DataFrame,
+    weather: DataFrame | None = None,
+    exact: bool = True,
+    look: WeatherKeys | None = None,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Daily sales per region, store and category.
 
     Weather is the same for every line of a fact row, so a weather table given
     here is attached after the aggregation, to the far smaller fact. Without
-    one, weather columns already on the lines are averaged.
+    one, weather columns already on the lines are averaged. ``look`` and
+    ``broadcast_bytes`` are those of ``attach_weather``.
     """
     on_lines = [m for m in METRIC_NAMES if m in df.columns] if weather is None else []
     fact = _with_mixes(_fact_details(df, on_lines, exact), on_lines)
-    fact = ensure_columns(fact, WEATHER_METRICS) if weather is None else attach_weather(fact, weather)
+    if weather is None:
+        fact = ensure_columns(fact, WEATHER_METRICS)
+    else:
+        fact = attach_weather(fact, weather, look=look, broadcast_bytes=broadcast_bytes)
     return fact.select(
         *FACT_KEYS,
         "orders",
@@ -40,7 +48,7 @@ def fact_sales_daily(
 
 def _ticket() -> Column:
     """Revenue per order; 0 where there is no order, NULL without revenue."""
-    return F.nvl2(F.nullif("orders", F.lit(0)), F.try_divide("revenue", "orders"), F.lit(0.0))
+    return F.when(F.col("orders") > 0, F.col("revenue") / F.col("orders")).otherwise(0.0)
 
 
 def _fact_details(df: DataFrame, on_lines: list[str], exact: bool) -> DataFrame:
@@ -135,17 +143,29 @@ def _with_mixes(details: DataFrame, on_lines: list[str]) -> DataFrame:
 def _mix_map(dimension: str) -> Column:
     """Map from each value of ``dimension`` to its revenue, keys in order.
 
-    NULL revenue is skipped like in ``sum``; a value with nothing else is NULL.
+    One pass over the sorted entries sums up those of a value. NULL revenue is
+    skipped like in ``sum``; a value with nothing else is NULL.
     """
-    values = F.array_sort(F.array_distinct(F.transform("mix", lambda e: e[dimension])))
-
-    def revenue(value: Column) -> Column:
-        amounts = F.filter("mix", lambda e: e[dimension] == value)
-        summed = F.aggregate(
-            amounts,
-            F.lit(None).cast("decimal(28,4)"),
-            lambda total, e: F.coalesce((total + e["revenue"]).cast("decimal(28,4)"), total, e["revenue"]),
-        )
-        return summed.cast("double")
-
-    return F.map_from_arrays(values, F.transform(values, revenue))
+    money = "decimal(28,4)"
+    entries = F.array_sort(
+        F.transform("mix", lambda e: F.struct(e[dimension].alias("value"), e["revenue"].cast(money).alias("revenue")))
+    )
+    total = f"struct<value:string,revenue:{money}>"
+    nothing = F.struct(F.array().cast(f"array<{total}>").alias("done"), F.lit(None).cast(total).alias("last"))
+
+    def add(seen: Column, entry: Column) -> Column:
+        last = seen["last"]
+        same = F.coalesce(last["value"] == entry["value"], F.lit(False))
+        done = F.when(same | last.isNull(), seen["done"]).otherwise(F.array_append(seen["done"], last))
+        summed = F.coalesce((last["revenue"] + entry["revenue"]).cast(money), last["revenue"], entry["revenue"])
+        revenue = F.when(same, summed).otherwise(entry["revenue"])
+        now = F.struct(entry["value"].alias("value"), revenue.alias("revenue"))
+        return F.struct(done.alias("done"), now.alias("last"))
+
+    def all_of(seen: Column) -> Column:
+        return F.when(seen["last"].isNull(), seen["done"]).otherwise(F.array_append(seen["done"], seen["last"]))
+
+    totals = F.aggregate(entries, nothing, add, all_of)
+    return F.map_from_entries(
+        F.transform(totals, lambda t: F.struct(t["value"].alias("key"), t["revenue"].cast("double").alias("value")))
+    )

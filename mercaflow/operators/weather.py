@@ -1,6 +1,8 @@
 """Weather: daily rollup per region, and its attachment to other frames."""
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from mercaflow.functions.columns import ensure_columns, first_existing_column, named
@@ -16,9 +18,10 @@ METRIC_NAMES = WEATHER_METRICS.fieldNames()
 DAY_KEYS = ["region", "weather_date"]
 CODE = "weather_code"
 
-# Region-days, or days, up to which the attachment is broadcast: about 100
-# bytes each, so under 50 MB per executor.
-BROADCAST_ROWS = 500_000
+# Bytes of weather up to which the attachment is broadcast, and what a row takes
+# beside its texts: five fields of eight bytes each, and the hashed row's overhead.
+BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 96
 
 
 def prepare_weather_features(df: DataFrame) -> DataFrame:
@@ -115,33 +118,62 @@ def _rollup(readings: DataFrame) -> DataFrame:
     return by_code.groupBy(*DAY_KEYS).agg(earliest.alias(CODE), *averages)
 
 
+@dataclass(frozen=True)
+class WeatherKeys:
+    """What one look at a weather table tells: whether a row names a region, and
+    the bytes that the rows to attach take, by region and day and by day."""
+
+    named: bool
+    region_day_bytes: int
+    day_bytes: int
+
+
+def look_at(weather: DataFrame) -> WeatherKeys:
+    """The look, one action; a run takes it once and passes it on."""
+    weather = _complete(weather)
+    longest = F.max(F.coalesce(F.octet_length(F.col(CODE).cast("string")), F.lit(0))).alias("code")
+    rows = weather.groupBy(*DAY_KEYS).agg(longest)
+    region = F.coalesce(F.octet_length("region"), F.lit(0))
+    named, region_days, days, code = rows.agg(
+        F.count("region"),
+        F.coalesce(F.sum(ROW_BYTES + region + F.col("code")), F.lit(0)),
+        F.count_distinct("weather_date"),
+        F.coalesce(F.max("code"), F.lit(0)),
+    ).first()
+    return WeatherKeys(named > 0, region_days, days * (ROW_BYTES + code))
+
+
+def _complete(weather: DataFrame) -> DataFrame:
+    return ensure_columns(weather, [T.StructField("region", T.StringType()), *WEATHER_METRICS])
+
+
 def attach_weather(
-    df: DataFrame, weather: DataFrame | None, by_region: bool | None = None
+    df: DataFrame,
+    weather: DataFrame | None,
+    by_region: bool | None = None,
+    look: WeatherKeys | None = None,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Add the weather of each row's region and ``txn_date``.
 
     With no weather at all the five columns are typed NULLs. ``by_region=None``
-    looks whether any weather row names a region and falls back to the date
-    alone. The same look counts the keys to attach, and only a count up to
-    ``BROADCAST_ROWS`` is broadcast. Beyond that the join shuffles, where
-    adaptive execution splits a region-day that holds too many rows.
+    takes the region into account if any weather row names one, else the date
+    alone. What is attached is broadcast if it takes ``broadcast_bytes`` (by
+    default ``BROADCAST_BYTES``) at most; beyond that the join shuffles, where
+    adaptive execution splits a region-day that holds too many rows. A ``look``
+    taken before saves the action that finds both out.
     """
     if weather is None:
         return ensure_columns(df, WEATHER_METRICS)
 
-    weather = ensure_columns(weather, [T.StructField("region", T.StringType()), *WEATHER_METRICS])
-    with_region, region_days, dates = (
-        weather.select(*DAY_KEYS)
-        .distinct()
-        .agg(F.count("region"), F.count(F.lit(1)), F.count_distinct("weather_date"))
-        .first()
-    )
-    if by_region is None:
-        by_region = with_region > 0
+    look = look_at(weather) if look is None else look
+    weather = _complete(weather)
+    by_region = look.named if by_region is None else by_region
     keys = {"region": "region", "txn_date": "weather_date"} if by_region else {"txn_date": "weather_date"}
 
     daily = _one_row_per_key(weather, list(keys.values()))
-    if (region_days if by_region else dates) <= BROADCAST_ROWS:
+    most = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
+    if (look.region_day_bytes if by_region else look.day_bytes) <= most:
         daily = F.broadcast(daily)
     left, right = df.drop(*METRIC_NAMES).alias("t"), daily.alias("w")
     condition = [F.col(f"t.{k}") == F.col(f"w.{w}") for k, w in keys.items()]

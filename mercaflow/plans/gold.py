@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from mercaflow.config import GOLD_TABLES, JobConfig, parse_config
 from mercaflow.operators import kpis
 from mercaflow.operators.fact import fact_sales_daily
-from mercaflow.operators.weather import attach_weather
+from mercaflow.operators.weather import WeatherKeys, attach_weather, look_at
 from mercaflow.plans.common import register, run_job
 from mercaflow.plans.states import merged_frames
 from mercaflow.sinks.swap import recover
@@ -18,17 +18,20 @@ from mercaflow.sinks.tables import clear_owned, fill_partitions, write_table
 from mercaflow.sources.tables import load_transactions, load_weather
 
 logger = logging.getLogger(__name__)
+# The gold tables that weather is attached to.
+WITH_WEATHER = {"weather_impact", "fact_sales_daily"}
 
 
 def gold_frames(
-    sales: DataFrame, weather: DataFrame | None, config: JobConfig
+    sales: DataFrame, weather: DataFrame | None, config: JobConfig, look: WeatherKeys | None = None
 ) -> dict[str, Callable[[], DataFrame]]:
-    """Each gold table's frame, built when called.
+    """Each gold table's frame, built when called; ``look`` is the run's one look
+    at the weather.
 
     Weather reaches only the two tables that use it, so the other eight scan
     nothing but their own columns of the silver table.
     """
-    exact = config.exact_distinct
+    exact, limit = config.exact_distinct, config.weather_broadcast_bytes
     return {
         "top_products_by_category": lambda: kpis.top_products_by_category(sales),
         "customer_frequency_ticket": lambda: kpis.customer_frequency_ticket(sales, exact),
@@ -38,8 +41,10 @@ def gold_frames(
         "margin_by_product": lambda: kpis.margin_by_product(sales, config.default_cost_factor),
         "channel_payment_perf": lambda: kpis.channel_payment_perf(sales, exact),
         "anomalies": lambda: kpis.anomalies(sales),
-        "weather_impact": lambda: kpis.weather_impact_of_days(attach_weather(kpis.region_days(sales), weather)),
-        "fact_sales_daily": lambda: fact_sales_daily(sales, weather, exact),
+        "weather_impact": lambda: kpis.weather_impact_of_days(
+            attach_weather(kpis.region_days(sales), weather, look=look, broadcast_bytes=limit)
+        ),
+        "fact_sales_daily": lambda: fact_sales_daily(sales, weather, exact, look, limit),
     }
 
 
@@ -76,13 +81,14 @@ def run_gold(
     weather = load_weather(
         spark, config.silver_path(config.weather_table), config.run_date, config.history_days
     )
+    look = look_at(weather) if weather is not None and WITH_WEATHER & set(tables) else None
     if config.persist_transactions:
         sales.persist()
     results = {}
     try:
-        frames = gold_frames(sales, weather, config)
+        frames = gold_frames(sales, weather, config, look)
         if config.merge_states:
-            frames |= merged_frames(spark, config, tables, weather)
+            frames |= merged_frames(spark, config, tables, weather, look)
         for name in tables:
             results[name] = write_gold(frames[name](), name, config)
             logger.info("gold %s: %s", name, results[name])

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mercaflow.config import JobConfig
 from mercaflow.operators import kpis, states
-from mercaflow.operators.weather import attach_weather
+from mercaflow.operators.weather import WeatherKeys, attach_weather
 from mercaflow.sinks.swap import folder_names, owned_path, recover
 from mercaflow.sinks.tables import clear_owned, write_table
 from mercaflow.sources.tables import load_transactions
@@ -40,7 +40,11 @@ NEEDS = {
 
 
 def merged_frames(
-    spark: SparkSession, config: JobConfig, tables: Iterable[str], weather: DataFrame | None
+    spark: SparkSession,
+    config: JobConfig,
+    tables: Iterable[str],
+    weather: DataFrame | None,
+    look: WeatherKeys | None = None,
 ) -> dict[str, Callable[[], DataFrame]]:
     """Frames of those ``tables`` that merge stored aggregates, once these are up
     to date. Exact distinct counts don't merge: regions then count their lines."""
@@ -51,7 +55,9 @@ def merged_frames(
         "margin_by_product": lambda: states.margin(of["product_days"]),
         "anomalies": lambda: states.anomalies(of["product_days"]),
         "weather_impact": lambda: kpis.weather_impact_of_days(
-            attach_weather(states.region_days(of["product_days"]), weather)
+            attach_weather(
+                states.region_days(of["product_days"]), weather, look=look, broadcast_bytes=config.weather_broadcast_bytes
+            )
         ),
         "new_vs_returning": lambda: states.new_vs_returning(of["customer_months"]),
         "revenue_by_region": lambda: states.revenue_by_region(of["region_day_sketches"]),

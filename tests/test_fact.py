@@ -94,3 +94,20 @@ def test_lines_of_one_mix_with_different_codes_are_summed(spark):
     lines = sales(spark, [line(), line(txn_id="T2")]).withColumn("weather_code", F.col("txn_id"))
     row = fact_sales_daily(lines).first()
     assert (row.channel_mix, row.weather_code, row.orders) == ({"online": 200.0}, "T1", 2)
+
+
+def test_a_mix_of_very_many_values(spark):
+    """Two thousand channels of one fact row, a payment method each for most."""
+    rows = [
+        line(txn_id=f"T{i}", channel=f"c{i % 2000}", payment_method=f"p{i % 1999}", revenue=None if i % 7 == 0 else i / 4)
+        for i in range(6000)
+    ]
+    df = fact_sales_daily(sales(spark, rows))
+    fact, keys = df.first(), df.select(F.map_keys("channel_mix"), F.map_keys("payment_mix")).first()
+    assert all(list(k) == sorted(k) for k in keys)
+    for mix, values in ((fact.channel_mix, 2000), (fact.payment_mix, 1999)):
+        prefix, expected = next(iter(mix))[0], {}
+        for i in range(6000):
+            key = f"{prefix}{i % values}"
+            expected[key] = expected.get(key) if i % 7 == 0 else (expected.get(key) or 0.0) + i / 4
+        assert mix == expected

@@ -116,7 +116,7 @@ def test_attach_nothing_and_replace_stale_columns(spark):
 def test_a_weather_table_past_the_limit_is_not_broadcast(spark, monkeypatch):
     weather = spark.createDataFrame([("R1", OCT10, 1.0, 2.0, "c"), ("R1", OCT11, 3.0, 4.0, "d")], WEATHER)
     small = W.attach_weather(sales(spark), weather)
-    monkeypatch.setattr(W, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(W, "BROADCAST_BYTES", 1)
     large = W.attach_weather(sales(spark), weather)
     assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
@@ -149,3 +149,28 @@ def test_impact_by_days_equals_that_of_lines(spark):
     for region, row in by_lines.items():
         for name in ("corr_temp_revenue", "corr_precip_revenue", "avg_temp", "avg_precip"):
             assert by_days[region][name] == (None if row[name] is None else pytest.approx(row[name], rel=1e-6))
+
+
+def test_one_look_serves_all_attachments(spark):
+    weather = spark.createDataFrame([("R1", OCT10, 1.0, 2.0, "code"), ("R1", OCT10, 3.0, 2.0, None), ("Región", OCT11, 3.0, 4.0, "d")], WEATHER)
+    look = W.look_at(weather)
+    assert look == W.WeatherKeys(True, 2 * W.ROW_BYTES + 2 + 4 + 7 + 1, 2 * (W.ROW_BYTES + 4))
+    assert W.look_at(weather.filter("false")) == W.WeatherKeys(False, 0, 0)
+    context = spark.sparkContext
+    context.setJobGroup("attachments", "")
+    try:
+        broadcast = W.attach_weather(sales(spark), weather, look=look)
+        shuffled = W.attach_weather(sales(spark), weather, look=look, broadcast_bytes=look.region_day_bytes - 1)
+        assert list(context.statusTracker().getJobIdsForGroup("attachments")) == []
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    plans = [df._jdf.queryExecution().analyzed().toString() for df in (broadcast, shuffled)]
+    assert ["ResolvedHint" in plan for plan in plans] == [True, False]
+    assert sorted(map(str, broadcast.collect())) == sorted(map(str, shuffled.collect()))
+
+
+def test_long_codes_count_in_the_size(spark):
+    rows = [(f"R{i}", OCT10, 1.0, 2.0, "x" * 10_000) for i in range(20)]
+    weather = spark.createDataFrame(rows, WEATHER)
+    attached = W.attach_weather(sales(spark), weather, broadcast_bytes=100_000)
+    assert "ResolvedHint" not in attached._jdf.queryExecution().analyzed().toString()
