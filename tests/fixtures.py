@@ -6,15 +6,22 @@ SALES_SCHEMA = (
     "product_id string, product_name string, category string, channel string, quantity int, "
     "unit_price double, revenue double, payment_method string, unit_cost double"
 )
-OCT10, OCT11, SEP10 = date(2025, 10, 10), date(2025, 10, 11), date(2025, 9, 10)
+EARLY, DAY, NEXT = date(2024, 1, 22), date(2024, 3, 14), date(2024, 3, 15)
 
 SALES = [
-    ("T1", OCT10, "R1", "S1", "C1", "SKU1", "Prod 1", "CatA", "online", 1, 100.0, 100.0, "card", 75.0),
-    ("T2", SEP10, "R1", "S1", "C1", "SKU1", "Prod 1", "CatA", "online", 2, 100.0, 200.0, "card", None),
-    ("T3", OCT10, "R1", "S1", "C2", "SKU2", "Prod 2", "CatA", "tienda", 1, 50.0, 50.0, "efectivo", 32.0),
-    ("T4", OCT10, "R2", "S9", "C3", "SKU9", "Prod 9", "CatB", "online", 5, 20.0, 100.0, "card", 12.0),
-    ("T5", OCT11, "R1", "S1", "C1", "SKU1", "Prod 1", "CatA", "online", 3, 100.0, 300.0, "card", 70.0),
+    ("K1", DAY, "North", "S4", "C7", "P31", "Kettle", "Kitchen", "web", 2, 30.0, 60.0, "card", 18.0),
+    ("K6", DAY, "North", "S4", "C8", "P44", "Pan", "Kitchen", "shop", 1, 45.0, 45.0, "cash", None),
+    ("K2", EARLY, "North", "S4", "C7", "P31", "Kettle", "Kitchen", "shop", 4, 28.0, 112.0, "cash", 17.0),
+    ("K3", DAY, "South", "S5", "C9", "P52", "Lamp", "Living", "web", 3, 25.0, 75.0, "card", 10.0),
+    ("K4", NEXT, "North", "S4", "C8", "P31", "Kettle", "Kitchen", "shop", 6, 30.0, 180.0, "cash", None),
+    ("K5", NEXT, "North", "S6", "C9", "P44", "Pan", "Kitchen", "web", 2, 45.0, 90.0, "card", 20.0),
+    ("K5", NEXT, "North", "S6", "C9", "P31", "Kettle", "Kitchen", "web", 1, 30.0, 30.0, "card", 16.0),
 ]
+LINE = {
+    "txn_id": "L1", "txn_date": DAY, "region": "R1", "store_id": "S1", "customer_id": "C1", "product_id": "P1",
+    "product_name": "Thing", "category": "Sort", "channel": "online", "quantity": 1, "unit_price": 100.0,
+    "revenue": 100.0, "payment_method": "card", "unit_cost": 75.0,
+}
 
 
 def sales(spark, rows=None):
@@ -23,10 +30,7 @@ def sales(spark, rows=None):
 
 def line(**values):
     """One sales line with defaults for what a test does not care about."""
-    base = dict(zip(["txn_id", "txn_date", "region", "store_id", "customer_id", "product_id",
-                     "product_name", "category", "channel", "quantity", "unit_price", "revenue",
-                     "payment_method", "unit_cost"], SALES[0]))
-    return tuple({**base, **values}.values())
+    return tuple({**LINE, **values}.values())
 
 
 def days(count, start=date(2025, 1, 1)):

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from mercaflow.operators.fact import fact_sales_daily
 from mercaflow.operators.weather import attach_weather
-from tests.fixtures import OCT10, line, sales
+from tests.fixtures import DAY, line, sales
 
 WEATHER = "region string, weather_date date, weather_avg_temp double, weather_precipitation double, weather_code string"
 
@@ -11,12 +11,12 @@ WEATHER = "region string, weather_date date, weather_avg_temp double, weather_pr
 @pytest.mark.parametrize("exact", [True, False])
 def test_fact_row_and_mixes(spark, exact):
     fact = fact_sales_daily(sales(spark), exact=exact)
-    row = fact.filter((F.col("txn_date") == OCT10) & (F.col("region") == "R1")).first()
-    assert (row.orders, row.items_sold, row.revenue, row.unique_customers, row.avg_ticket) == (2, 2, 150.0, 2, 75.0)
-    assert row.channel_mix == {"online": 100.0, "tienda": 50.0}
-    assert row.payment_mix == {"card": 100.0, "efectivo": 50.0}
+    row = fact.filter((F.col("txn_date") == DAY) & (F.col("region") == "North")).first()
+    assert (row.orders, row.items_sold, row.revenue, row.unique_customers, row.avg_ticket) == (2, 3, 105.0, 2, 52.5)
+    assert row.channel_mix == {"web": 60.0, "shop": 45.0}
+    assert row.payment_mix == {"card": 60.0, "cash": 45.0}
     assert row.weather_avg_temp is None and row.weather_code is None
-    assert fact.count() == 4
+    assert fact.count() == 5
 
 
 @pytest.mark.parametrize("exact", [True, False])
@@ -54,7 +54,7 @@ def test_distinct_orders_within_a_channel_and_across_channels(spark, exact):
 
 @pytest.mark.parametrize("exact", [True, False])
 def test_weather_table_and_weather_on_lines_agree(spark, exact):
-    weather = spark.createDataFrame([("R1", OCT10, 4.5, 0.25, "45")], WEATHER)
+    weather = spark.createDataFrame([("North", DAY, 4.5, 0.25, "45")], WEATHER)
     attached = fact_sales_daily(sales(spark), weather, exact)
     lines = attach_weather(sales(spark), weather)
     on_lines = fact_sales_daily(lines, exact=exact)
@@ -83,7 +83,7 @@ def test_fact_column_order(spark):
 
 @pytest.mark.parametrize("exact", [True, False])
 def test_weather_on_lines_does_not_sort_the_lines(spark, exact):
-    weather = spark.createDataFrame([("R1", OCT10, 4.5, 0.25, "45")], WEATHER)
+    weather = spark.createDataFrame([("North", DAY, 4.5, 0.25, "45")], WEATHER)
     lines = attach_weather(sales(spark), weather, by_region=True).drop("weather_humidity")
     plan = fact_sales_daily(lines, exact=exact)._jdf.queryExecution().executedPlan().toString()
     above_the_join = plan[: plan.index("Join")]
@@ -93,7 +93,7 @@ def test_weather_on_lines_does_not_sort_the_lines(spark, exact):
 def test_lines_of_one_mix_with_different_codes_are_summed(spark):
     lines = sales(spark, [line(), line(txn_id="T2")]).withColumn("weather_code", F.col("txn_id"))
     row = fact_sales_daily(lines).first()
-    assert (row.channel_mix, row.weather_code, row.orders) == ({"online": 200.0}, "T1", 2)
+    assert (row.channel_mix, row.weather_code, row.orders) == ({"online": 200.0}, "L1", 2)
 
 
 def test_a_mix_of_very_many_values(spark):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from mercaflow.operators import weather as W
 from mercaflow.operators.kpis import region_days, weather_impact, weather_impact_of_days
-from tests.fixtures import OCT10, OCT11, line, sales
+from tests.fixtures import DAY, NEXT, line, sales
 
 COLUMNS = [
     "region", "weather_date", "weather_avg_temp", "weather_precipitation", "weather_code",
@@ -79,26 +79,26 @@ def test_without_region_column(spark):
 
 
 def test_attach_by_region(spark):
-    weather = spark.createDataFrame([("R1", OCT10, 1.0, 2.0, "c"), ("R2", OCT11, 9.0, 9.0, "d")], WEATHER)
+    weather = spark.createDataFrame([("North", DAY, 1.0, 2.0, "c"), ("South", NEXT, 9.0, 9.0, "d")], WEATHER)
     out = W.attach_weather(sales(spark), weather)
-    assert out.count() == 5
+    assert out.count() == 7
     temps = {r.txn_id: r.weather_avg_temp for r in out.collect()}
-    assert temps == {"T1": 1.0, "T2": None, "T3": 1.0, "T4": None, "T5": None}
+    assert temps == {"K1": 1.0, "K2": None, "K3": None, "K4": None, "K5": None, "K6": 1.0}
     assert out.columns[-5:] == W.METRIC_NAMES
 
 
 def test_attach_by_date_when_no_region_is_known(spark):
-    weather = spark.createDataFrame([(None, OCT10, 1.0, 2.0, "c"), (None, OCT10, 3.0, None, "b")], WEATHER)
+    weather = spark.createDataFrame([(None, DAY, 1.0, 2.0, "c"), (None, DAY, 3.0, None, "b")], WEATHER)
     rows = {r.txn_id: r for r in W.attach_weather(sales(spark), weather).collect()}
-    assert len(rows) == 5
-    assert (rows["T4"].weather_avg_temp, rows["T4"].weather_precipitation, rows["T4"].weather_code) == (2.0, 2.0, "b")
-    assert rows["T5"].weather_avg_temp is None
+    assert len(rows) == 6
+    assert (rows["K3"].weather_avg_temp, rows["K3"].weather_precipitation, rows["K3"].weather_code) == (2.0, 2.0, "b")
+    assert rows["K4"].weather_avg_temp is None
 
 
 def test_attach_without_region_column(spark):
-    weather = spark.createDataFrame([(OCT11, 7.0)], "weather_date date, weather_avg_temp double")
+    weather = spark.createDataFrame([(NEXT, 7.0)], "weather_date date, weather_avg_temp double")
     rows = {r.txn_id: r.weather_avg_temp for r in W.attach_weather(sales(spark), weather).collect()}
-    assert rows["T5"] == 7.0 and rows["T1"] is None
+    assert rows["K4"] == 7.0 and rows["K1"] is None
 
 
 def test_attach_nothing_and_replace_stale_columns(spark):
@@ -107,14 +107,14 @@ def test_attach_nothing_and_replace_stale_columns(spark):
         ("weather_avg_temp", "double"), ("weather_precipitation", "double"), ("weather_code", "string"),
         ("weather_wind_speed", "double"), ("weather_humidity", "double"),
     ]
-    weather = spark.createDataFrame([("R1", OCT10, 1.0, 2.0, "c")], WEATHER)
+    weather = spark.createDataFrame([("North", DAY, 1.0, 2.0, "c")], WEATHER)
     again = W.attach_weather(bare.withColumn("weather_avg_temp", F.lit(99.0)), weather)
     assert again.columns == bare.columns
-    assert {r.txn_id: r.weather_avg_temp for r in again.collect()}["T1"] == 1.0
+    assert {r.txn_id: r.weather_avg_temp for r in again.collect()}["K1"] == 1.0
 
 
 def test_a_weather_table_past_the_limit_is_not_broadcast(spark, monkeypatch):
-    weather = spark.createDataFrame([("R1", OCT10, 1.0, 2.0, "c"), ("R1", OCT11, 3.0, 4.0, "d")], WEATHER)
+    weather = spark.createDataFrame([("North", DAY, 1.0, 2.0, "c"), ("North", NEXT, 3.0, 4.0, "d")], WEATHER)
     small = W.attach_weather(sales(spark), weather)
     monkeypatch.setattr(W, "BROADCAST_BYTES", 1)
     large = W.attach_weather(sales(spark), weather)
@@ -124,8 +124,8 @@ def test_a_weather_table_past_the_limit_is_not_broadcast(spark, monkeypatch):
 
 
 def test_weather_impact(spark):
-    weather = spark.createDataFrame([("R1", OCT10, 1.0, 5.0, "c"), ("R1", OCT11, 3.0, 5.0, "d")], WEATHER)
-    lines = [line(txn_date=OCT10, revenue=10.0), line(txn_date=OCT11, revenue=30.0), line(txn_date=OCT11, revenue=None)]
+    weather = spark.createDataFrame([("R1", DAY, 1.0, 5.0, "c"), ("R1", NEXT, 3.0, 5.0, "d")], WEATHER)
+    lines = [line(txn_date=DAY, revenue=10.0), line(txn_date=NEXT, revenue=30.0), line(txn_date=NEXT, revenue=None)]
     row = weather_impact(W.attach_weather(sales(spark, lines), weather)).first()
     assert round(row.corr_temp_revenue, 9) == 1.0
     assert row.corr_precip_revenue is None
@@ -152,7 +152,7 @@ def test_impact_by_days_equals_that_of_lines(spark):
 
 
 def test_one_look_serves_all_attachments(spark):
-    weather = spark.createDataFrame([("R1", OCT10, 1.0, 2.0, "code"), ("R1", OCT10, 3.0, 2.0, None), ("Región", OCT11, 3.0, 4.0, "d")], WEATHER)
+    weather = spark.createDataFrame([("R1", DAY, 1.0, 2.0, "code"), ("R1", DAY, 3.0, 2.0, None), ("Región", NEXT, 3.0, 4.0, "d")], WEATHER)
     look = W.look_at(weather)
     assert look == W.WeatherKeys(True, 2 * W.ROW_BYTES + 2 + 4 + 7 + 1, 2 * (W.ROW_BYTES + 4))
     assert W.look_at(weather.filter("false")) == W.WeatherKeys(False, 0, 0)
@@ -170,7 +170,7 @@ def test_one_look_serves_all_attachments(spark):
 
 
 def test_long_codes_count_in_the_size(spark):
-    rows = [(f"R{i}", OCT10, 1.0, 2.0, "x" * 10_000) for i in range(20)]
+    rows = [(f"R{i}", DAY, 1.0, 2.0, "x" * 10_000) for i in range(20)]
     weather = spark.createDataFrame(rows, WEATHER)
     attached = W.attach_weather(sales(spark), weather, broadcast_bytes=100_000)
     assert "ResolvedHint" not in attached._jdf.queryExecution().analyzed().toString()
