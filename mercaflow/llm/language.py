@@ -1,8 +1,9 @@
 """Language identification: multinomial naive Bayes over hashed character
 n-grams.
 
-Counts are gathered over all training texts: each task adds up dense blocks of
-counts, and Spark adds the blocks of all tasks. The model, a matrix of
+Counts are gathered over all training texts: each task adds up its own and sends
+blocks of them, by cell where few are set, and Spark adds the blocks of all
+tasks. The model, a matrix of
 log-probabilities of ``BUCKETS`` x languages, is broadcast; its size depends on
 the number of languages only and is checked. Texts are scored in batches.
 """
@@ -23,6 +24,8 @@ ORDERS = (1, 2, 3)
 BLOCK = 1 << 13
 # Characters that are worked on at a time, whatever the length of a text.
 PIECE = 1 << 19
+# Bytes of text that are taken out of an Arrow batch at a time.
+SLICE_BYTES = 4 << 20
 SMOOTHING = 0.5
 # Bound of the broadcast: 1,000 languages.
 MODEL_BYTES = BUCKETS * 8 * 1000
@@ -70,35 +73,61 @@ def _counting(languages: dict[str, int]):
         for batch in batches:
             own = np.array([languages[x] for x in batch.column("lang").to_pylist()], dtype=np.int64)
             documents += np.bincount(own, minlength=len(languages))
-            for text, rows, starts in _pieces(batch.column("text").to_pylist()):
-                language = np.repeat(own[rows], np.diff(np.append(starts, len(text))))
-                for buckets in _features(text):
-                    cells = language[: len(buckets)] * BUCKETS + buckets
-                    counts += np.bincount(cells, minlength=counts.size).reshape(counts.shape)
+            for first, texts in _slices(batch.column("text")):
+                for text, rows, starts in _pieces(texts):
+                    language = np.repeat(own[first + rows], np.diff(np.append(starts, len(text))))
+                    for buckets in _features(text):
+                        cells, n = np.unique(language[: len(buckets)] * BUCKETS + buckets, return_counts=True)
+                        counts.reshape(-1)[cells] += n
         for code in np.flatnonzero(documents):
             for block in range(0, BUCKETS, BLOCK):
+                set_cells, payload = _packed(counts[code, block : block + BLOCK])
                 yield pa.RecordBatch.from_pydict(
                     {
                         "language": [int(code)],
                         "block": [block],
                         "documents": [int(documents[code]) if block == 0 else 0],
-                        "counts": [counts[code, block : block + BLOCK].astype("<i8").tobytes()],
+                        "cells": [set_cells],
+                        "counts": [payload],
                     }
                 )
 
     return count
 
 
+def _slices(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
+    """First row and texts of parts of a column of about ``SLICE_BYTES`` each."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
+    borders = [*np.flatnonzero(np.diff(part, prepend=-1)), len(column)]
+    for first, last in zip(borders, borders[1:]):
+        yield int(first), column.slice(first, last - first).to_pylist()
+
+
+def _packed(counts: np.ndarray) -> tuple[bytes | None, bytes]:
+    """A block's counts: those that are set with their cells, or all of them."""
+    some = np.flatnonzero(counts)
+    if 10 * len(some) < 8 * len(counts):
+        return some.astype("<u2").tobytes(), counts[some].astype("<i8").tobytes()
+    return None, counts.astype("<i8").tobytes()
+
+
 def _adding(frame: pa.Table) -> pa.Table:
-    counts = sum(np.frombuffer(c.as_py(), dtype="<i8") for c in frame["counts"])
-    documents = pc.sum(frame["documents"]).as_py()
+    counts = np.zeros(BLOCK, dtype=np.int64)
+    for cells, values in zip(frame["cells"], frame["counts"]):
+        values = np.frombuffer(values.as_buffer(), dtype="<i8")
+        if cells.is_valid:
+            counts[np.frombuffer(cells.as_buffer(), dtype="<u2")] += values
+        else:
+            counts += values
     first = frame.slice(0, 1)
     return pa.Table.from_pydict(
         {
             "language": first["language"].to_pylist(),
             "block": first["block"].to_pylist(),
-            "documents": [documents],
-            "counts": [counts.tobytes()],
+            "documents": [pc.sum(frame["documents"]).as_py()],
+            "cells": pa.array([None], pa.binary()),
+            "counts": [counts.astype("<i8").tobytes()],
         }
     )
 
@@ -110,7 +139,7 @@ class Model:
     log_probability: np.ndarray  # bucket x language
 
 
-COUNT_SCHEMA = "language long, block long, documents long, counts binary"
+COUNT_SCHEMA = "language long, block long, documents long, cells binary, counts binary"
 
 
 def fit(labelled: DataFrame) -> Model | None:
@@ -134,16 +163,17 @@ def fit(labelled: DataFrame) -> Model | None:
     return Model(names, np.log(prior), np.ascontiguousarray(np.log(share).T))
 
 
-def _scores(model: Model, texts: list[str | None]) -> np.ndarray:
-    scores = np.tile(model.log_prior, (len(texts), 1))
-    for text, rows, starts in _pieces(texts):
-        for buckets in _features(text):
-            inner = np.minimum(starts, max(0, len(buckets) - 1))
-            for language in range(len(model.languages)):
-                values = model.log_probability[:, language][buckets]
-                if len(values):
-                    part = np.add.reduceat(values, inner)
-                    np.add.at(scores[:, language], rows, part)
+def _scores(model: Model, column: pa.Array) -> np.ndarray:
+    scores = np.tile(model.log_prior, (len(column), 1))
+    for first, texts in _slices(column):
+        for text, rows, starts in _pieces(texts):
+            for buckets in _features(text):
+                inner = np.minimum(starts, max(0, len(buckets) - 1))
+                for language in range(len(model.languages)):
+                    values = model.log_probability[:, language][buckets]
+                    if len(values):
+                        part = np.add.reduceat(values, inner)
+                        np.add.at(scores[:, language], first + rows, part)
     return scores
 
 
@@ -151,15 +181,15 @@ def _predicting(broadcast):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = broadcast.value
         for batch in batches:
-            scores = _scores(model, batch.column("text").to_pylist())
+            scores = _scores(model, batch.column("text"))
             best = scores.argmax(axis=1)
             certainty = 1 / np.exp(scores - scores.max(axis=1, keepdims=True)).sum(axis=1)
             known = batch.column("has_letter").to_numpy(zero_copy_only=False)
             names = [model.languages[b] if k else UNDETERMINED for b, k in zip(best, known)]
-            columns = {c: batch.column(c) for c in batch.schema.names if c not in ("lang_pred", "score")}
-            columns["lang_pred"] = pa.array(names, type=pa.string())
-            columns["score"] = pa.array(np.where(known, certainty, 0.0))
-            yield pa.RecordBatch.from_pydict(columns)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(names, type=pa.string()), pa.array(np.where(known, certainty, 0.0))],
+                ["doc_id", "lang_pred", "score"],
+            )
 
     return predict
 
@@ -180,8 +210,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     if model is None:
         return rows.select("doc_id", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
     broadcast = docs.sparkSession.sparkContext.broadcast(model)
-    schema = "doc_id long, text string, has_letter boolean, lang_pred string, score double"
-    return rows.mapInArrow(_predicting(broadcast), schema).select("doc_id", "lang_pred", "score")
+    return rows.mapInArrow(_predicting(broadcast), "doc_id long, lang_pred string, score double")
 
 
 def in_known_language(docs: DataFrame, model: Model | None, least_score: float = 0.5) -> DataFrame:
@@ -194,7 +223,7 @@ def in_known_language(docs: DataFrame, model: Model | None, least_score: float =
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = _scores(broadcast.value, batch.column("text").to_pylist())
+            scores = _scores(broadcast.value, batch.column("text"))
             certainty = 1 / np.exp(scores - scores.max(axis=1, keepdims=True)).sum(axis=1)
             yield batch.filter(pa.array(certainty >= least_score))
 
