@@ -1,4 +1,4 @@
-"""Near-duplicate lines by an exact set-similarity join, in DataFrame functions.
+"""Near-duplicate lines by an exact set-similarity join.
 
 A line is the set of its tokens (runs of other than white space, A-Z
 lower-cased), ordered by rarity. Rarity is the number of times that tokens of
@@ -12,6 +12,10 @@ filter); the places of each shared token leave room for the overlap that t
 asks for (positional filter); and so does the number of tokens that the prefixes
 share. What passes is compared in full.
 
+Tokens are made by numpy where the text is read, three times: for the rarity, for
+the prefixes, and for the full sets of lines in candidate pairs. Only prefixes
+and those sets travel, as numbers; a text is never shuffled for the join.
+
 Equal token sets are one class before the join, and later rows of a class go
 without any comparison. Sets of so few tokens that one more token makes them too
 unlike (three or fewer at 0.8) are similar to equal ones only, and need no more
@@ -20,60 +24,167 @@ key whose partitions adaptive execution splits.
 """
 from __future__ import annotations
 
-import math
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, functions as F
 
 from mercaflow.llm.storage import stored
+from mercaflow.llm.words import LOWER, MULTIPLIERS, U64, mix, words_of
 
 THRESHOLD = 0.8
 RARITY_BUCKETS = 1 << 17
+# Counts of rarity travel in blocks of this many buckets.
+BLOCK = 1 << 13
 # Bits that hold a class of rarity: counts of up to 2**63.
 CLASS_BITS = 8
-# 32-bit words of the filter of lines in candidate pairs.
-FILTER_WORDS = 1 << 16
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_SPACES = "\t\x0b\x0c\r"
+# Places of the filter of lines in candidate pairs.
+FILTER_BITS = 1 << 22
+_NEWLINE = 10
+
+
+class _Lines:
+    """Ordered token sets of the lines of some rows: the sets of all lines stand
+    one behind another in ``keys``, line ``i`` from ``starts[i]`` to
+    ``starts[i + 1]``; ``row`` and ``number`` tell where it stands."""
+
+    def __init__(self, row: np.ndarray, number: np.ndarray, keys: np.ndarray, starts: np.ndarray) -> None:
+        self.row, self.number, self.keys, self.starts = row, number, keys, starts
+        self.sizes = np.diff(starts)
+
+    def prints(self) -> np.ndarray:
+        """A hash of each set."""
+        if not len(self.sizes):
+            return np.zeros(0, dtype=np.int64)
+        summed = np.add.reduceat(mix(self.keys.copy()), self.starts[:-1])
+        return mix(summed + self.sizes.astype(U64) * MULTIPLIERS[0]).view(np.int64)
+
 
+def _tokens_of(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """First row, and the hash, the row and the line number of each token."""
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    for words in words_of(column, LOWER):
+        offsets = np.concatenate([[0], np.cumsum(lengths[words.first : words.last])])
+        breaks = np.flatnonzero(words.data == _NEWLINE)
+        rows = words.rows()
+        number = np.searchsorted(breaks, words.starts) - np.searchsorted(breaks, offsets)[rows]
+        yield words.first, words.hashes, rows, number
+
+
+def _lines_of(column: pa.Array, classes: np.ndarray) -> Iterator[_Lines]:
+    """The lines of a text column that have a token, some rows at a time."""
+    for first, hashes, rows, number in _tokens_of(column):
+        rank = classes[(hashes & U64(RARITY_BUCKETS - 1)).astype(np.int64)].astype(U64)
+        keys = (rank << U64(64 - CLASS_BITS)) | (hashes >> U64(CLASS_BITS))
+        order = np.lexsort((keys, number, rows))
+        rows, number, keys = rows[order], number[order], keys[order]
+        fresh = np.ones(len(keys), dtype=bool)
+        same_line = (rows[1:] == rows[:-1]) & (number[1:] == number[:-1])
+        fresh[1:] = ~(same_line & (keys[1:] == keys[:-1]))
+        begins = np.ones(len(keys), dtype=bool)
+        begins[1:] = ~same_line
+        starts = np.flatnonzero(begins[fresh])
+        at = np.flatnonzero(begins)
+        yield _Lines(first + rows[at], number[at], keys[fresh], np.append(starts, int(fresh.sum())))
+
+
+def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(RARITY_BUCKETS, dtype=np.int64)
+    for batch in batches:
+        for _, hashes, _, _ in _tokens_of(batch.column("text")):
+            counts += np.bincount((hashes & U64(RARITY_BUCKETS - 1)).astype(np.int64), minlength=RARITY_BUCKETS)
+    blocks = np.flatnonzero(counts.reshape(-1, BLOCK).any(axis=1))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(blocks), pa.array([counts[b * BLOCK : (b + 1) * BLOCK].tobytes() for b in blocks], pa.binary())],
+        ["block", "counts"],
+    )
 
-def _tokens(line: Column) -> Column:
-    folded = F.translate(line, _UPPER + _SPACES, _LOWER + " " * len(_SPACES))
-    return F.array_remove(F.split(folded, " "), "")
 
+def _adding(frame: pa.Table) -> pa.Table:
+    counts = np.zeros(BLOCK, dtype=np.int64)
+    for value in frame["counts"]:
+        counts += np.frombuffer(value.as_buffer(), dtype=np.int64)
+    return pa.table({"block": frame["block"].slice(0, 1), "counts": pa.array([counts.tobytes()], pa.binary())})
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``line_no`` and ``line`` of every line."""
-    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
+def _rarity(docs: DataFrame) -> np.ndarray:
+    """The class of each hash bucket, 0 for the rarest: four classes for every
+    doubling of the count."""
+    counted = docs.select("text").mapInArrow(_counting, "block long, counts binary")
+    summed = counted.groupBy("block").applyInArrow(_adding, "block long, counts binary")
+    counts = np.zeros(RARITY_BUCKETS, dtype=np.int64)
+    for row in summed.toLocalIterator():
+        counts[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(row["counts"], dtype=np.int64)
+    return (4 * np.log2(np.maximum(counts, 1))).astype(np.uint8)
 
-def _rarity(docs: DataFrame) -> Column:
-    """The class of each hash bucket, 0 for the rarest, as one constant array:
-    four classes for every doubling of the count."""
-    token = _lines(docs).select(F.explode(_tokens(F.col("line"))).alias("token"))
-    bucket = F.pmod(F.xxhash64("token"), F.lit(RARITY_BUCKETS)).cast("int").alias("bucket")
-    classes = [0] * RARITY_BUCKETS
-    for row in token.groupBy(bucket).count().toLocalIterator():
-        classes[row["bucket"]] = int(4 * math.log2(row["count"]))
-    return F.from_json(F.lit(str(classes).replace(" ", "")), "array<int>")
 
+def _prefixes(classes: np.ndarray, percent: int) -> Callable:
+    """``row``, ``line_no``, ``print``, ``n`` and ``prefix`` (short hashes of the
+    rarest tokens, of which sets that are similar share one; none of a set that
+    is similar to equal ones only) of each line with a token."""
 
-def _ordered_set(rarity: Column) -> Column:
-    """Distinct tokens of ``line`` as numbers that sort by rarity: the class of
-    the bucket, then as many bits of the hash as 63 bits leave."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lines in _lines_of(batch.column("text"), classes):
+                n = lines.sizes
+                length = np.where(100 * n < percent * (n + 1), 0, n + (-percent * n) // 100 + 1)
+                within = np.arange(len(lines.keys)) - np.repeat(lines.starts[:-1], n)
+                chosen = lines.keys[within < np.repeat(length, n)]
+                short = (mix(chosen.copy()) >> U64(32)).astype(np.uint32).view(np.int32)
+                offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").take(pa.array(lines.row)),
+                        pa.array(lines.number.astype(np.int32)),
+                        pa.array(lines.prints()),
+                        pa.array(n.astype(np.int32)),
+                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(short)),
+                    ],
+                    ["doc_id", "line_no", "print", "n", "prefix"],
+                )
 
-    def number(token: Column) -> Column:
-        hashed = F.xxhash64(token)
-        own = F.get(rarity, F.pmod(hashed, F.lit(RARITY_BUCKETS)).cast("int")).cast("long")
-        return F.shiftleft(own, 63 - CLASS_BITS).bitwiseOR(F.shiftrightunsigned(hashed, 1 + CLASS_BITS))
+    return run
 
-    return F.sort_array(F.array_distinct(F.transform(_tokens(F.col("line")), number)))
 
+def _full_sets(classes: np.ndarray, filter_bits: np.ndarray) -> Callable:
+    """``print`` and ``tokens`` of lines that the filter lets through, once for
+    each set of some rows."""
 
-def _prefix(tokens: Column, percent: int) -> Column:
-    """The rarest tokens, of which sets that are similar share one; none of a set
-    that is similar to equal ones only."""
-    count = F.size(tokens) - F.ceil(percent * F.size(tokens) / 100).cast("int") + 1
-    return F.slice(tokens, 1, F.when(100 * F.size(tokens) < percent * (F.size(tokens) + 1), 0).otherwise(count))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lines in _lines_of(batch.column("text"), classes):
+                prints = lines.prints()
+                distinct, at = np.unique(prints, return_index=True)
+                at = at[_is_set(filter_bits, distinct)]
+                n = lines.sizes[at]
+                offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+                within = np.arange(offsets[-1]) - np.repeat(offsets[:-1], n)
+                keys = lines.keys[np.repeat(lines.starts[:-1][at], n) + within]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(prints[at]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.view(np.int64)))],
+                    ["print", "tokens"],
+                )
+
+    return run
+
+
+def _is_set(filter_bits: np.ndarray, prints: np.ndarray) -> np.ndarray:
+    places = prints.view(U64) & U64(FILTER_BITS - 1)
+    return (filter_bits[(places >> U64(3)).astype(np.int64)] >> (places & U64(7)).astype(np.uint8)) & 1 == 1
+
+
+def _filter_of(prints: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size of ``prints``, which lets some others through on
+    very large inputs."""
+    place = F.col("print").bitwiseAND(F.lit(FILTER_BITS - 1))
+    bits = F.expr(f"shiftleft(1L, cast(print & {FILTER_BITS - 1} & 63 as int))")
+    words = prints.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(bits).alias("bits"))
+    out = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    for row in words.toLocalIterator():
+        out[row["word"]] = row["bits"]
+    return out.view(np.uint8)
 
 
 def _candidates(classes: DataFrame, percent: int) -> DataFrame:
@@ -100,30 +211,15 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     return each.filter("shared >= least").select("print_a", "print_b")
 
 
-def _is_one_of(prints: DataFrame) -> Column:
-    """Whether ``print`` may be one of ``prints``: a bitmap of fixed size as one
-    constant array, which lets some others through on very large inputs."""
-    place = F.pmod("print", F.lit(FILTER_WORDS * 32)).cast("int")
-    words = prints.select(place.alias("place")).groupBy(F.shiftright("place", 5).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, place & 31)")).alias("bits")
-    )
-    bits = [0] * FILTER_WORDS
-    for row in words.collect():
-        bits[row["word"]] = row["bits"]
-    word = F.get(F.from_json(F.lit(str(bits)), "array<long>"), F.shiftright(place, 5))
-    bit = F.call_function("shiftright", word, place.bitwiseAND(F.lit(31)))
-    return bit.bitwiseAND(F.lit(1).cast("long")) == 1
-
-
-def similar_prints(lines: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs ``print_a``, ``print_b`` of the classes of ``lines`` (``print``,
-    ``tokens``) with a Jaccard similarity of ``threshold`` or more."""
-    percent = round(100 * threshold)
+def similar_prints(docs: DataFrame, classes: DataFrame, rarity: np.ndarray, percent: int) -> DataFrame:
+    """Pairs ``print_a``, ``print_b`` of the classes with a Jaccard similarity of
+    ``percent`` or more."""
     pairs = stored(_candidates(classes, percent), "line_pairs")
     ends = pairs.select(F.col("print_a").alias("print")).union(pairs.select("print_b")).distinct()
     # Full sets only of lines in a candidate pair; the rest stays where it is.
-    sets = lines.filter(_is_one_of(ends)).groupBy("print").agg(F.any_value("tokens").alias("tokens"))
-    sets = stored(sets.join(ends, "print", "left_semi"), "line_sets")
+    found = docs.select("text").mapInArrow(_full_sets(rarity, _filter_of(ends)), "print long, tokens array<long>")
+    sets = found.join(ends, "print", "left_semi").groupBy("print").agg(F.any_value("tokens").alias("tokens"))
+    sets = stored(sets, "line_sets")
     both = pairs.join(sets.toDF("print_a", "tokens_a"), "print_a").join(sets.toDF("print_b", "tokens_b"), "print_b")
     shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
     union = F.size("tokens_a") + F.size("tokens_b") - shared
@@ -134,20 +230,24 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id`` and ``line_no`` (from 0) of the lines to remove: those with
     tokens that are as similar as ``threshold`` to a line before them, by
     ``doc_id`` and line number; blank lines stay. A line counts whether or not
-    it is itself removed. Equal sets are told by a 64-bit hash."""
+    it is itself removed. Equal sets are told by a 64-bit hash. Long texts are
+    taken whole, a batch of them at a time."""
+    percent = round(100 * threshold)
+    docs = docs.select("doc_id", "text").filter("doc_id is not null")
     rarity = _rarity(docs)
-    lines = _lines(docs.filter("doc_id is not null")).select("doc_id", "line_no", _ordered_set(rarity).alias("tokens"))
-    lines = lines.filter(F.size("tokens") > 0).withColumn("print", F.xxhash64("tokens"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, line_no int, print long, n int, prefix array<int>"
+    lines = stored(docs.mapInArrow(_prefixes(rarity, percent), schema), "lines")
     classes = stored(
         lines.groupBy("print").agg(
             F.min(F.struct("doc_id", "line_no")).alias("first"),
             F.count(F.lit(1)).alias("n_lines"),
-            F.any_value(F.size("tokens")).alias("n"),
-            F.any_value(_prefix(F.col("tokens"), round(100 * threshold))).alias("prefix"),
+            F.any_value("n").alias("n"),
+            F.any_value("prefix").alias("prefix"),
         ),
         "line_classes",
     )
-    similar = similar_prints(lines, classes, threshold)
+    similar = similar_prints(docs, classes, rarity, percent)
     first = classes.select("print", "first")
     pairs = similar.join(first.toDF("print_a", "first_a"), "print_a").join(first.toDF("print_b", "first_b"), "print_b")
     later = pairs.select(F.greatest("first_a", "first_b").alias("later")).select("later.*")
