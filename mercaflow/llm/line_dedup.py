@@ -42,6 +42,9 @@ BLOCK = 1 << 13
 CLASS_BITS = 8
 # Places of the filter of lines in candidate pairs.
 FILTER_BITS = 1 << 22
+# Bytes of line numbers up to which they are broadcast to the texts, and those of
+# a document beside its numbers; beyond that the texts are shuffled to them.
+BROADCAST_BYTES, ROW_BYTES = 32 << 20, 64
 _NEWLINE = 10
 
 
@@ -54,6 +57,12 @@ class _Lines:
         self.row, self.number, self.keys, self.starts = row, number, keys, starts
         self.sizes = np.diff(starts)
 
+    def signatures(self) -> np.ndarray:
+        """64 bits of each set: one for each of its tokens."""
+        if not len(self.sizes):
+            return np.zeros(0, dtype=np.int64)
+        return np.bitwise_or.reduceat(U64(1) << (self.keys & U64(63)), self.starts[:-1]).view(np.int64)
+
     def prints(self) -> np.ndarray:
         """A hash of each set."""
         if not len(self.sizes):
@@ -121,9 +130,9 @@ def _rarity(docs: DataFrame) -> np.ndarray:
 
 
 def _prefixes(classes: np.ndarray, percent: int) -> Callable:
-    """``row``, ``line_no``, ``print``, ``n`` and ``prefix`` (short hashes of the
-    rarest tokens, of which sets that are similar share one; none of a set that
-    is similar to equal ones only) of each line with a token."""
+    """``doc_id``, ``line_no``, ``print``, ``n``, ``bits`` and ``prefix`` (short
+    hashes of the rarest tokens, of which sets that are similar share one; none of
+    a set that is similar to equal ones only) of each line with a token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,9 +149,10 @@ def _prefixes(classes: np.ndarray, percent: int) -> Callable:
                         pa.array(lines.number.astype(np.int32)),
                         pa.array(lines.prints()),
                         pa.array(n.astype(np.int32)),
+                        pa.array(lines.signatures()),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(short)),
                     ],
-                    ["doc_id", "line_no", "print", "n", "prefix"],
+                    ["doc_id", "line_no", "print", "n", "bits", "prefix"],
                 )
 
     return run
@@ -189,19 +199,24 @@ def _filter_of(prints: DataFrame) -> np.ndarray:
 
 def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     """Pairs of ``print`` of the rows of ``classes`` (``print``, ``n``: number of
-    tokens, ``prefix``) that pass the prefix, length and positional filters."""
+    tokens, ``bits``, ``prefix``) that pass the prefix, length and positional
+    filters, and whose signatures leave room: a bit that one set has and the other
+    lacks stands for a token that they don't share."""
     entries = classes.select(
-        "print", F.posexplode("prefix").alias("place", "token"), F.col("n").cast("long").alias("n")
-    ).select("token", "print", F.shiftleft("n", 32).bitwiseOR(F.col("place").cast("long")).alias("n_place"))
-    a = entries.toDF("token", "print_a", "n_place_a")
-    b = entries.toDF("token", "print_b", "n_place_b")
+        "print", "bits", F.posexplode("prefix").alias("place", "token"), F.col("n").cast("long").alias("n")
+    ).select("token", "print", "bits", F.shiftleft("n", 32).bitwiseOR(F.col("place").cast("long")).alias("n_place"))
+    a = entries.toDF("token", "print_a", "bits_a", "n_place_a")
+    b = entries.toDF("token", "print_b", "bits_b", "n_place_b")
     n_a, n_b = (F.shiftright(f"n_place_{x}", 32) for x in "ab")
     place_a, place_b = (F.col(f"n_place_{x}").bitwiseAND(F.lit((1 << 32) - 1)) for x in "ab")
     shorter = (n_a < n_b) | ((n_a == n_b) & (F.col("print_a") < F.col("print_b")))
     # Tokens up to and from the shared one; the first shared token decides, and passes if the pair does.
     most = 1 + F.least(place_a, place_b) + F.least(n_a - place_a, n_b - place_b) - 1
     needed = F.ceil(percent * (n_a + n_b) / (100 + percent))
-    met = a.join(b, "token").filter(shorter & (100 * n_a >= percent * n_b) & (most >= needed))
+    only_a = F.bit_count(F.col("bits_a").bitwiseAND(F.bitwise_not("bits_b")))
+    only_b = F.bit_count(F.col("bits_b").bitwiseAND(F.bitwise_not("bits_a")))
+    room = (n_a - only_a >= needed) & (n_b - only_b >= needed)
+    met = a.join(b, "token").filter(shorter & (100 * n_a >= percent * n_b) & (most >= needed) & room)
     # The prefix that ends earlier in the order has all shared tokens up to its
     # end in both prefixes; behind it there are no more than the rest of its set.
     rest = F.ceil(percent * F.greatest(n_a, n_b) / 100) - 1
@@ -236,13 +251,14 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     docs = docs.select("doc_id", "text").filter("doc_id is not null")
     rarity = _rarity(docs)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, line_no int, print long, n int, prefix array<int>"
+    schema = f"doc_id {kind}, line_no int, print long, n int, bits long, prefix array<int>"
     lines = stored(docs.mapInArrow(_prefixes(rarity, percent), schema), "lines")
     classes = stored(
         lines.groupBy("print").agg(
             F.min(F.struct("doc_id", "line_no")).alias("first"),
             F.count(F.lit(1)).alias("n_lines"),
             F.any_value("n").alias("n"),
+            F.any_value("bits").alias("bits"),
             F.any_value("prefix").alias("prefix"),
         ),
         "line_classes",
@@ -268,6 +284,10 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     replaced.
     """
     gone = removed_lines(docs, threshold).groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone"))
+    gone = stored(gone, "gone_lines")
+    size = F.count(F.lit(1)) * ROW_BYTES + F.coalesce(F.sum(F.size("_gone")), F.lit(0)) * 4
+    if gone.agg(size).first()[0] <= BROADCAST_BYTES:
+        gone = F.broadcast(gone)
     # The lines are a column of their own, so that they are split once a row.
     joined = docs.join(gone, "doc_id", "left").withColumn("_lines", F.split("text", "\n"))
     places = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
