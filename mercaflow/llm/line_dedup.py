@@ -10,10 +10,11 @@ Two lines of similarity t share a token among the first n - ceil(t n) + 1 of
 each (prefix filter); their sizes differ by a factor of t at most (length
 filter); the places of each shared token leave room for the overlap that t
 asks for (positional filter); and so does the number of tokens that the prefixes
-share. What passes is compared in full.
+share. What passes is compared in full, each line with the first line of its tokens
+to begin with, so that a crowd of similar lines is not compared pair by pair.
 
-Tokens are made by numpy where the text is read, three times: for the rarity, for
-the prefixes, and for the full sets of lines in candidate pairs. Only prefixes
+Tokens are made by numpy where the text is read: for the rarity, for the
+prefixes, and twice for the full sets of lines in candidate pairs. Only prefixes
 and those sets travel, as numbers; a text is never shuffled for the join.
 
 Equal token sets are one class before the join, and later rows of a class go
@@ -29,7 +30,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from mercaflow.llm.storage import stored
 from mercaflow.llm.words import LOWER, MULTIPLIERS, U64, mix, words_of
@@ -197,39 +198,65 @@ def _filter_of(prints: DataFrame) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def _candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of ``print`` of the rows of ``classes`` (``print``, ``n``: number of
-    tokens, ``bits``, ``prefix``) that pass the prefix, length and positional
-    filters, and whose signatures leave room: a bit that one set has and the other
-    lacks stands for a token that they don't share."""
-    entries = classes.select(
-        "print", "bits", F.posexplode("prefix").alias("place", "token"), F.col("n").cast("long").alias("n")
-    ).select("token", "print", "bits", F.shiftleft("n", 32).bitwiseOR(F.col("place").cast("long")).alias("n_place"))
-    a = entries.toDF("token", "print_a", "bits_a", "n_place_a")
-    b = entries.toDF("token", "print_b", "bits_b", "n_place_b")
+def _entries(classes: DataFrame) -> DataFrame:
+    """The prefix tokens of ``classes``, with ``n`` and the token's place in one number."""
+    placed = classes.select(
+        "print", "first", "bits", "open", F.posexplode("prefix").alias("place", "token"), F.col("n").cast("long").alias("n")
+    )
+    n_place = F.shiftleft("n", 32).bitwiseOR(F.col("place").cast("long")).alias("n_place")
+    return placed.select("token", "print", "first", "bits", "open", n_place)
+
+
+def _fits(percent: int) -> tuple[Column, Column]:
+    """Whether the two sets of a shared token pass the length and positional
+    filters and their signatures leave room (a bit that one set has and the other
+    lacks stands for a token that they don't share), and how many tokens their
+    prefixes must share: the prefix that ends earlier in the order has all shared
+    tokens up to its end in both prefixes, and behind it there are no more than the
+    rest of its set."""
     n_a, n_b = (F.shiftright(f"n_place_{x}", 32) for x in "ab")
     place_a, place_b = (F.col(f"n_place_{x}").bitwiseAND(F.lit((1 << 32) - 1)) for x in "ab")
-    shorter = (n_a < n_b) | ((n_a == n_b) & (F.col("print_a") < F.col("print_b")))
     # Tokens up to and from the shared one; the first shared token decides, and passes if the pair does.
     most = 1 + F.least(place_a, place_b) + F.least(n_a - place_a, n_b - place_b) - 1
     needed = F.ceil(percent * (n_a + n_b) / (100 + percent))
     only_a = F.bit_count(F.col("bits_a").bitwiseAND(F.bitwise_not("bits_b")))
     only_b = F.bit_count(F.col("bits_b").bitwiseAND(F.bitwise_not("bits_a")))
+    sizes = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
     room = (n_a - only_a >= needed) & (n_b - only_b >= needed)
-    met = a.join(b, "token").filter(shorter & (100 * n_a >= percent * n_b) & (most >= needed) & room)
-    # The prefix that ends earlier in the order has all shared tokens up to its
-    # end in both prefixes; behind it there are no more than the rest of its set.
     rest = F.ceil(percent * F.greatest(n_a, n_b) / 100) - 1
-    each = met.groupBy("print_a", "print_b").agg(
-        F.count(F.lit(1)).alias("shared"), F.max(needed - rest).alias("least")
+    return (F.col("print_a") != F.col("print_b")) & sizes & (most >= needed) & room, needed - rest
+
+
+def _led(entries: DataFrame, percent: int) -> DataFrame:
+    """For each class at most one earlier one, ``print_b``, that is likely similar:
+    of the first classes of its prefix tokens, the one with most of them. Linear in
+    the entries, however many classes share a token."""
+    leader = F.struct("print", "bits", "n_place")
+    leaders = entries.groupBy("token").agg(F.min_by(leader, "first").alias("leader"))
+    a = entries.select("token", *(F.col(c).alias(f"{c}_a") for c in ("print", "bits", "n_place")))
+    b = leaders.select("token", *(F.col(f"leader.{c}").alias(f"{c}_b") for c in ("print", "bits", "n_place")))
+    fits, _ = _fits(percent)
+    counted = a.join(b, "token").filter(fits).groupBy("print_a", "print_b").agg(F.count(F.lit(1)).alias("shared"))
+    return counted.groupBy("print_a").agg(F.max_by("print_b", F.struct("shared", "print_b")).alias("print_b"))
+
+
+def _candidates(entries: DataFrame, percent: int) -> DataFrame:
+    """Pairs of an open class and any other that pass all filters. A pair of two
+    open classes comes once."""
+    a = entries.filter("open").select("token", *(F.col(c).alias(f"{c}_a") for c in ("print", "bits", "n_place")))
+    b = entries.select("token", "open", *(F.col(c).alias(f"{c}_b") for c in ("print", "bits", "n_place")))
+    fits, least = _fits(percent)
+    once = ~F.col("open") | (F.col("print_a") < F.col("print_b"))
+    each = a.join(b, "token").filter(fits & once).groupBy("print_a", "print_b").agg(
+        F.count(F.lit(1)).alias("shared"), F.max(least).alias("least")
     )
     return each.filter("shared >= least").select("print_a", "print_b")
 
 
-def similar_prints(docs: DataFrame, classes: DataFrame, rarity: np.ndarray, percent: int) -> DataFrame:
-    """Pairs ``print_a``, ``print_b`` of the classes with a Jaccard similarity of
-    ``percent`` or more."""
-    pairs = stored(_candidates(classes, percent), "line_pairs")
+def _verified(docs: DataFrame, pairs: DataFrame, rarity: np.ndarray, percent: int) -> DataFrame:
+    """Those of ``pairs`` (``print_a``, ``print_b``) with a Jaccard similarity of
+    ``percent`` or more, by their full sets."""
+    pairs = stored(pairs, "line_pairs")
     ends = pairs.select(F.col("print_a").alias("print")).union(pairs.select("print_b")).distinct()
     # Full sets only of lines in a candidate pair; the rest stays where it is.
     found = docs.select("text").mapInArrow(_full_sets(rarity, _filter_of(ends)), "print long, tokens array<long>")
@@ -241,6 +268,25 @@ def similar_prints(docs: DataFrame, classes: DataFrame, rarity: np.ndarray, perc
     return both.filter(100 * shared >= percent * union).select("print_a", "print_b")
 
 
+def _later_lines(docs: DataFrame, classes: DataFrame, rarity: np.ndarray, percent: int) -> DataFrame:
+    """``first`` of the classes that are similar to an earlier one.
+
+    A class needs one such class only. Most have one among the first classes of
+    their tokens; they are settled by that, and a crowd of similar lines takes as
+    many comparisons as it has lines. All that are still open are compared with
+    every class that the filters leave.
+    """
+    led = _verified(docs, _led(_entries(classes.withColumn("open", F.lit(True))), percent), rarity, percent)
+    settled = stored(led.select(F.col("print_a").alias("print")), "settled_lines")
+    flagged = classes.join(settled.withColumn("closed", F.lit(True)), "print", "left")
+    flagged = flagged.withColumn("open", F.col("closed").isNull()).drop("closed")
+    similar = _verified(docs, _candidates(_entries(flagged), percent), rarity, percent)
+    first = classes.select("print", "first")
+    pairs = similar.join(first.toDF("print_a", "first_a"), "print_a").join(first.toDF("print_b", "first_b"), "print_b")
+    later = pairs.select(F.greatest("first_a", "first_b").alias("later"))
+    return settled.join(first, "print").select("first").union(later)
+
+
 def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id`` and ``line_no`` (from 0) of the lines to remove: those with
     tokens that are as similar as ``threshold`` to a line before them, by
@@ -263,10 +309,7 @@ def removed_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         ),
         "line_classes",
     )
-    similar = similar_prints(docs, classes, rarity, percent)
-    first = classes.select("print", "first")
-    pairs = similar.join(first.toDF("print_a", "first_a"), "print_a").join(first.toDF("print_b", "first_b"), "print_b")
-    later = pairs.select(F.greatest("first_a", "first_b").alias("later")).select("later.*")
+    later = _later_lines(docs, classes, rarity, percent).select("first.*")
     repeated = classes.filter("n_lines > 1").select("print", "first")
     members = lines.select("doc_id", "line_no", "print").join(repeated, "print")
     copies = members.filter(F.struct("doc_id", "line_no") != F.col("first")).select("doc_id", "line_no")
