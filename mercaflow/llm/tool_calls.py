@@ -73,18 +73,19 @@ def _levels(calls: DataFrame) -> DataFrame:
 
 
 def link_tool_calls(messages: DataFrame, schemas: Schemas) -> DataFrame:
-    """A row for each tool call, and for each result without a call.
+    """A row for each tool call, and for each result that answers none.
 
     ``messages``: ``conv_id``, ``turn``, ``role``, ``text``, ``tool_calls``
     (an array of ``CALL``) and ``tool_call_id``, which a row of role ``tool``
-    has. Of several results with one identifier the first by turn counts, and
-    only if it comes after the call; of several calls with one identifier the
-    first, the others have status ``duplicate``.
+    has. Of several results with one identifier the first by turn and text that
+    comes after the call counts; the others, and those before the call or without
+    a turn, are rows of their own with status ``surplus``. Of several calls with
+    one identifier the first counts, the others have status ``duplicate``.
 
     Columns: ``conv_id``, ``turn``, ``call_id``, ``position`` (from 0, the order
     in which the calls of a turn can run), ``level`` (steps of calls to wait
     for; null in or behind a circle, and such calls come last), ``status``
-    (``linked``, ``unanswered``, ``duplicate`` or ``orphan``), ``errors`` and
+    (``linked``, ``unanswered``, ``duplicate``, ``surplus`` or ``orphan``), ``errors`` and
     ``record``, canonical JSON. A null conversation or identifier links with
     nothing. Equal rows count once. Other columns are not looked at.
     """
@@ -94,16 +95,20 @@ def link_tool_calls(messages: DataFrame, schemas: Schemas) -> DataFrame:
     ).dropDuplicates([*KEY, "turn", "index"])
     calls = stored(calls, "calls")
     firsts = calls.groupBy(KEY).agg(F.min(F.struct("turn", "index")).alias("first"))
-    results = messages.filter("role = 'tool'").groupBy("conv_id", F.col("tool_call_id").alias("call_id")).agg(
-        F.min(F.struct(F.col("turn"), F.col("text"))).alias("result")
+    results = messages.filter("role = 'tool'").select("conv_id", F.col("tool_call_id").alias("call_id"), "turn", "text")
+    # Each with its call, and whether it comes after it; only answers compete for a call.
+    results = results.distinct().join(firsts, KEY, "left").select(
+        *KEY, F.struct("turn", "text").alias("result"), F.col("first").isNotNull().alias("has_call"),
+        F.coalesce(F.col("turn") > F.col("first.turn"), F.lit(False)).alias("after"),
     )
     results = stored(results, "results")
+    answers = results.filter("after").groupBy(KEY).agg(F.min("result").alias("result"))
     own = calls.join(firsts, KEY, "left")
     is_first = F.coalesce(F.struct("turn", "index") == F.col("first"), F.lit(True))
     own = own.withColumn("is_first", is_first)
     levels = _levels(own.filter("is_first and conv_id is not null and call_id is not null"))
-    linked = own.join(levels, KEY, "left").join(results, KEY, "left")
-    answered = F.col("is_first") & (F.col("result.turn") > F.col("turn"))
+    linked = own.join(levels, KEY, "left").join(answers, KEY, "left")
+    answered = F.col("is_first") & F.col("result").isNotNull()
     linked = linked.select(
         "conv_id", "turn", "index", "call_id", "name", "arguments",
         F.when(F.col("is_first"), F.col("level")).alias("level"),
@@ -123,15 +128,16 @@ def link_tool_calls(messages: DataFrame, schemas: Schemas) -> DataFrame:
         "conv_id", "turn", "call_id", (F.row_number().over(order) - 1).alias("position"), "level", "status", "errors",
         record.alias("record"),
     )
-    lost = results.join(calls.select(KEY).distinct(), KEY, "left_anti")
-    nothing = F.lit(None)
+    used = answers.withColumnRenamed("result", "used")
+    lost = results.join(used, KEY, "left").filter(F.col("used").isNull() | ~F.col("result").eqNullSafe(F.col("used")))
+    nothing, status = F.lit(None), F.when(F.col("has_call"), "surplus").otherwise("orphan")
     record = F.to_json(
-        F.struct(F.col("call_id").alias("id"), F.col("result.text").alias("result"), F.lit("orphan").alias("status")),
+        F.struct(F.col("call_id").alias("id"), F.col("result.text").alias("result"), status.alias("status")),
         {"ignoreNullFields": "false"},
     )
     return done.union(
         lost.select(
-            "conv_id", "result.turn", "call_id", nothing.cast("int"), nothing.cast("int"), F.lit("orphan"),
+            "conv_id", "result.turn", "call_id", nothing.cast("int"), nothing.cast("int"), status,
             nothing.cast("array<string>"), record,
         )
     )
