@@ -229,15 +229,18 @@ def _fits(percent: int) -> tuple[Column, Column]:
 
 def _led(entries: DataFrame, percent: int) -> DataFrame:
     """For each class at most one earlier one, ``print_b``, that is likely similar:
-    of the first classes of its prefix tokens, the one with most of them. Linear in
-    the entries, however many classes share a token."""
+    of the first classes of its prefix tokens, the one with most of them, if that is
+    half of them. Linear in the entries, however many classes share a token."""
     leader = F.struct("print", "bits", "n_place")
     leaders = entries.groupBy("token").agg(F.min_by(leader, "first").alias("leader"))
     a = entries.select("token", *(F.col(c).alias(f"{c}_a") for c in ("print", "bits", "n_place")))
     b = leaders.select("token", *(F.col(f"leader.{c}").alias(f"{c}_b") for c in ("print", "bits", "n_place")))
     fits, _ = _fits(percent)
-    counted = a.join(b, "token").filter(fits).groupBy("print_a", "print_b").agg(F.count(F.lit(1)).alias("shared"))
-    return counted.groupBy("print_a").agg(F.max_by("print_b", F.struct("shared", "print_b")).alias("print_b"))
+    counted = a.join(b, "token").filter(fits).groupBy("print_a", "print_b").agg(
+        F.count(F.lit(1)).alias("shared"), F.max(F.shiftright("n_place_a", 32)).alias("n")
+    )
+    likely = counted.filter(2 * F.col("shared") >= F.col("n") - F.ceil(percent * F.col("n") / 100) + 1)
+    return likely.groupBy("print_a").agg(F.max_by("print_b", F.struct("shared", "print_b")).alias("print_b"))
 
 
 def _candidates(entries: DataFrame, percent: int) -> DataFrame:
