@@ -24,6 +24,7 @@ from mercaflow.plans.gold import run_gold
 from mercaflow.plans.silver import run_silver
 from mercaflow.plans.states import merged_frames
 from mercaflow.session import shared_folder
+from mercaflow.sinks.swap import folder_names
 from mercaflow.sinks.tables import fill_partitions, with_dt, write_table
 from mercaflow.sources.feeds import read_json_source, read_parquet_source
 from mercaflow.sources.tables import load_transactions, load_weather
@@ -264,18 +265,24 @@ def _new_lake(spark: SparkSession, sf_dir: str) -> JobConfig:
     return config
 
 
-# The lake of each session and table folder; what reads it changes only gold.
-_LAKES: dict[tuple[str, str], JobConfig] = {}
+# The lakes of each session and table folder; what reads them changes only gold
+# tables and aggregates.
+_LAKES: dict[tuple[str, str, str], JobConfig] = {}
 
 
-def _medallion(spark: SparkSession, sf_dir: str) -> JobConfig:
-    """One lake for all queries of a session over the same tables."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LAKES:
-        _LAKES[key] = _new_lake(spark, sf_dir)
+def _once(kind: str, make: Callable[[SparkSession, str], JobConfig], spark: SparkSession, sf_dir: str) -> JobConfig:
+    """One lake of a kind for all queries of a session over the same tables."""
+    key = (kind, spark.sparkContext.applicationId, sf_dir)
+    known = _LAKES.get(key)
+    if known is None or not folder_names(spark, known.input_bucket, known.input_bucket):
+        _LAKES[key] = make(spark, sf_dir)
     return _LAKES[key]
 
 
+def _medallion(spark: SparkSession, sf_dir: str) -> JobConfig:
+    return _once("feeds", _new_lake, spark, sf_dir)
+
+
 def medallion_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = _medallion(spark, sf_dir)
     stored = load_transactions(spark, config.silver_path(config.transactions_table), RUN_DATE)
@@ -420,17 +427,11 @@ def _deliveries(spark: SparkSession, sf_dir: str) -> JobConfig:
     return config
 
 
-_DELIVERIES: dict[tuple[str, str], JobConfig] = {}
-
-
 def _of_history(name: str, adapt: Callable[[DataFrame], DataFrame] = lambda df: df) -> Query:
     """A gold table over three run dates, merged from their daily aggregates."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, sf_dir)
-        if key not in _DELIVERIES:
-            _DELIVERIES[key] = _deliveries(spark, sf_dir)
-        config = _DELIVERIES[key]
+        config = _once("history", _deliveries, spark, sf_dir)
         weather = load_weather(spark, config.silver_path(config.weather_table), RUN_DATE)
         return adapt(merged_frames(spark, config, [name], weather)[name]())
 
