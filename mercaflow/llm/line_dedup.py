@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mercaflow.llm.storage import stored
-from mercaflow.llm.words import LOWER, MULTIPLIERS, U64, mix, words_of
+from mercaflow.llm.words import LOWER, MULTIPLIERS, U64, mix, row_slices, words_of
 
 THRESHOLD = 0.8
 RARITY_BUCKETS = 1 << 17
@@ -46,6 +46,8 @@ FILTER_BITS = 1 << 22
 # Bytes of line numbers up to which they are broadcast to the texts, and those of
 # a document beside its numbers; beyond that the texts are shuffled to them.
 BROADCAST_BYTES, ROW_BYTES = 32 << 20, 64
+# Bytes of text that are worked on at a time.
+PART_BYTES = 1 << 20
 _NEWLINE = 10
 
 
@@ -73,14 +75,16 @@ class _Lines:
 
 
 def _tokens_of(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """First row, and the hash, the row and the line number of each token."""
-    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    for words in words_of(column, LOWER):
-        offsets = np.concatenate([[0], np.cumsum(lengths[words.first : words.last])])
-        breaks = np.flatnonzero(words.data == _NEWLINE)
-        rows = words.rows()
-        number = np.searchsorted(breaks, words.starts) - np.searchsorted(breaks, offsets)[rows]
-        yield words.first, words.hashes, rows, number
+    """First row, and the hash, the row and the line number of each token, of some
+    rows at a time."""
+    for start, part in row_slices(column, PART_BYTES):
+        lengths = pc.fill_null(pc.binary_length(part), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        for words in words_of(part, LOWER):
+            offsets = np.concatenate([[0], np.cumsum(lengths[words.first : words.last])])
+            breaks = np.flatnonzero(words.data == _NEWLINE)
+            rows = words.rows()
+            number = np.searchsorted(breaks, words.starts) - np.searchsorted(breaks, offsets)[rows]
+            yield start + words.first, words.hashes, rows, number
 
 
 def _lines_of(column: pa.Array, classes: np.ndarray) -> Iterator[_Lines]:

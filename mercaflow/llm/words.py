@@ -81,6 +81,16 @@ class Words:
         return np.repeat(np.arange(self.last - self.first), np.diff(self.bounds))
 
 
+def row_slices(column: pa.Array, size: int) -> Iterator[tuple[int, pa.Array]]:
+    """First row and rows of parts of a text column of about ``size`` bytes each;
+    a longer text is a part of its own."""
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(lengths, dtype=np.int64) // size
+    borders = [*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), len(column)]
+    for first, last in zip(borders, borders[1:]):
+        yield first, column.slice(first, last - first)
+
+
 def words_of(column: pa.Array | pa.ChunkedArray, rule: Rule) -> Iterator[Words]:
     """The words of a text column, some rows at a time. A null has no words."""
     if isinstance(column, pa.ChunkedArray):

@@ -40,3 +40,13 @@ def test_equal_runs_have_equal_hashes():
     hashes = np.array([5, 7, 9, 5, 7, 9, 5], dtype=np.uint64)
     runs = W.Rolling(hashes).runs(np.array([0, 3, 1, 4]), np.array([3, 6, 3, 6]))
     assert runs[0] == runs[1] and runs[2] == runs[3] and runs[0] != runs[2]
+
+
+def test_slices_of_rows_are_of_a_size():
+    column = pa.array(["ab", None, "", "c" * 50, "d", "e" * 9, "é"])
+    for size in (1, 5, 20, 1000):
+        parts = list(W.row_slices(column, size))
+        assert [x for _, part in parts for x in part.to_pylist()] == column.to_pylist()
+        assert [first for first, _ in parts] == [0, *(first + len(part) for first, part in parts)][: len(parts)]
+        assert all(sum(len(x or "") for x in part.to_pylist()[1:]) <= size for _, part in parts)
+    assert list(W.row_slices(pa.array([], pa.string()), 5)) == []
