@@ -1,10 +1,10 @@
 """The daily sales fact with its channel and payment mixes."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mercaflow.functions.columns import ensure_columns
-from mercaflow.functions.stats import exact_total
+from mercaflow.functions.stats import money_parts, total_of_parts
 from mercaflow.operators.weather import METRIC_NAMES, WeatherKeys, attach_weather
 from mercaflow.schemas import WEATHER_METRICS
 
@@ -28,7 +28,7 @@ def fact_sales_daily(
     ``broadcast_bytes`` are those of ``attach_weather``.
     """
     on_lines = [m for m in METRIC_NAMES if m in df.columns] if weather is None else []
-    fact = _with_mixes(_fact_details(df, on_lines, exact), on_lines)
+    fact = _with_mixes(_fact_details(df, on_lines, exact), on_lines, exact)
     if weather is None:
         fact = ensure_columns(fact, WEATHER_METRICS)
     else:
@@ -52,12 +52,13 @@ def _ticket() -> Column:
 
 
 def _fact_details(df: DataFrame, on_lines: list[str], exact: bool) -> DataFrame:
-    """Everything a fact row is made of, one level below it.
+    """Everything a fact row is made of, one row per fact key, channel and payment
+    method, with the orders and customers counted in it (exact) or in its fact row.
 
-    The ``is_mix`` rows hold the sums per channel and payment method; the
-    other rows each stand for one distinct order or customer (exact), or
-    carry the sketched counts of their group. NULL keys group together here,
-    which equality joins of separate aggregates would lose.
+    Lines are dealt by fact key and order, then their entries by fact key, and no
+    line is expanded. An order or a customer of a fact row counts in the first of
+    its entries only; NULL keys group together here, which equality joins of
+    separate aggregates would lose.
     """
     lines = df.select(
         *FACT_KEYS,
@@ -69,36 +70,41 @@ def _fact_details(df: DataFrame, on_lines: list[str], exact: bool) -> DataFrame:
         "quantity",
         *on_lines,
     )
-    keys = [F.col(k) for k in FACT_KEYS]
-    mix = [F.col("channel"), F.col("payment_method")]
+    mix = ["channel", "payment_method"]
     if CODE in on_lines:
         # As a key it keeps the aggregation on hashes; a minimum of text would sort all lines.
-        mix.append(F.col(CODE))
+        mix.append(CODE)
+    counted = {"orders": "txn_id", "unique_customers": "customer_id"}
+    whole, fraction = money_parts("revenue")
     sums = [
-        exact_total("revenue").alias("revenue"),
+        whole.alias("revenue_whole"),
+        fraction.alias("revenue_fraction"),
         F.sum("quantity").alias("items_sold"),
         *_weather_parts(on_lines),
     ]
+    names = ["revenue_whole", "revenue_fraction", "items_sold"]
+    names += [f"{m}_{part}" for m in on_lines if m != CODE for part in ("sum", "count")]
     if exact:
-        order, customer = F.col("txn_id"), F.col("customer_id")
-        sets = [[*keys, *mix], [*keys, order], [*keys, customer]]
-        return (
-            lines.groupingSets(sets, *keys, *mix, order, customer)
-            .agg((F.grouping("channel") == 0).alias("is_mix"), *sums)
-            .withColumns(
-                {
-                    "orders": F.when(order.isNotNull(), 1).otherwise(0),
-                    "unique_customers": F.when(customer.isNotNull(), 1).otherwise(0),
-                }
-            )
-        )
-    counts = lines.groupBy(*keys).agg(
-        F.lit(False).alias("is_mix"),
-        F.approx_count_distinct("txn_id").alias("orders"),
-        F.approx_count_distinct("customer_id").alias("unique_customers"),
-    )
-    sums_by_mix = lines.groupBy(*keys, *mix).agg(F.lit(True).alias("is_mix"), *sums)
-    return sums_by_mix.unionByName(counts, allowMissingColumns=True)
+        lines = lines.repartition(*FACT_KEYS, "txn_id")
+        entries = lines.groupBy(*FACT_KEYS, *mix, *counted.values()).agg(*sums)
+        entries = entries.withColumn("orders", _first_of("txn_id")).drop("txn_id").repartition(*FACT_KEYS)
+        entries = entries.withColumn("unique_customers", _first_of("customer_id"))
+        counts = [F.sum(name).alias(name) for name in counted]
+        details = entries.groupBy(*FACT_KEYS, *mix).agg(*counts, *[F.sum(n).alias(n) for n in names])
+    else:
+        row = Window.partitionBy(*FACT_KEYS)
+        sketched = {name: F.approx_count_distinct(column).over(row) for name, column in counted.items()}
+        counts = [F.max(name).alias(name) for name in counted]
+        details = lines.repartition(*FACT_KEYS).withColumns(sketched).groupBy(*FACT_KEYS, *mix).agg(*counts, *sums)
+    revenue = total_of_parts(F.col("revenue_whole"), F.col("revenue_fraction"))
+    return details.withColumn("revenue", revenue)
+
+
+def _first_of(column: str) -> Column:
+    """1 in one entry of each known value of ``column`` in a fact row, else 0."""
+    value = F.col(column)
+    number = F.row_number().over(Window.partitionBy(*FACT_KEYS, column).orderBy(column))
+    return F.when(value.isNotNull() & (number == 1), 1).otherwise(0)
 
 
 def _weather_parts(on_lines: list[str]) -> list[Column]:
@@ -110,30 +116,26 @@ def _weather_parts(on_lines: list[str]) -> list[Column]:
     return parts
 
 
-def _with_mixes(details: DataFrame, on_lines: list[str]) -> DataFrame:
+def _with_mixes(details: DataFrame, on_lines: list[str], exact: bool) -> DataFrame:
     """One row per fact key; the collected mix holds one entry per pair of
     channel and payment method, never one per line."""
-    in_mix = F.col("is_mix")
-
-    def total(column: str) -> Column:
-        return F.sum(F.when(in_mix, F.col(column)))
-
+    counted = F.sum if exact else F.max
     weather = []
     for metric in on_lines:
         if metric == CODE:
             weather.append(F.min(F.col(metric).cast("string")).alias(metric))
         else:
-            average = F.try_divide(total(f"{metric}_sum"), total(f"{metric}_count"))
+            average = F.try_divide(F.sum(f"{metric}_sum"), F.sum(f"{metric}_count"))
             weather.append(average.alias(metric))
     return (
         details.groupBy(*FACT_KEYS)
         .agg(
-            F.sum("orders").alias("orders"),
-            F.sum("unique_customers").alias("unique_customers"),
-            total("items_sold").alias("items_sold"),
-            total("revenue").cast("double").alias("revenue"),
+            counted("orders").alias("orders"),
+            counted("unique_customers").alias("unique_customers"),
+            F.sum("items_sold").alias("items_sold"),
+            F.sum("revenue").cast("double").alias("revenue"),
             *weather,
-            F.collect_list(F.when(in_mix, F.struct("channel", "payment_method", "revenue"))).alias("mix"),
+            F.collect_list(F.struct("channel", "payment_method", "revenue")).alias("mix"),
         )
         .withColumns({"channel_mix": _mix_map("channel"), "payment_mix": _mix_map("payment_method")})
         .drop("mix")
