@@ -92,6 +92,18 @@ def _store(
     return metrics
 
 
+def write_both(df: DataFrame, folder: str) -> None:
+    """The two kinds of records side by side. A file of each is open at once, so a
+    task streams its records, whatever their number, instead of sorting them."""
+    conf, writers = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(writers)
+    conf.set(writers, max(int(before), 2))
+    try:
+        write_folder(df, folder, [ROUTE])
+    finally:
+        conf.set(writers, before)
+
+
 def ingest(
     raw: DataFrame,
     path: str,
@@ -113,7 +125,7 @@ def ingest(
     staged = stage(spark, path, owned)
     recover(spark, quarantine_path, owned)
     try:
-        write_folder(with_route(observed).drop(*owned), staged, [ROUTE])
+        write_both(with_route(observed).drop(*owned), staged)
         counts = observation.get
         put_in_place(spark, path, owned, f"{staged}/{ROUTE}={READABLE}")
         put_in_place(spark, quarantine_path, owned, f"{staged}/{ROUTE}={UNREADABLE}")
