@@ -26,6 +26,7 @@ from mercaflow.plans.states import merged_frames
 from mercaflow.session import shared_folder
 from mercaflow.sinks.swap import folder_names
 from mercaflow.sinks.tables import fill_partitions, with_dt, write_table
+from mercaflow.sources.borders import stored
 from mercaflow.sources.feeds import read_json_source, read_parquet_source
 from mercaflow.sources.tables import load_transactions, load_weather
 from mercaflow.workload import views
@@ -258,7 +259,8 @@ def _new_lake(spark: SparkSession, sf_dir: str) -> JobConfig:
         "spanish": views.spanish_feed(spark, sf_dir, "F"),
     }
     for feed in feeds:
-        raw[feed.name].write.json(f"{base}/raw/{feed.name}/ingestion_date={RUN_DATE}")
+        path = f"{base}/raw/{feed.name}/ingestion_date={RUN_DATE}"
+        raw[feed.name].write.json(path, compression="gzip")
     views.daily_weather_feed(spark, sf_dir).write.parquet(f"{base}/raw/api/{config.weather_feed}")
     run_bronze(spark, config)
     run_silver(spark, config)
@@ -418,7 +420,9 @@ def _deliveries(spark: SparkSession, sf_dir: str) -> JobConfig:
     config = JobConfig(
         shared_folder(spark, "history"), RUN_DATE, history_days=2, merge_states=True, exact_distinct=False, register=False
     )
-    lines = views.sales(spark, sf_dir, (*views.SALES_COLUMNS, "l_linenumber")).withColumn("txn_ts", F.col("txn_date").cast("timestamp"))
+    sales = views.sales(spark, sf_dir, (*views.SALES_COLUMNS, "l_linenumber"))
+    # Stored, so that the dimensions are joined, and broadcast where small, once.
+    lines = stored(sales, "sales").withColumn("txn_ts", F.col("txn_date").cast("timestamp"))
     for number, day in enumerate(HISTORY):
         own = lines.filter(F.col("l_linenumber") % len(HISTORY) == number).drop("txn_date", "l_linenumber")
         write_table(to_silver_names(own), config.silver_path(config.transactions_table), {"run_date": day}, rebalance=False)

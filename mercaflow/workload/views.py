@@ -27,7 +27,8 @@ SALES_COLUMNS = [
     "unit_cost",
 ]
 
-# Dimension -> (key on the lines so far, key of the dimension, dimension joined before it).
+# Dimension -> (key that refers to it, key of the dimension, dimension that holds
+# the referring key; None: the lines).
 DIMENSIONS = {
     "orders": ("l_orderkey", "o_orderkey", None),
     "customer": ("o_custkey", "c_custkey", "orders"),
@@ -104,12 +105,18 @@ def sales(
 
     for column in columns:
         need(COLUMN_SOURCE.get(column))
-    lines = table(spark, sf_dir, "lineitem")
-    for dimension in needed:
-        left_key, right_key, _ = DIMENSIONS[dimension]
-        right = table(spark, sf_dir, dimension)
-        lines = lines.join(right, lines[left_key] == right[right_key], "left")
-    return lines.select(*[expressions[c].alias(c) for c in columns])
+
+    def joined(df: DataFrame, parent: str | None) -> DataFrame:
+        """``df`` with the dimensions it refers to, each with its own: what hangs
+        on orders is joined to these, so that lines travel once for all of it."""
+        for dimension in needed:
+            left_key, right_key, referring = DIMENSIONS[dimension]
+            if referring == parent:
+                right = joined(table(spark, sf_dir, dimension), dimension)
+                df = df.join(right, df[left_key] == right[right_key], "left")
+        return df
+
+    return joined(table(spark, sf_dir, "lineitem"), None).select(*[expressions[c].alias(c) for c in columns])
 
 
 def english_feed(spark: SparkSession, sf_dir: str, status: str | None = None) -> DataFrame:
