@@ -19,16 +19,19 @@ def fact_sales_daily(
     exact: bool = True,
     look: WeatherKeys | None = None,
     broadcast_bytes: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Daily sales per region, store and category.
 
     Weather is the same for every line of a fact row, so a weather table given
     here is attached after the aggregation, to the far smaller fact. Without
     one, weather columns already on the lines are averaged. ``look`` and
-    ``broadcast_bytes`` are those of ``attach_weather``.
+    ``broadcast_bytes`` are those of ``attach_weather``. ``partitions`` is the
+    number of tasks that lines are dealt to, once: they sort them, and spill what
+    does not fit. Without it lines travel twice, to as many as Spark decides.
     """
     on_lines = [m for m in METRIC_NAMES if m in df.columns] if weather is None else []
-    fact = _with_mixes(_fact_details(df, on_lines, exact), on_lines, exact)
+    fact = _with_mixes(_fact_details(df, on_lines, exact, partitions), on_lines, exact)
     if weather is None:
         fact = ensure_columns(fact, WEATHER_METRICS)
     else:
@@ -51,14 +54,14 @@ def _ticket() -> Column:
     return F.when(F.col("orders") > 0, F.col("revenue") / F.col("orders")).otherwise(0.0)
 
 
-def _fact_details(df: DataFrame, on_lines: list[str], exact: bool) -> DataFrame:
+def _fact_details(df: DataFrame, on_lines: list[str], exact: bool, partitions: int | None) -> DataFrame:
     """Everything a fact row is made of, one row per fact key, channel and payment
     method, with the orders and customers counted in it (exact) or in its fact row.
 
-    Lines are dealt by fact key and order, then their entries by fact key, and no
-    line is expanded. An order or a customer of a fact row counts in the first of
-    its entries only; NULL keys group together here, which equality joins of
-    separate aggregates would lose.
+    Lines are dealt by fact key, to ``partitions`` tasks, and no line is expanded.
+    An order or a customer of a fact row counts in the first of its lines only;
+    NULL keys group together here, which equality joins of separate aggregates
+    would lose.
     """
     lines = df.select(
         *FACT_KEYS,
@@ -82,26 +85,26 @@ def _fact_details(df: DataFrame, on_lines: list[str], exact: bool) -> DataFrame:
         F.sum("quantity").alias("items_sold"),
         *_weather_parts(on_lines),
     ]
-    names = ["revenue_whole", "revenue_fraction", "items_sold"]
-    names += [f"{m}_{part}" for m in on_lines if m != CODE for part in ("sum", "count")]
+    number = [partitions] if partitions else []
     if exact:
-        lines = lines.repartition(*FACT_KEYS, "txn_id")
-        entries = lines.groupBy(*FACT_KEYS, *mix, *counted.values()).agg(*sums)
-        entries = entries.withColumn("orders", _first_of("txn_id")).drop("txn_id").repartition(*FACT_KEYS)
-        entries = entries.withColumn("unique_customers", _first_of("customer_id"))
+        if not number:
+            # In tasks of unknown size each of the two sorts has a stage of its own.
+            lines = lines.repartition(*FACT_KEYS, "txn_id").withColumn("orders", _first_of("txn_id")).drop("txn_id")
+        lines = lines.repartition(*number, *FACT_KEYS)
+        lines = lines.withColumns({n: _first_of(c) for n, c in counted.items() if n not in lines.columns})
         counts = [F.sum(name).alias(name) for name in counted]
-        details = entries.groupBy(*FACT_KEYS, *mix).agg(*counts, *[F.sum(n).alias(n) for n in names])
     else:
         row = Window.partitionBy(*FACT_KEYS)
         sketched = {name: F.approx_count_distinct(column).over(row) for name, column in counted.items()}
+        lines = lines.repartition(*number, *FACT_KEYS).withColumns(sketched)
         counts = [F.max(name).alias(name) for name in counted]
-        details = lines.repartition(*FACT_KEYS).withColumns(sketched).groupBy(*FACT_KEYS, *mix).agg(*counts, *sums)
+    details = lines.groupBy(*FACT_KEYS, *mix).agg(*counts, *sums)
     revenue = total_of_parts(F.col("revenue_whole"), F.col("revenue_fraction"))
     return details.withColumn("revenue", revenue)
 
 
 def _first_of(column: str) -> Column:
-    """1 in one entry of each known value of ``column`` in a fact row, else 0."""
+    """1 in one line of each known value of ``column`` in a fact row, else 0."""
     value = F.col(column)
     number = F.row_number().over(Window.partitionBy(*FACT_KEYS, column).orderBy(column))
     return F.when(value.isNotNull() & (number == 1), 1).otherwise(0)

@@ -23,7 +23,7 @@ from mercaflow.plans.bronze import ingest, list_weather, read_weather_files, run
 from mercaflow.plans.gold import run_gold
 from mercaflow.plans.silver import run_silver
 from mercaflow.plans.states import merged_frames
-from mercaflow.session import shared_folder
+from mercaflow.session import shared_folder, sort_partitions
 from mercaflow.sinks.swap import folder_names
 from mercaflow.sinks.tables import fill_partitions, with_dt, write_table
 from mercaflow.sources.borders import stored
@@ -146,9 +146,13 @@ FACT_COLUMNS = [
 ]
 
 
+def _fact_partitions(spark: SparkSession, sf_dir: str) -> int:
+    return sort_partitions(spark, [f"{sf_dir}/lineitem.parquet"])
+
+
 def fact_with_weather(spark: SparkSession, sf_dir: str, exact: bool = True) -> DataFrame:
     sales = views.sales(spark, sf_dir, FACT_COLUMNS)
-    return fact_sales_daily(sales, _daily_weather(spark, sf_dir), exact)
+    return fact_sales_daily(sales, _daily_weather(spark, sf_dir), exact, partitions=_fact_partitions(spark, sf_dir))
 
 
 def _fact_scalars(df: DataFrame) -> DataFrame:
@@ -163,14 +167,15 @@ def fact_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_scalars_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = views.sales(spark, sf_dir, FACT_COLUMNS, dirty=True)
-    return _fact_scalars(fact_sales_daily(sales))
+    return _fact_scalars(fact_sales_daily(sales, partitions=_fact_partitions(spark, sf_dir)))
 
 
 def _mix_rows(mix: str, value: str, dirty: bool = False) -> Query:
     """A mix of the fact, one row per map entry."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        fact = fact_sales_daily(views.sales(spark, sf_dir, FACT_COLUMNS, dirty))
+        sales = views.sales(spark, sf_dir, FACT_COLUMNS, dirty)
+        fact = fact_sales_daily(sales, partitions=_fact_partitions(spark, sf_dir))
         return fact.select(*FACT_KEYS, F.explode(mix).alias(value, "revenue"))
 
     return query

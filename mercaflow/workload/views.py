@@ -28,13 +28,14 @@ SALES_COLUMNS = [
 ]
 
 # Dimension -> (key that refers to it, key of the dimension, dimension that holds
-# the referring key; None: the lines).
+# the referring key; None: the lines). Parts come first: lines then travel to the
+# orders with few columns of parts, not to the parts with all of orders.
 DIMENSIONS = {
+    "part": ("l_partkey", "p_partkey", None),
     "orders": ("l_orderkey", "o_orderkey", None),
     "customer": ("o_custkey", "c_custkey", "orders"),
     "nation": ("c_nationkey", "n_nationkey", "customer"),
     "region": ("n_regionkey", "r_regionkey", "nation"),
-    "part": ("l_partkey", "p_partkey", None),
 }
 COLUMN_SOURCE = {
     "txn_date": "orders",
@@ -109,7 +110,7 @@ def sales(
     def joined(df: DataFrame, parent: str | None) -> DataFrame:
         """``df`` with the dimensions it refers to, each with its own: what hangs
         on orders is joined to these, so that lines travel once for all of it."""
-        for dimension in needed:
+        for dimension in sorted(needed, key=list(DIMENSIONS).index):
             left_key, right_key, referring = DIMENSIONS[dimension]
             if referring == parent:
                 right = joined(table(spark, sf_dir, dimension), dimension)

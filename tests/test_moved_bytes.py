@@ -4,8 +4,10 @@ import glob
 
 import pytest
 
+from mercaflow.config import JobConfig
 from mercaflow.operators.fact import fact_sales_daily
-from mercaflow.plans import bronze
+from mercaflow.plans import bronze, gold
+from mercaflow.session import SORT_INPUT_BYTES, sort_partitions
 from mercaflow.workload import registry, views
 from tests.test_fact import sales
 
@@ -55,6 +57,31 @@ def test_no_line_of_the_fact_is_expanded(spark):
     assert "Expand" not in plan_of(fact_sales_daily(sales(spark), exact=True))
 
 
+def test_lines_of_the_fact_travel_once_to_tasks_of_bounded_size(spark):
+    plan = plan_of(fact_sales_daily(sales(spark), exact=True, partitions=7))
+    assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in plan
+
+
+def test_tasks_that_sort_grow_with_the_input(spark, tmp_path):
+    (tmp_path / "part").write_bytes(bytes(20 * SORT_INPUT_BYTES + 1))
+    assert sort_partitions(spark, [str(tmp_path)]) == 21
+    assert sort_partitions(spark, [str(tmp_path / "missing")]) == spark.sparkContext.defaultParallelism
+
+
+def test_lines_travel_to_parts_before_they_carry_their_order(spark, tables):
+    plan = views.sales(spark, tables, ["txn_date", "category"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join LeftOuter, (l_orderkey") < plan.index("Join LeftOuter, (l_partkey")
+
+
+def test_gold_reads_small_splits(spark, tmp_path, monkeypatch):
+    size, seen = "spark.sql.files.maxPartitionBytes", []
+    monkeypatch.setattr(gold, "write_table", lambda *args: seen.append(spark.conf.get(size)))
+    before = spark.conf.get(size)
+    config = JobConfig(str(tmp_path), "2025-01-01", register=False)
+    gold.write_gold(spark.range(1), "channel_payment_perf", config)
+    assert seen == [gold.READ_BYTES] and spark.conf.get(size) == before
+
+
 def test_no_sketch_of_the_fact_travels(spark):
     plan = plan_of(fact_sales_daily(sales(spark), exact=False))
     assert plan.count("Exchange hashpartitioning") == 1
