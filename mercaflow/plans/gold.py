@@ -13,6 +13,7 @@ from mercaflow.operators.fact import fact_sales_daily
 from mercaflow.operators.weather import WeatherKeys, attach_weather, look_at
 from mercaflow.plans.common import register, run_job
 from mercaflow.plans.states import merged_frames
+from mercaflow.session import setting, sort_partitions
 from mercaflow.sinks.swap import recover
 from mercaflow.sinks.tables import clear_owned, fill_partitions, write_table
 from mercaflow.sources.tables import load_transactions, load_weather
@@ -20,13 +21,20 @@ from mercaflow.sources.tables import load_transactions, load_weather
 logger = logging.getLogger(__name__)
 # The gold tables that weather is attached to.
 WITH_WEATHER = {"weather_impact", "fact_sales_daily"}
+# Silver bytes a task reads at once. Exact counts of orders aggregate by order in
+# the task that reads, which spills when it holds the orders of a split of 128 MB.
+READ_BYTES = "16m"
 
 
 def gold_frames(
-    sales: DataFrame, weather: DataFrame | None, config: JobConfig, look: WeatherKeys | None = None
+    sales: DataFrame,
+    weather: DataFrame | None,
+    config: JobConfig,
+    look: WeatherKeys | None = None,
+    partitions: int | None = None,
 ) -> dict[str, Callable[[], DataFrame]]:
     """Each gold table's frame, built when called; ``look`` is the run's one look
-    at the weather.
+    at the weather, ``partitions`` the tasks that sort the lines of the fact.
 
     Weather reaches only the two tables that use it, so the other eight scan
     nothing but their own columns of the silver table.
@@ -44,7 +52,7 @@ def gold_frames(
         "weather_impact": lambda: kpis.weather_impact_of_days(
             attach_weather(kpis.region_days(sales), weather, look=look, broadcast_bytes=limit)
         ),
-        "fact_sales_daily": lambda: fact_sales_daily(sales, weather, exact, look, limit),
+        "fact_sales_daily": lambda: fact_sales_daily(sales, weather, exact, look, limit, partitions),
     }
 
 
@@ -53,7 +61,14 @@ def write_gold(df: DataFrame, name: str, config: JobConfig) -> dict[str, int]:
     if table.fill:
         df = fill_partitions(df)
     rest = [c for c in table.partition_by if c != "dt"]
-    return write_table(df, config.gold_path(name), {"dt": config.run_date}, rest)
+    with setting(df.sparkSession, "spark.sql.files.maxPartitionBytes", READ_BYTES):
+        return write_table(df, config.gold_path(name), {"dt": config.run_date}, rest)
+
+
+def sales_paths(config: JobConfig) -> list[str]:
+    """The silver folders a run reads; with a history, the whole table bounds them."""
+    sales = config.silver_path(config.transactions_table)
+    return [sales if config.history_days else f"{sales}/run_date={config.run_date}"]
 
 
 def run_gold(
@@ -86,7 +101,8 @@ def run_gold(
         sales.persist()
     results = {}
     try:
-        frames = gold_frames(sales, weather, config, look)
+        partitions = sort_partitions(spark, sales_paths(config)) if "fact_sales_daily" in tables else None
+        frames = gold_frames(sales, weather, config, look, partitions)
         if config.merge_states:
             frames |= merged_frames(spark, config, tables, weather, look)
         for name in tables:
@@ -102,10 +118,7 @@ def run_gold(
 
 def main(argv: Sequence[str] | None = None) -> int:
     config = parse_config("Gold analytics", argv)
-    sales = config.silver_path(config.transactions_table)
-    if not config.history_days:
-        sales = f"{sales}/run_date={config.run_date}"
-    return run_job("gold_analytics", config, run_gold, inputs=[sales])
+    return run_job("gold_analytics", config, run_gold, inputs=sales_paths(config))
 
 
 if __name__ == "__main__":
