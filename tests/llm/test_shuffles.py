@@ -1,6 +1,9 @@
 """What is shuffled, and what stays of it."""
 from __future__ import annotations
 
+import numpy as np
+from pyspark.sql import functions as F
+
 from mercaflow.llm import line_dedup
 from mercaflow.llm.storage import scratch, stored
 from mercaflow.session import setting
@@ -36,3 +39,20 @@ def test_entries_of_lines_are_shuffled_once(spark):
         plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     shuffled = [x for x in plan.split("\n") if "- Exchange hashpartitioning(token" in x]
     assert len(shuffled) == 2  # open and closed entries; 3 or more if a side is shuffled again
+
+
+def test_signatures_part_long_lines_that_share_rare_tokens(spark):
+    """Sets of 120 tokens fill 64 bits, so that any two of them passed for similar."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(40):
+        keys = np.unique(rng.integers(1 << 20, 1 << 62, 120).astype(np.uint64))
+        lines = line_dedup._Lines(np.zeros(1), np.zeros(1), keys, np.array([0, len(keys)]))
+        rows.append((i, True, 120, *(int(x[0]) for x in lines.signatures()), [1, 2, 3, 4, 5, 6, 7, 8]))
+    schema = f"print long, open boolean, n int, {', '.join(f'{c} long' for c in line_dedup.SIGNATURE)}, prefix array<int>"
+    entries = line_dedup._entries(spark.createDataFrame(rows, schema), "open")
+    fits, _ = line_dedup._fits(80, line_dedup._signature(entries))
+    a, b = (entries.select("token", *(F.col(c).alias(f"{c}_{x}") for c in entries.columns if c != "token")) for x in "ab")
+    joined = a.join(b, "token").filter("print_a < print_b")
+    assert joined.count() == 8 * 40 * 39 // 2
+    assert joined.filter(fits).count() < 0.01 * joined.count()
