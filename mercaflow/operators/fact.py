@@ -1,6 +1,10 @@
 """The daily sales fact with its channel and payment mixes."""
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mercaflow.functions.columns import ensure_columns
@@ -10,6 +14,8 @@ from mercaflow.schemas import WEATHER_METRICS
 
 FACT_KEYS = ["txn_date", "region", "store_id", "category"]
 UNKNOWN = "unknown"
+# Lines of a folder with more than its share of them are dealt by this too.
+PART = "_part"
 CODE = "weather_code"
 
 
@@ -20,6 +26,7 @@ def fact_sales_daily(
     look: WeatherKeys | None = None,
     broadcast_bytes: int | None = None,
     partitions: int | None = None,
+    folders: Sequence[str] = (),
 ) -> DataFrame:
     """Daily sales per region, store and category.
 
@@ -29,9 +36,16 @@ def fact_sales_daily(
     ``broadcast_bytes`` are those of ``attach_weather``. ``partitions`` is the
     number of tasks that lines are dealt to, once: they sort them, and spill what
     does not fit. Without it lines travel twice, to as many as Spark decides.
+    ``folders``, some of the fact's keys, has lines dealt by these, so that the
+    rows of a folder can be written where they are made: they are in one task, or
+    in several where the folder has more lines than a task's share.
     """
     on_lines = [m for m in METRIC_NAMES if m in df.columns] if weather is None else []
-    fact = _with_mixes(_fact_details(df, on_lines, exact, partitions), on_lines, exact)
+    keys, deal = FACT_KEYS, FACT_KEYS
+    if partitions and folders:
+        keys, deal = [*FACT_KEYS, PART], [*folders, PART]
+        df = _parted(df, folders, partitions)
+    fact = _with_mixes(_fact_details(df, on_lines, exact, partitions, keys, deal), on_lines, exact, keys)
     if weather is None:
         fact = ensure_columns(fact, WEATHER_METRICS)
     else:
@@ -54,17 +68,31 @@ def _ticket() -> Column:
     return F.when(F.col("orders") > 0, F.col("revenue") / F.col("orders")).otherwise(0.0)
 
 
-def _fact_details(df: DataFrame, on_lines: list[str], exact: bool, partitions: int | None) -> DataFrame:
+def _parted(df: DataFrame, folders: Sequence[str], partitions: int) -> DataFrame:
+    """``df`` with the part of its folder that each line is in, which follows from
+    its fact key. Fewer folders than ``partitions`` have more lines than a share,
+    so their table is small."""
+    share = max(1, df.count() // partitions)
+    sizes = df.groupBy(*folders).agg(F.ceil(F.count(F.lit(1)) / share).alias("_parts")).filter("_parts > 1")
+    sizes = sizes.withColumnsRenamed({c: f"_{c}" for c in folders})
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in folders))
+    part = F.pmod(F.xxhash64(*FACT_KEYS), F.coalesce("_parts", F.lit(1)))
+    return df.join(F.broadcast(sizes), same, "left").withColumn(PART, part).select(*df.columns, PART)
+
+
+def _fact_details(
+    df: DataFrame, on_lines: list[str], exact: bool, partitions: int | None, keys: Sequence[str], deal: Sequence[str]
+) -> DataFrame:
     """Everything a fact row is made of, one row per fact key, channel and payment
     method, with the orders and customers counted in it (exact) or in its fact row.
 
-    Lines are dealt by fact key, to ``partitions`` tasks, and no line is expanded.
+    Lines are dealt by ``deal``, to ``partitions`` tasks, and no line is expanded.
     An order or a customer of a fact row counts in the first of its lines only;
     NULL keys group together here, which equality joins of separate aggregates
     would lose.
     """
     lines = df.select(
-        *FACT_KEYS,
+        *keys,
         "txn_id",
         "customer_id",
         F.coalesce("channel", F.lit(UNKNOWN)).alias("channel"),
@@ -89,24 +117,24 @@ def _fact_details(df: DataFrame, on_lines: list[str], exact: bool, partitions: i
     if exact:
         if not number:
             # In tasks of unknown size each of the two sorts has a stage of its own.
-            lines = lines.repartition(*FACT_KEYS, "txn_id").withColumn("orders", _first_of("txn_id")).drop("txn_id")
-        lines = lines.repartition(*number, *FACT_KEYS)
-        lines = lines.withColumns({n: _first_of(c) for n, c in counted.items() if n not in lines.columns})
+            lines = lines.repartition(*keys, "txn_id").withColumn("orders", _first_of("txn_id", keys)).drop("txn_id")
+        lines = lines.repartition(*number, *deal)
+        lines = lines.withColumns({n: _first_of(c, keys) for n, c in counted.items() if n not in lines.columns})
         counts = [F.sum(name).alias(name) for name in counted]
     else:
-        row = Window.partitionBy(*FACT_KEYS)
+        row = Window.partitionBy(*keys)
         sketched = {name: F.approx_count_distinct(column).over(row) for name, column in counted.items()}
-        lines = lines.repartition(*number, *FACT_KEYS).withColumns(sketched)
+        lines = lines.repartition(*number, *deal).withColumns(sketched)
         counts = [F.max(name).alias(name) for name in counted]
-    details = lines.groupBy(*FACT_KEYS, *mix).agg(*counts, *sums)
+    details = lines.groupBy(*keys, *mix).agg(*counts, *sums)
     revenue = total_of_parts(F.col("revenue_whole"), F.col("revenue_fraction"))
     return details.withColumn("revenue", revenue)
 
 
-def _first_of(column: str) -> Column:
+def _first_of(column: str, keys: Sequence[str]) -> Column:
     """1 in one line of each known value of ``column`` in a fact row, else 0."""
     value = F.col(column)
-    number = F.row_number().over(Window.partitionBy(*FACT_KEYS, column).orderBy(column))
+    number = F.row_number().over(Window.partitionBy(*keys, column).orderBy(column))
     return F.when(value.isNotNull() & (number == 1), 1).otherwise(0)
 
 
@@ -119,7 +147,7 @@ def _weather_parts(on_lines: list[str]) -> list[Column]:
     return parts
 
 
-def _with_mixes(details: DataFrame, on_lines: list[str], exact: bool) -> DataFrame:
+def _with_mixes(details: DataFrame, on_lines: list[str], exact: bool, keys: Sequence[str]) -> DataFrame:
     """One row per fact key; the collected mix holds one entry per pair of
     channel and payment method, never one per line."""
     counted = F.sum if exact else F.max
@@ -131,7 +159,7 @@ def _with_mixes(details: DataFrame, on_lines: list[str], exact: bool) -> DataFra
             average = F.try_divide(F.sum(f"{metric}_sum"), F.sum(f"{metric}_count"))
             weather.append(average.alias(metric))
     return (
-        details.groupBy(*FACT_KEYS)
+        details.groupBy(*keys)
         .agg(
             counted("orders").alias("orders"),
             counted("unique_customers").alias("unique_customers"),

@@ -21,6 +21,7 @@ from mercaflow.sources.tables import load_transactions, load_weather
 logger = logging.getLogger(__name__)
 # The gold tables that weather is attached to.
 WITH_WEATHER = {"weather_impact", "fact_sales_daily"}
+DEALT_BY_FOLDER = {"fact_sales_daily"}
 # Silver bytes a task reads at once. Exact counts of orders aggregate by order in
 # the task that reads, which spills when it holds the orders of a split of 128 MB.
 READ_BYTES = "16m"
@@ -52,17 +53,25 @@ def gold_frames(
         "weather_impact": lambda: kpis.weather_impact_of_days(
             attach_weather(kpis.region_days(sales), weather, look=look, broadcast_bytes=limit)
         ),
-        "fact_sales_daily": lambda: fact_sales_daily(sales, weather, exact, look, limit, partitions),
+        "fact_sales_daily": lambda: fact_sales_daily(
+            sales, weather, exact, look, limit, partitions, _folders("fact_sales_daily")
+        ),
     }
 
 
+def _folders(name: str) -> list[str]:
+    """The columns that split a run date's folder of a gold table."""
+    return [c for c in GOLD_TABLES[name].partition_by if c != "dt"]
+
+
 def write_gold(df: DataFrame, name: str, config: JobConfig) -> dict[str, int]:
     table = GOLD_TABLES[name]
     if table.fill:
         df = fill_partitions(df)
-    rest = [c for c in table.partition_by if c != "dt"]
+    # Rows of the fact are made where their folder is written: no second shuffle.
+    options = {"rebalance": False} if name in DEALT_BY_FOLDER else {}
     with setting(df.sparkSession, "spark.sql.files.maxPartitionBytes", READ_BYTES):
-        return write_table(df, config.gold_path(name), {"dt": config.run_date}, rest)
+        return write_table(df, config.gold_path(name), {"dt": config.run_date}, _folders(name), **options)
 
 
 def sales_paths(config: JobConfig) -> list[str]:

@@ -23,7 +23,7 @@ from mercaflow.plans.bronze import ingest, list_weather, read_weather_files, run
 from mercaflow.plans.gold import run_gold
 from mercaflow.plans.silver import run_silver
 from mercaflow.plans.states import merged_frames
-from mercaflow.session import shared_folder, sort_partitions
+from mercaflow.session import SHUFFLES_GO, setting, shared_folder, sort_partitions
 from mercaflow.sinks.swap import folder_names
 from mercaflow.sinks.tables import fill_partitions, with_dt, write_table
 from mercaflow.sources.borders import stored
@@ -265,7 +265,8 @@ def _new_lake(spark: SparkSession, sf_dir: str) -> JobConfig:
     }
     for feed in feeds:
         path = f"{base}/raw/{feed.name}/ingestion_date={RUN_DATE}"
-        raw[feed.name].write.json(path, compression="gzip")
+        with setting(spark, SHUFFLES_GO, "true"):
+            raw[feed.name].write.json(path, compression="gzip")
     views.daily_weather_feed(spark, sf_dir).write.parquet(f"{base}/raw/api/{config.weather_feed}")
     run_bronze(spark, config)
     run_silver(spark, config)
