@@ -1,0 +1,42 @@
+"""What a round of the descent compares and moves."""
+import numpy as np
+import pyarrow as pa
+
+from mercaflow.llm import neighbours
+from mercaflow.llm.neighbours import GROUP
+
+
+def _links(rows):
+    node, other, fresh = zip(*rows)
+    table = pa.table({"node": pa.array(node, pa.int64()), "other": pa.array(other, pa.int64()), "fresh": pa.array(fresh)})
+    return neighbours._group(table).to_pylist()
+
+
+def test_a_link_is_fresh_if_neither_end_had_it_and_groups_without_one_are_done():
+    rows = [(1, 2, True), (1, 2, False), (1, 3, False), (5, 6, True), (5, 7, False), (5, 7, False)]
+    assert [tuple(r.values()) for r in _links(rows)] == [(5, 0, 6, True), (5, 0, 7, False)]
+
+
+def test_a_hub_is_met_in_groups_and_no_link_is_lost():
+    rows = [(1, i, True) for i in range(10, 10 + 5 * GROUP)] + [(-2, i, True) for i in range(10, 14)]
+    got = _links(rows)
+    assert sorted((r["node"], r["other"]) for r in got) == sorted((n, o) for n, o, _ in rows)
+    assert {r["part"] for r in got if r["node"] == 1} == set(range(5)) and {r["part"] for r in got if r["node"] == -2} == {0}
+
+
+def test_only_pairs_with_a_fresh_member_are_compared():
+    vectors = np.arange(4, dtype=np.float32)[:, None] * np.ones(3, dtype=np.float32)
+    group = {
+        "node": [9] * 4, "part": [0] * 4, "other": [10, 11, 12, 13], "fresh": [False, False, True, False],
+        "vector": pa.array([v.tobytes() for v in vectors], pa.binary()), "bound": pa.array([np.inf] * 4, pa.float32()),
+    }
+    got = {r["node"]: [(e["id"], e["d"]) for e in r["entries"]] for r in neighbours._local_join(pa.table(group)).to_pylist()}
+    assert got == {10: [(12, 12.0)], 11: [(12, 3.0)], 12: [(11, 3.0), (13, 3.0), (10, 12.0)], 13: [(12, 3.0)]}
+
+
+def test_entries_are_the_nearest_and_say_which_are_fresh(monkeypatch):
+    monkeypatch.setattr(neighbours, "DEGREE", 2)
+    owner, other = np.array([1, 1, 1, 1, 2]), np.array([4, 5, 5, 6, 7])
+    square, former = np.array([3, 1, 1, 2, 1], dtype=np.float32), np.array([True, False, True, False, False])
+    got = neighbours._entries(owner, other, square, former).to_pylist()
+    assert [(r["node"], [e["id"] for e in r["entries"]], r["fresh"]) for r in got] == [(1, [5, 6], [False, True]), (2, [7], [True])]
