@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+import corpus_pipeline
 from mercaflow.llm import near_dup
 from mercaflow.llm.near_dup import near_duplicates
 
@@ -71,3 +72,14 @@ def test_crowds_with_links_and_bridges(spark, monkeypatch, small, block):
     wanted = _roots(texts)
     assert 10 < len(set(wanted)) < len(texts) - 50
     assert _found(spark, texts) == wanted
+
+
+def test_the_pipeline_keeps_one_document_of_a_crowd(spark):
+    rng = random.Random(9)
+    texts = _variants(rng, 120, 400, 0.014)
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    kept = corpus_pipeline.one_of_near_copies(spark, docs, "")
+    wanted = _roots(texts, 5)
+    assert 5 < len(set(wanted)) < 90
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(wanted))
